@@ -54,10 +54,10 @@ def on_date(df: DataFrame, ts: Column, dt: str) -> DataFrame:
 
 
 def _signup_dates(signups: DataFrame, dedupe: bool) -> DataFrame:
-    day = F.date_format(F.to_date(typed_time("signup_time")), "yyyy-MM-dd")
+    day = F.to_date(typed_time("signup_time"))
     if dedupe:
-        return signups.groupBy("user_id").agg(F.min(day).alias("signup_date"))
-    return signups.select("user_id", day.alias("signup_date"))
+        signups, day = signups.groupBy("user_id").agg(F.min(day).alias("_day")), F.col("_day")
+    return signups.select("user_id", F.date_format(day, "yyyy-MM-dd").alias("signup_date"))
 
 
 def _aggregate_logins(logins: DataFrame, *keys) -> DataFrame:

@@ -29,85 +29,100 @@ INTENT_FIELDS = {
 }
 
 
-def _split(df: DataFrame, reason: Column, keep: list, reject: list) -> tuple[DataFrame, DataFrame]:
-    """Rows without a reason to refuse them, and the others with it."""
-    judged = df.withColumn("reason", reason)
-    return (judged.filter(F.col("reason").isNull()).select(*keep),
-            judged.filter(F.col("reason").isNotNull()).select(*reject, "reason"))
+class Judged:
+    """Rows with the reason to refuse them. Unpacks into (accepted, rejected); `all` is both in one pass.
+
+    In `all` a row has only the columns of its side, and `reason` is null for an accepted one.
+    """
+
+    def __init__(self, df: DataFrame, reason: Column, keep: list, reject: list):
+        judged = df.withColumn("reason", reason)
+        ok = F.col("reason").isNull()
+        kept, refused = judged.select(*keep).columns, judged.select(*reject).columns
+        self.accepted = judged.filter(ok).select(*keep)
+        self.rejected = judged.filter(~ok).select(*reject, "reason")
+        of_kept = {name: c if isinstance(c, Column) else F.col(c) for name, c in zip(kept, keep)}
+        self.all = judged.select(
+            *[c.alias(n) if n in refused else F.when(ok, c).alias(n) for n, c in of_kept.items()],
+            *[F.when(~ok, F.col(n)).alias(n) for n in refused if n not in kept], "reason")
+
+    def __iter__(self):
+        return iter((self.accepted, self.rejected))
 
 
-def split_frames(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_frames(records: DataFrame) -> Judged:
     """Wire frames (topic, value BINARY) into (topic, schema_id, body) and refused ones (topic, reason)."""
     value = F.col("value")
     reason = (F.when(value.isNull() | (F.octet_length(value) < FRAME_HEADER_BYTES), F.lit("too_short"))
                .when(F.hex(F.substring(value, 1, 1)) != "00", F.lit("bad_magic_byte")))
     schema_id = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("bigint").alias("schema_id")
     body = F.substring(value, F.lit(FRAME_HEADER_BYTES + 1), F.octet_length(value)).alias("body")
-    return _split(records, reason, ["topic", schema_id, body], ["topic"])
+    return Judged(records, reason, ["topic", schema_id, body], ["topic"])
 
 
 # Kinds of JSON value each declared type takes.
-_KINDS = {"string": ["STRING"], "bigint": ["BIGINT"], "int": ["BIGINT"]}
+_KINDS = {"string": "STRING", "bigint": "BIGINT", "int": "BIGINT"}
 
 
-def _conforms(topic: str, kinds: Column) -> Column:
-    """Whether the kinds of an object's values (a map by key) fit the topic's contract, in one pass over its fields."""
-    rules = []
-    for f in TOPICS[topic]:
-        allowed = _KINDS[f.dataType.simpleString()] + (["VOID"] if f.nullable else [])
-        optional = f.nullable or (topic, f.name) in FIELD_DEFAULTS
-        rules.append(F.struct(F.lit(f.name).alias("name"), F.array(*[F.lit(k) for k in allowed]).alias("allowed"),
-                              F.lit(optional).alias("optional")))
-    return F.forall(F.array(*rules), lambda r: F.coalesce(
-        F.array_contains(r["allowed"], F.try_element_at(kinds, r["name"])), r["optional"]))
-
-
-def parse_json(records: DataFrame, topic: str, max_bytes: int = MAX_BODY_BYTES) -> tuple[DataFrame, DataFrame]:
+def parse_json(records: DataFrame, topic: str, max_bytes: int = MAX_BODY_BYTES) -> Judged:
     """JSON bodies (column `value`) of one topic, typed by its contract, and refused ones (value, reason).
 
-    The body is parsed once into a map of typed values, and the kind of every value is checked, not only whether it
-    can be cast: a number where text is declared is a violation. Integers stay exact. Unknown keys are ignored.
+    Every field is first read as a variant, which keeps the kind it was written with: a number where text is
+    declared is a violation, and integers stay exact. Keys the contract does not know are ignored.
     """
     schema, size = TOPICS[topic], F.octet_length("value")
-    fields = F.from_json(F.when(size <= max_bytes, F.col("value")), "map<string,variant>")
+    raw = T.StructType([T.StructField(f"_{f.name}", T.VariantType()) for f in schema]).add("_broken", T.StringType())
+    body = F.from_json(F.when(size <= max_bytes, F.col("value")), raw,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    # Inlining one element is the way to have the optimizer parse once instead of once per use.
+    parsed = records.select("*", F.inline(F.array(body)))
+
+    def default(f: T.StructField):
+        return FIELD_DEFAULTS.get((topic, f.name))
+
+    def fits(f: T.StructField) -> Column:
+        kind = F.schema_of_variant(f"_{f.name}")
+        optional = f.nullable or default(f) is not None
+        return F.coalesce(kind == _KINDS[f.dataType.simpleString()], F.lit(optional)) | (
+            F.lit(f.nullable) & (kind == "VOID"))
 
     def value_of(f: T.StructField) -> Column:
-        value = F.try_variant_get(F.try_element_at("_fields", F.lit(f.name)), "$", f.dataType.simpleString())
-        default = FIELD_DEFAULTS.get((topic, f.name))
-        return (value if default is None else F.coalesce(value, F.lit(default))).alias(f.name)
+        value = F.try_variant_get(f"_{f.name}", "$", f.dataType.simpleString())
+        return (value if default(f) is None else F.coalesce(value, F.lit(default(f)))).alias(f.name)
 
-    kinds = F.transform_values("_fields", lambda _, v: F.schema_of_variant(v))
+    conforms = fits(schema[0])
+    for f in schema[1:]:
+        conforms = conforms & fits(f)
     reason = (F.when(F.col("value").isNull(), F.lit("invalid_json"))
                .when(size > max_bytes, F.lit("payload_too_large"))
-               .when(F.col("_fields").isNull(), F.lit("invalid_json"))
-               .when(~_conforms(topic, kinds), F.lit("schema_violation")))
+               .when(F.col("_broken").isNotNull(), F.lit("invalid_json"))
+               .when(~conforms, F.lit("schema_violation")))
     others = [c for c in records.columns if c != "value" and c not in schema.names]
-    return _split(records.withColumn("_fields", fields), reason,
-                  [*others, *[value_of(f) for f in schema]], [*others, "value"])
+    return Judged(parsed, reason, [*others, *[value_of(f) for f in schema]], [*others, "value"])
 
 
-def route(records: DataFrame, routes: Mapping[str, str] = WEBHOOK_ROUTES) -> tuple[DataFrame, DataFrame]:
+def route(records: DataFrame, routes: Mapping[str, str] = WEBHOOK_ROUTES) -> Judged:
     """Records (route_key, ...) to topics by an allow-list; keys are matched in lower case, others refused."""
     table = F.create_map(*[F.lit(x) for pair in routes.items() for x in pair])
     routed = records.withColumn("topic", F.try_element_at(table, F.lower(F.col("route_key"))))
     reason = F.when(F.col("topic").isNull(), F.lit("forbidden"))
-    return _split(routed, reason, [*records.columns, "topic"], records.columns)
+    return Judged(routed, reason, [*records.columns, "topic"], records.columns)
 
 
-def dispatch(records: DataFrame, handled: list[str]) -> tuple[DataFrame, DataFrame]:
+def dispatch(records: DataFrame, handled: list[str]) -> Judged:
     """Records (topic, ...) with a handler, and those of unknown topics."""
     known = F.coalesce(F.col("topic").isin(handled), F.lit(False))
-    return _split(records, F.when(~known, F.lit("unknown_topic")), records.columns, records.columns)
+    return Judged(records, F.when(~known, F.lit("unknown_topic")), records.columns, records.columns)
 
 
-def require(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+def require(df: DataFrame, *columns: str) -> Judged:
     """Rows with text in all the given columns, and the others with the first column that lacks it."""
     reason = F.coalesce(*[F.when(non_empty(c).isNull(), F.lit(f"missing {c}")) for c in columns])
-    return _split(df, reason, df.columns, df.columns)
+    return Judged(df, reason, df.columns, df.columns)
 
 
 def validate_intents(requests: DataFrame, kind: str, now: str | Column,
-                     check_media_type: bool = False) -> tuple[DataFrame, DataFrame]:
+                     check_media_type: bool = False) -> Judged:
     """Requests (user_id, request_id, fields) into intents of the kind's topic, and refused ones.
 
     `user_id` is the authenticated one and always wins; request id and time are set here, not by the caller.
@@ -122,14 +137,15 @@ def validate_intents(requests: DataFrame, kind: str, now: str | Column,
         reason = F.coalesce(reason, F.when(~is_allowed_media_type("media_type"), F.lit("media_type not allowed")))
     topic = f"internal.media.{kind}.intent"
     stamped = requests.withColumns({"topic": F.lit(topic), "request_time": col(now)})
-    return _split(stamped, reason, ["topic", *TOPICS[topic].names], ["request_id"])
+    return Judged(stamped, reason, ["topic", *TOPICS[topic].names], ["request_id"])
 
 
 def _object_records(notifications: DataFrame) -> DataFrame:
     """Every record of every notification (column `body`, JSON), its key decoded."""
     record = F.explode(F.from_json("body", OBJECT_NOTIFICATION)["Records"]).alias("r")
-    return notifications.select(record).select(
-        url_decoded("r.s3.object.key").alias("key"), F.col("r.eventTime").alias("event_time"),
+    decoded = notifications.select(record).select("r", F.explode(F.array(url_decoded("r.s3.object.key"))).alias("key"))
+    return decoded.select(
+        "key", F.col("r.eventTime").alias("event_time"),
         F.col("r.s3.object.size").alias("size"), F.col("r.s3.object.contentType").alias("content_type"),
         F.col("r.s3.object.userMetadata").alias("meta"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.scalars import col, non_empty, null_string
+from eventmart.functions.scalars import col, micros, non_empty, null_string
 from eventmart.operators.scans import lookup
 
 # Statuses, reasons and how long signed links live.
@@ -28,8 +28,8 @@ def soft_delete(files: DataFrame, deletes: DataFrame, only_active: bool = True)
     Deletes are first reduced to the newest per path, so the join adds no rows however often a path is deleted.
     With `only_active=False` a file already deleted counts as changed again.
     """
-    newest = deletes.groupBy(*OWNER).agg(F.max("delete_time").alias("_deleted"))
-    hit = F.coalesce(F.col("_deleted") >= F.col("upload_time"), F.lit(False))
+    newest = deletes.groupBy(*OWNER).agg(F.max(micros("delete_time")).alias("_deleted"))
+    hit = F.coalesce(F.col("_deleted") >= micros("upload_time"), F.lit(False))
     if only_active:
         hit = hit & (F.col("status") == ACTIVE)
     return (lookup(files, newest, OWNER)
@@ -62,7 +62,7 @@ def owned(intents: DataFrame, files: DataFrame) -> DataFrame:
 def _with_metadata(intents: DataFrame, files: DataFrame) -> DataFrame:
     """Intents with the newest active file of the path, if any. One file row per path, so intents never multiply."""
     newest = (active_files(files).groupBy(*OWNER)
-              .agg(F.max_by(F.struct(*METADATA), F.col("upload_time")).alias("_file")))
+              .agg(F.max_by(F.struct(*METADATA), micros("upload_time")).alias("_file")))
     return lookup(intents, newest, OWNER)
 
 

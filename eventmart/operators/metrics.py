@@ -26,7 +26,7 @@ FUNNEL_STAGES = {
 
 def series_of(labels: Column) -> Column:
     """A text that is equal for equal label sets."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(labels))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(labels))))
 
 
 def match(samples: DataFrame, matchers: Mapping[str, str] | None = None, metric: str | None = None) -> DataFrame:
@@ -91,8 +91,8 @@ def bucket_rates(samples: DataFrame, metric: str, labels: list[str], window_s: i
     return rate_by(samples, metric, [*labels, "le"], None, window_s)
 
 
-def histogram_quantile(q: float, rates: DataFrame, labels: list[str]) -> DataFrame:
-    """Quantile of cumulative buckets (column `le`), linear inside the bucket.
+def histogram_quantile(q: float | list[float], rates: DataFrame, labels: list[str]) -> DataFrame:
+    """Quantile of cumulative buckets (column `le`), linear inside the bucket; one row per quantile asked for (`q`).
 
     The last bucket has no upper edge: a quantile there is the edge below it. A group is the buckets of one
     label set at one time, so the window is as small as the bucket list.
@@ -100,7 +100,8 @@ def histogram_quantile(q: float, rates: DataFrame, labels: list[str]) -> DataFra
     group = Window.partitionBy(*labels, "ts")
     by_edge = group.orderBy("_edge")
     edge = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").cast("double"))
-    rank = F.lit(q) * F.col("_total")
+    wanted = F.array(*[F.lit(float(x)) for x in (q if isinstance(q, list) else [q])])
+    rank = F.col("q") * F.col("_total")
     inside = (F.col("rate") - F.col("_below")) > 0
     value = (F.when(F.col("_edge") == float("inf"), F.col("_lower"))
               .when(inside, F.col("_lower") + (F.col("_edge") - F.col("_lower"))
@@ -110,8 +111,8 @@ def histogram_quantile(q: float, rates: DataFrame, labels: list[str]) -> DataFra
                     .withColumn("_total", F.max("rate").over(group))
                     .withColumn("_below", F.coalesce(F.lag("rate").over(by_edge), F.lit(0.0)))
                     .withColumn("_lower", F.coalesce(F.lag("_edge").over(by_edge), F.lit(0.0))))
-    return (buckets.filter((F.col("_total") > 0) & (F.col("rate") >= rank))
-                   .groupBy(*labels, "ts").agg(F.min_by(value, F.col("_edge")).alias("quantile")))
+    reached = buckets.withColumn("q", F.explode(wanted)).filter((F.col("_total") > 0) & (F.col("rate") >= rank))
+    return reached.groupBy(*labels, "ts", "q").agg(F.min_by(value, F.col("_edge")).alias("quantile"))
 
 
 def sustained(series: DataFrame, predicate: Column, for_s: int, keys: list[str], max_gap_s: int = 300,
@@ -177,11 +178,15 @@ def latest_by(samples: DataFrame, metric: str, labels: list[str], agg: str = "su
     return latest.groupBy(*labels).agg(value.alias("value"))
 
 
-def topic_status_counts(good: DataFrame, bad: DataFrame) -> DataFrame:
-    """Messages by topic and status."""
-    both = (good.select("topic", F.lit("success").alias("status"))
-            .unionByName(bad.select("topic", F.lit("error").alias("status"))))
-    return both.groupBy("topic", "status").agg(F.count("*").alias("n"))
+def topic_status_counts(judged: DataFrame) -> DataFrame:
+    """Messages by topic and status, from judged rows (topic, reason)."""
+    status = F.when(F.col("reason").isNull(), F.lit("success")).otherwise(F.lit("error"))
+    return judged.groupBy("topic", status.alias("status")).agg(F.count("*").alias("n"))
+
+
+def error_counts(judged: DataFrame) -> DataFrame:
+    """Refused messages by topic."""
+    return judged.filter(F.col("reason").isNotNull()).groupBy("topic").agg(F.count("*").alias("n"))
 
 
 def saga_funnel(events: DataFrame, window_s: int = 300) -> DataFrame:

@@ -179,7 +179,8 @@ def route_delete_retries(retries: DataFrame, now: str | Column = "failed_at",
 
 def orphan_dead_letters(dead_letters: DataFrame, confirmed: DataFrame) -> DataFrame:
     """Dead letters never followed by a success on the same permanent path."""
-    latest = confirmed.groupBy("file_path").agg(F.max("upload_time").alias("_ok"))
-    return (dead_letters.join(latest.withColumnRenamed("file_path", "permanent_path"), "permanent_path", "left")
-            .filter(F.col("_ok").isNull() | (F.col("_ok") <= F.col("dead_letter_time")))
+    latest = confirmed.groupBy("file_path").agg(F.max(micros("upload_time")).alias("_ok"))
+    latest = latest.withColumnRenamed("file_path", "permanent_path")
+    return (scans.lookup(dead_letters, latest, ["permanent_path"])
+            .filter(F.col("_ok").isNull() | (F.col("_ok") <= micros("dead_letter_time")))
             .drop("_ok"))

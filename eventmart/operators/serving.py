@@ -110,7 +110,8 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
     nearest = F.last("_answer", ignorenulls=True).over(late_first)
     seen = scans.own_rows(near.withColumn("_nearest", nearest)).filter(F.col("_side") == 0)
     hit = F.col("_nearest._us") - F.col("_us") <= timeout_s * scans.SECOND
-    best = F.min(F.when(hit, F.struct("by", "_nearest._us", "event_type", "_nearest.event_time", "_us")))
+    best = F.min(F.when(hit, F.struct("by", F.col("_nearest._us").alias("answered_us"), "event_type",
+                                      "_nearest.event_time", F.col("_us").alias("asked_us"))))
     answered = seen.groupBy("_request").agg(best.alias("_best"))
     return answered.select(
         "_request.request_id", "_request.request_time",
@@ -118,7 +119,7 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
         F.col("_best.event_time").alias("outcome_time"),
         F.when(F.col("_best.by") == 0, F.lit("request_id"))
          .when(F.col("_best.by") == 1, F.lit("file_path")).alias("matched_by"),
-        ((F.col("_best").getItem("_us") - micros("_request.request_time")) / scans.SECOND).alias("latency_s"),
+        ((F.col("_best.answered_us") - F.col("_best.asked_us")) / scans.SECOND).alias("latency_s"),
     )
 
 

@@ -327,17 +327,17 @@ oracle("request_outcomes", """
   WITH answers AS (
     SELECT 'media.delete_rejected' AS event_type, NULL AS request_id, path, us AS t, '2' AS src FROM views
     UNION ALL SELECT 'media.file_deleted', NULL, path, us, '1' FROM errors
-    UNION ALL SELECT 'media.file_deleted', request_id, path, us + k * 120000000, '0' FROM clicks WHERE value < 20),
+    UNION ALL SELECT 'media.file_deleted', request_id, path, us + CAST(k AS BIGINT) * 120000000, '0' FROM clicks WHERE value < 20),
   hits AS (
-    SELECT c.request_id, 0 AS by, a.t, a.event_type FROM clicks c JOIN answers a ON a.request_id = c.request_id
+    SELECT c.request_id, 0 AS how, a.t, a.event_type FROM clicks c JOIN answers a ON a.request_id = c.request_id
     WHERE a.t >= c.us AND a.t - c.us <= 3600000000
     UNION ALL
     SELECT c.request_id, 1, a.t, a.event_type FROM clicks c JOIN answers a ON a.path = c.path
     WHERE a.t >= c.us AND a.t - c.us <= 3600000000),
-  best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY by, t, event_type) = 1)
+  best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY how, t, event_type) = 1)
   SELECT c.request_id, c.time AS request_time, coalesce(b.event_type, 'timeout') AS outcome,
          strftime(make_timestamp(b.t), '%Y-%m-%dT%H:%M:%S.%fZ') AS outcome_time,
-         CASE b.by WHEN 0 THEN 'request_id' WHEN 1 THEN 'file_path' END AS matched_by,
+         CASE b.how WHEN 0 THEN 'request_id' WHEN 1 THEN 'file_path' END AS matched_by,
          (b.t - c.us) / 1000000 AS latency_s
   FROM clicks c LEFT JOIN best b USING (request_id)""")
 
@@ -459,6 +459,8 @@ VIEWS["rates"] = _rates("counter", "event_type, status")
 oracle("topic_status_counts", """
   SELECT event_type AS topic, CASE WHEN event_type IN ('purchase', 'error') THEN 'error' ELSE 'success' END AS status,
          count(*) AS n FROM ev GROUP BY ALL""")
+oracle("topic_errors", """
+  SELECT event_type AS topic, count(*) AS n FROM ev WHERE event_type IN ('purchase', 'error') GROUP BY ALL""")
 oracle("metric_rollup_10s", """
   SELECT 'event_value' AS metric, '{"kind":"' || event_type || '"}' AS series,
          strftime(time_bucket(INTERVAL 10 SECONDS, ts), '%Y-%m-%dT%H:%M:%S.%fZ') AS bucket, count(*) AS n,

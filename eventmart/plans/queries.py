@@ -41,10 +41,6 @@ def _rounded(column: str, digits: int = 6) -> Column:
     return F.round(F.col(column), digits)
 
 
-def _tagged(good: DataFrame, bad: DataFrame) -> DataFrame:
-    return good.unionByName(bad, allowMissingColumns=True)
-
-
 # identity ---------------------------------------------------------------------------------------
 
 @query
@@ -276,7 +272,7 @@ def request_outcomes(v: EventViews) -> DataFrame:
     echoed = v.events("click").select(
         F.when(F.col("value") < 20, F.lit("media.file_deleted")).otherwise(F.lit("other")).alias("event_type"),
         S.json_object(request_id=F.col("request_id"), file_path=F.col("path")).alias("payload"),
-        S.iso_micros(F.col("us") + F.col("k") * 120_000_000).alias("event_time"))
+        S.iso_micros(F.col("us") + F.col("k").cast("bigint") * 120_000_000).alias("event_time"))
     answers = by_id.unionByName(by_path).unionByName(echoed)
     return serving.match_outcomes(requests, answers, timeout_s=3600)
 
@@ -285,37 +281,34 @@ def request_outcomes(v: EventViews) -> DataFrame:
 
 @query
 def frame_check(v: EventViews) -> DataFrame:
-    good, bad = ingest.split_frames(v.frames())
-    return _tagged(good.withColumn("body", F.decode("body", "UTF-8")), bad)
+    return ingest.split_frames(v.frames()).all.withColumn("body", F.decode("body", "UTF-8"))
 
 
 @query
 def json_contract(v: EventViews) -> DataFrame:
-    good, bad = ingest.parse_json(v.json_bodies(), "internal.media.upload.intent")
-    return _tagged(good, bad)
+    return ingest.parse_json(v.json_bodies(), "internal.media.upload.intent").all
 
 
 @query
 def route_events(v: EventViews) -> DataFrame:
-    return _tagged(*ingest.route(v.keyed_requests(), {**ingest.WEBHOOK_ROUTES, **ingest.EXTERNAL_ROUTES}))
+    return ingest.route(v.keyed_requests(), {**ingest.WEBHOOK_ROUTES, **ingest.EXTERNAL_ROUTES}).all
 
 
 @query
 def dispatch_topics(v: EventViews) -> DataFrame:
     handled = ["click", "purchase", "view"]
-    return _tagged(*ingest.dispatch(v.frames().select("topic"), handled))
+    return ingest.dispatch(v.frames().select("topic"), handled).all
 
 
 @query
 def require_fields(v: EventViews) -> DataFrame:
-    return _tagged(*ingest.require(v.intent_requests().select("request_id", "file_name", "media_type"),
-                                   "file_name", "media_type"))
+    requests = v.intent_requests().select("request_id", "file_name", "media_type")
+    return ingest.require(requests, "file_name", "media_type").all
 
 
 @query
 def validate_intents(v: EventViews) -> DataFrame:
-    requests = v.intent_requests()
-    return _tagged(*ingest.validate_intents(requests, "upload", "request_time", check_media_type=True))
+    return ingest.validate_intents(v.intent_requests(), "upload", "request_time", check_media_type=True).all
 
 
 @query
@@ -379,7 +372,12 @@ def retry_count_int(v: EventViews) -> DataFrame:
 
 @query
 def topic_status_counts(v: EventViews) -> DataFrame:
-    return metrics.topic_status_counts(*ingest.split_frames(v.frames()))
+    return metrics.topic_status_counts(ingest.split_frames(v.frames()).all)
+
+
+@query
+def topic_errors(v: EventViews) -> DataFrame:
+    return metrics.error_counts(ingest.split_frames(v.frames()).all)
 
 
 @query
@@ -409,10 +407,7 @@ def error_ratio(v: EventViews) -> DataFrame:
 def histogram_quantile(v: EventViews) -> DataFrame:
     rates = metrics.bucket_rates(v.request_buckets(), BUCKET, ["otel_scope_name"])
     rates = rates.withColumn("rate", _rounded("rate", 9))
-    out = None
-    for q in (0.5, 0.95, 0.99):
-        part = metrics.histogram_quantile(q, rates, ["otel_scope_name"]).withColumn("q", F.lit(q))
-        out = part if out is None else out.unionByName(part)
+    out = metrics.histogram_quantile([0.5, 0.95, 0.99], rates, ["otel_scope_name"])
     return _text(out, "ts").withColumn("quantile", _rounded("quantile"))
 
 
