@@ -71,23 +71,24 @@ def parse_json(records: DataFrame, topic: str, max_bytes: int = MAX_BODY_BYTES)
     declared is a violation, and integers stay exact. Keys the contract does not know are ignored.
     """
     schema, size = TOPICS[topic], F.octet_length("value")
-    raw = T.StructType([T.StructField(f"_{f.name}", T.VariantType()) for f in schema]).add("_broken", T.StringType())
+    raw = T.StructType([T.StructField(f.name, T.VariantType()) for f in schema]).add("_broken", T.StringType())
     body = F.from_json(F.when(size <= max_bytes, F.col("value")), raw,
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
     # Inlining one element is the way to have the optimizer parse once instead of once per use.
-    parsed = records.select("*", F.inline(F.array(body)))
+    others = [c for c in records.columns if c != "value" and c not in schema.names]
+    parsed = records.select(*others, "value", F.inline(F.array(body)))
 
     def default(f: T.StructField):
         return FIELD_DEFAULTS.get((topic, f.name))
 
     def fits(f: T.StructField) -> Column:
-        kind = F.schema_of_variant(f"_{f.name}")
+        kind = F.schema_of_variant(f.name)
         optional = f.nullable or default(f) is not None
         return F.coalesce(kind == _KINDS[f.dataType.simpleString()], F.lit(optional)) | (
             F.lit(f.nullable) & (kind == "VOID"))
 
     def value_of(f: T.StructField) -> Column:
-        value = F.try_variant_get(f"_{f.name}", "$", f.dataType.simpleString())
+        value = F.try_variant_get(f.name, "$", f.dataType.simpleString())
         return (value if default(f) is None else F.coalesce(value, F.lit(default(f)))).alias(f.name)
 
     conforms = fits(schema[0])
@@ -97,7 +98,6 @@ def parse_json(records: DataFrame, topic: str, max_bytes: int = MAX_BODY_BYTES)
                .when(size > max_bytes, F.lit("payload_too_large"))
                .when(F.col("_broken").isNotNull(), F.lit("invalid_json"))
                .when(~conforms, F.lit("schema_violation")))
-    others = [c for c in records.columns if c != "value" and c not in schema.names]
     return Judged(parsed, reason, [*others, *[value_of(f) for f in schema]], [*others, "value"])
 
 
