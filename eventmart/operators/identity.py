@@ -19,25 +19,27 @@ def echo(logins: DataFrame) -> DataFrame:
     return conform(logins, "internal.identity.login.echo")
 
 
-def unified_events(logins: DataFrame, signups: DataFrame, signouts: DataFrame) -> DataFrame:
-    """One log of the three identity topics. Only logins keep device, agent and address."""
-
-    def one(df: DataFrame, kind: str) -> DataFrame:
-        time = F.col(UNIFIED_TYPES[kind])
-
-        def device_field(name: str) -> Column:
-            return F.col(name) if kind == "LOGIN" else null_string()
+def unified_part(events: DataFrame, kind: str) -> DataFrame:
+    """One identity topic in the shape of the log. Only logins keep device, agent and address."""
+    time = F.col(UNIFIED_TYPES[kind])
+
+    def device_field(name: str) -> Column:
+        return F.col(name) if kind == "LOGIN" else null_string()
+
+    return events.select(
+        F.concat("user_id", F.lit("_"), time).alias("event_id"),
+        time.alias("event_time"),
+        F.lit(kind).alias("event_type"),
+        "user_id",
+        "email",
+        *[device_field(n).alias(n) for n in ("device_id", "user_agent", "ip_address")],
+    )
 
-        return df.select(
-            F.concat("user_id", F.lit("_"), time).alias("event_id"),
-            time.alias("event_time"),
-            F.lit(kind).alias("event_type"),
-            "user_id",
-            "email",
-            *[device_field(n).alias(n) for n in ("device_id", "user_agent", "ip_address")],
-        )
 
-    return one(logins, "LOGIN").unionByName(one(signups, "SIGNUP")).unionByName(one(signouts, "SIGNOUT"))
+def unified_events(logins: DataFrame, signups: DataFrame, signouts: DataFrame) -> DataFrame:
+    """One log of the three identity topics."""
+    return (unified_part(logins, "LOGIN").unionByName(unified_part(signups, "SIGNUP"))
+            .unionByName(unified_part(signouts, "SIGNOUT")))
 
 
 def _login_ts(logins: DataFrame) -> Column:
