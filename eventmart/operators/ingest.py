@@ -72,7 +72,9 @@ def parse_json(records: DataFrame, topic: str, max_bytes: int = MAX_BODY_BYTES)
     """
     schema, size = TOPICS[topic], F.octet_length("value")
     raw = T.StructType([T.StructField(f.name, T.VariantType()) for f in schema]).add("_broken", T.StringType())
-    body = F.from_json(F.when(size <= max_bytes, F.col("value")), raw,
+    # Only objects are bodies; the parser by itself would also take an array of one object.
+    is_object = F.col("value").rlike(r"^\s*\{")
+    body = F.from_json(F.when((size <= max_bytes) & is_object, F.col("value")), raw,
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
     # Inlining one element is the way to have the optimizer parse once instead of once per use.
     others = [c for c in records.columns if c != "value" and c not in schema.names]
@@ -96,7 +98,7 @@ def parse_json(records: DataFrame, topic: str, max_bytes: int = MAX_BODY_BYTES)
         conforms = conforms & fits(f)
     reason = (F.when(F.col("value").isNull(), F.lit("invalid_json"))
                .when(size > max_bytes, F.lit("payload_too_large"))
-               .when(F.col("_broken").isNotNull(), F.lit("invalid_json"))
+               .when(~is_object | F.col("_broken").isNotNull(), F.lit("invalid_json"))
                .when(~conforms, F.lit("schema_violation")))
     return Judged(parsed, reason, [*others, *[value_of(f) for f in schema]], [*others, "value"])
 
