@@ -25,7 +25,9 @@ def main() -> None:
 
     spark = create_session("bench", None, {}, **{
         "spark.master": f"local[{cpus}]", "spark.driver.memory": "16g", "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": cpus})
+        "spark.sql.shuffle.partitions": cpus,
+        # small tables: keep shuffles on all cores instead of merging them down to one task
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"})
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:

@@ -51,13 +51,13 @@ def balance_lookup(users: DataFrame, ledger: DataFrame) -> DataFrame:
                  .withColumns({"balance": balance, "blocked": balance <= 0}))
 
 
-def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int = scans.CHUNK_SECONDS) -> DataFrame:
+def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int | None = None) -> DataFrame:
     """Approve an upload intent iff the user's balance is at least 1 when its turn comes; then take 1.
 
     Per user, in order of (time, credits before intents, request id), credits add and intents take 1.
     A refused intent leaves the balance at 0, so the balance is a running sum reflected at zero:
-    balance = S - least(0, lowest S so far). Both S and its lowest point are scanned in two levels
-    (within a time chunk, then over the chunks' totals), so one user's rows never meet in one task.
+    balance = S - least(0, lowest S so far). Where a user has too many rows for one task, both S and its lowest
+    point are scanned in two levels: within a time chunk, then over the chunks' totals.
 
     Credits must not be negative: that is what makes the reflection exact, and a negative one raises.
     An intent whose time cannot be read is refused with an internal error.
@@ -69,11 +69,13 @@ def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int = scans.CHU
                      .select("user_id", micros("event_time").alias("_us"), F.lit(0).alias("_kind"),
                              amount.otherwise(F.col("amount")).cast("bigint").alias("_x"),
                              F.lit("").alias("request_id")))
-    timed = intents.withColumn("_us", micros("request_time"))
-    asked = timed.filter(F.col("_us").isNotNull()).select(
-        "user_id", "_us", F.lit(1).alias("_kind"), F.lit(UPLOAD_DEDUCTION[2]).cast("bigint").alias("_x"),
-        "request_id", *detail)
-    walk = scans.chunked(asked.unionByName(credits, allowMissingColumns=True), "_us", grain_s)
+    taken = F.when(F.col("_us").isNull(), F.lit(0)).otherwise(F.lit(UPLOAD_DEDUCTION[2])).cast("bigint")
+    asked = intents.withColumn("_us", micros("request_time")).select(
+        "user_id", "_us", F.lit(1).alias("_kind"), taken.alias("_x"), "request_id", *detail)
+    rows = asked.unionByName(credits, allowMissingColumns=True)
+    if grain_s is None:
+        grain_s = scans.pick_grain(rows, keys, "_us")
+    walk = scans.chunked(rows, "_us", grain_s)
 
     # S and its lowest earlier point, counted from the start of the chunk.
     window = scans.local_window(keys, order)
@@ -81,30 +83,32 @@ def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int = scans.CHU
                  .withColumn("_low", F.min("_s").over(scans.before(window))))
 
     # What earlier chunks add: the sum on entry, and the lowest point reached before entry.
-    scan = scans.chunk_scan(keys)
-    totals = steps.groupBy(*keys, scans.CHUNK).agg(F.sum("_x").alias("_t"), F.min("_s").alias("_m"))
-    entry = (totals.withColumn("_entry", F.coalesce(F.sum("_t").over(scan), F.lit(0)))
-                   .withColumn("_floor", F.min(F.col("_entry") + F.col("_m")).over(scan))
-                   .select(*keys, scans.CHUNK, "_entry", "_floor"))
-
-    sum_before = F.col("_entry") + F.col("_s") - F.col("_x")
-    lowest = F.least(F.lit(0), F.col("_floor"), F.col("_entry") + F.col("_low"))
-    decided = (steps.filter(F.col("_kind") == 1).join(entry, [*keys, scans.CHUNK], "left")
-                    .withColumn("_ok", sum_before - lowest >= 1))
-    checked = _decisions(decided, F.col("_ok"), F.lit(INSUFFICIENT))
-    unreadable = timed.filter(F.col("_us").isNull())
-    return checked.unionByName(_decisions(unreadable, F.lit(False), F.lit(INTERNAL_ERROR)))
+    asked_steps, entry, floor = steps.filter(F.col("_kind") == 1), F.lit(0), F.lit(None).cast("bigint")
+    if grain_s:
+        asked_steps, entry, floor = _with_entry(asked_steps, steps, keys), F.col("_entry"), F.col("_floor")
+    lowest = F.least(F.lit(0), floor, entry + F.col("_low"))
+    readable = F.col("_us").isNotNull()
+    approved = readable & (entry + F.col("_s") - F.col("_x") - lowest >= 1)
+    reason = F.when(readable, F.lit(INSUFFICIENT)).otherwise(F.lit(INTERNAL_ERROR))
 
-
-def _decisions(df: DataFrame, approved, reason) -> DataFrame:
     def text(yes, no):
-        return F.when(approved, yes).otherwise(no)
+        return F.when(F.col("_ok"), yes).otherwise(no)
 
-    return df.select(
+    return asked_steps.withColumns({"_ok": F.coalesce(approved, F.lit(False)), "_reason": reason}).select(
         text(F.lit("approved"), F.lit("rejected")).alias("outcome"),
         "user_id", "file_name", "media_type", "file_size", "request_id",
         text(F.col("request_time"), F.lit("")).alias("request_time"),
-        text(F.lit(""), reason).alias("reason"),
+        text(F.lit(""), F.col("_reason")).alias("reason"),
         text(F.lit(""), F.coalesce(iso_micros("_us"), F.col("request_time"))).alias("rejected_time"),
         text(F.lit(UPLOAD_DEDUCTION[2]), F.lit(0)).alias("ledger_delta"),
     )
+
+
+def _with_entry(rows: DataFrame, steps: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the state their chunk starts from, out of one reduced row per (key, chunk)."""
+    scan = scans.chunk_scan(keys)
+    totals = steps.groupBy(*keys, scans.CHUNK).agg(F.sum("_x").alias("_t"), F.min("_s").alias("_m"))
+    entry = (totals.withColumn("_entry", F.coalesce(F.sum("_t").over(scan), F.lit(0)))
+                   .withColumn("_floor", F.min(F.col("_entry") + F.col("_m")).over(scan))
+                   .select(*keys, scans.CHUNK, "_entry", "_floor"))
+    return rows.join(entry, [*keys, scans.CHUNK], "left")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from eventmart.functions.scalars import (col, host_of, is_allowed_media_type, non_empty, null_string,
                                          url_decoded)
+from eventmart.operators.scans import lookup
 from eventmart.schemas import FIELD_DEFAULTS, OBJECT_NOTIFICATION, TOPICS
 
 # Limits, routes and reasons.
@@ -203,5 +204,5 @@ def signouts_from_changes(changes: DataFrame, users: DataFrame, now: str | Colum
         F.col("old.user_id").alias("user_id"), col(now).alias("signout_time"),
         F.col("old.user_agent").alias("user_agent"), host_of("old.ip").alias("ip_address"))
     emails = users.select(F.col("id").alias("user_id"), "email")
-    return gone.join(emails, "user_id", "left").select(
+    return lookup(gone, emails, ["user_id"]).select(
         "user_id", "email", "signout_time", null_string().alias("device_id"), "user_agent", "ip_address")

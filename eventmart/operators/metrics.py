@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventmart.operators import scans
 
 RATE_WINDOW_S = 300
+GRAIN_S = 21600  # a series has few samples in six hours: their number is set by the scrape interval
 
 # Topics whose counts make up the saga funnel, and the stage each one stands for.
 FUNNEL_STAGES = {
@@ -44,7 +45,7 @@ def label_columns(labels: list[str]) -> list[Column]:
 
 
 def rate(samples: DataFrame, metric: str, window_s: int = RATE_WINDOW_S, matchers: Mapping[str, str] | None = None,
-         grain_s: int = scans.CHUNK_SECONDS) -> DataFrame:
+         grain_s: int = GRAIN_S) -> DataFrame:
     """Per-second increase of each series over the trailing window, at each sample; a drop counts as a reset.
 
     The increase is taken between the first and last sample inside the window, without extrapolation to its
@@ -116,7 +117,7 @@ def histogram_quantile(q: float | list[float], rates: DataFrame, labels: list[st
 
 
 def sustained(series: DataFrame, predicate: Column, for_s: int, keys: list[str], max_gap_s: int = 300,
-              grain_s: int = scans.CHUNK_SECONDS) -> DataFrame:
+              grain_s: int = GRAIN_S) -> DataFrame:
     """Each point with `since` (start of the unbroken run of true points it belongs to) and `firing`.
 
     A point fires when its run has lasted `for_s`. A false point or a gap longer than `max_gap_s` ends a run.
@@ -129,7 +130,7 @@ def sustained(series: DataFrame, predicate: Column, for_s: int, keys: list[str],
     goes_on = F.coalesce(F.col("_prev_true") & (F.col("_us") - F.col("_prev_us") <= max_gap_s * scans.SECOND),
                          F.lit(False))
     starts = steps.withColumn("_start", F.when(F.col("_true") & ~goes_on, F.col("_us")))
-    runs = scans.running_max(starts, keys, ["_us"], {"_since": F.col("_start")})
+    runs = scans.running_max(starts, keys, ["_us"], {"_since": F.col("_start")}, grain_s)
     since = F.when(F.col("_true"), F.col("_since"))
     return (runs.withColumn("since", F.timestamp_micros(since))
                 .withColumn("firing", F.coalesce(F.col("_us") - since >= for_s * scans.SECOND, F.lit(False)))

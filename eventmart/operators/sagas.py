@@ -18,7 +18,7 @@ DELETE_FIELDS = ["user_id", "file_path", "file_name", "media_type", "file_size",
 
 
 def expired_uploads(signed: DataFrame, received: DataFrame, ttl_s: int = UPLOAD_TTL_S,
-                    grain_s: int = scans.CHUNK_SECONDS) -> DataFrame:
+                    grain_s: int | None = None) -> DataFrame:
     """Signed uploads whose object did not arrive in time.
 
     Signed events of one path that follow each other within the time limit form a chain: each moves the
@@ -29,6 +29,10 @@ def expired_uploads(signed: DataFrame, received: DataFrame, ttl_s: int = UPLOAD_
     path, ttl = ["file_path"], ttl_s * scans.SECOND
     fields = ["user_id", "file_name", "request_id", "signed_time"]
     events = signed.select(*path, *fields, micros("signed_time").alias("_us"))
+    receipts = received.select(*path, micros("upload_time").alias("_us"))
+    if grain_s is None:
+        times = events.select(*path, "_us").unionByName(receipts)
+        grain_s = scans.pick_grain(times, path, "_us", 2 * ttl_s)
 
     # Neighbours matter only within two time limits, so halo rows are enough to find chain starts and ends.
     near = scans.halo(events, "_us", back_s=2 * ttl_s, ahead_s=ttl_s, grain_s=grain_s)
@@ -47,13 +51,13 @@ def expired_uploads(signed: DataFrame, received: DataFrame, ttl_s: int = UPLOAD_
     # One line per path: chain starts at their time, receipts at theirs, chain ends at the deadline.
     # On the deadline's line, the last start and the last receipt so far settle the case.
     marks = (links.filter("_from is not null").select(*path, "_us", F.lit(0).alias("_rank"), "_from")
-             .unionByName(received.select(*path, micros("upload_time").alias("_us"), F.lit(0).alias("_rank"),
-                                          micros("upload_time").alias("_seen")), allowMissingColumns=True)
+             .unionByName(receipts.select(*path, "_us", F.lit(0).alias("_rank"), F.col("_us").alias("_seen")),
+                          allowMissingColumns=True)
              .unionByName(links.filter("_ends").select(*path, (t + ttl).alias("_us"), F.lit(1).alias("_rank"),
                                                        F.struct(*fields).alias("_last")),
                           allowMissingColumns=True))
     line = scans.running_max(scans.chunked(marks, "_us", grain_s), path, ["_us", "_rank"],
-                             {"_lower": F.col("_from"), "_receipt": F.col("_seen")})
+                             {"_lower": F.col("_from"), "_receipt": F.col("_seen")}, grain_s)
     late = F.coalesce(F.col("_receipt") < F.col("_lower"), F.lit(True))
     return line.filter(F.col("_last").isNotNull() & late).select(
         "_last.user_id",
@@ -68,7 +72,7 @@ def expired_uploads(signed: DataFrame, received: DataFrame, ttl_s: int = UPLOAD_
 
 
 def move_saga(received: DataFrame, ready: DataFrame, timeout_s: int = MOVE_TIMEOUT_S,
-              max_retries: int = MAX_RETRIES, grain_s: int = scans.CHUNK_SECONDS) -> DataFrame:
+              max_retries: int = MAX_RETRIES, grain_s: int | None = None) -> DataFrame:
     """Outcome of every received upload: confirmed, retry or dead_letter, as one wide row (`_type`).
 
     Per permanent path, received and ready rows in time order form runs: a new run starts where the kind
@@ -83,6 +87,8 @@ def move_saga(received: DataFrame, ready: DataFrame, timeout_s: int = MOVE_TIMEO
                                       micros("upload_time").alias("_us"), F.lit(1).alias("_kind")),
                          allowMissingColumns=True))
 
+    if grain_s is None:
+        grain_s = scans.pick_grain(rows, path, "_us", timeout_s)
     near = scans.halo(rows, "_us", back_s=timeout_s, ahead_s=timeout_s, grain_s=grain_s)
     order = ["_us", "_kind", "retry_count"]
     window = scans.local_window(path, order)
@@ -94,7 +100,7 @@ def move_saga(received: DataFrame, ready: DataFrame, timeout_s: int = MOVE_TIMEO
     })).withColumn("_start", F.when(~F.coalesce(follows, F.lit(False)), t * 2 + kind))
 
     # The latest run start so far carries its kind in the lowest bit.
-    runs = scans.running_max(steps, path, order, {"_run": F.col("_start")})
+    runs = scans.running_max(steps, path, order, {"_run": F.col("_start")}, grain_s)
     opens = F.col("_run") % 2 == kind
     next_in_time = F.coalesce(F.col("_next._us") - t <= limit, F.lit(False))
     next_kind = F.col("_next._kind")

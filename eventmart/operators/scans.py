@@ -1,7 +1,8 @@
-"""Ordered work per key that never puts one key's rows into one task.
+"""Ordered work per key that never puts a hot key's rows into one task.
 
-A key may hold a third of all rows, so no window here partitions by the key alone. Rows are cut by
-(key, time chunk) and two devices bring back what a chunk cannot see:
+A key may hold a third of all rows. `pick_grain` first counts rows per key (a map-side combined count). While
+every key fits a task, windows run over whole keys: one shuffle and nothing else. Otherwise rows are cut by (key, time
+chunk), with the longest chunk that fits, and two devices bring back what a chunk cannot see:
 
 * `halo` — when a rule looks back or ahead by a bounded time, rows near a chunk's edge are also copied
   into the neighbour chunk. One shuffle, one sort, no join.
@@ -17,25 +18,46 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 OWN = "_own"
-CHUNK_SECONDS = 6 * 3600
 SECOND = 1_000_000
+ROWS_PER_TASK = 5_000_000
+WHOLE = 0  # grain of a key that is not cut
+GRAINS_S = [86400, 21600, 3600, 600, 60]
+
+
+def pick_grain(df: DataFrame, keys: list[str], us: str, at_least_s: int = 60,
+               rows_per_task: int = ROWS_PER_TASK) -> int:
+    """The longest chunk, in seconds, that leaves no (key, chunk) with more rows than a task should sort.
+
+    Runs one count over the keys, and further ones only when some key is too large. The answer is one number.
+    """
+    def largest(*groups) -> int:
+        return df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+
+    if largest(*keys) <= rows_per_task:
+        return WHOLE
+    for grain_s in (g for g in GRAINS_S if g > at_least_s):
+        if largest(*keys, chunk_of(F.col(us), grain_s).alias(CHUNK)) <= rows_per_task:
+            return grain_s
+    return at_least_s
 
 
 def chunk_of(us: Column, grain_s: int) -> Column:
-    return F.floor(us / F.lit(grain_s * SECOND))
+    return F.floor(us / F.lit(grain_s * SECOND)) if grain_s else F.lit(0).cast("bigint")
 
 
-def chunked(df: DataFrame, us: str, grain_s: int = CHUNK_SECONDS) -> DataFrame:
+def chunked(df: DataFrame, us: str, grain_s: int) -> DataFrame:
     return df.withColumn(CHUNK, chunk_of(F.col(us), grain_s))
 
 
-def halo(df: DataFrame, us: str, back_s: int = 0, ahead_s: int = 0, grain_s: int = CHUNK_SECONDS) -> DataFrame:
+def halo(df: DataFrame, us: str, back_s: int = 0, ahead_s: int = 0, grain_s: int = WHOLE) -> DataFrame:
     """Put every row into its chunk and into the chunks whose rows may look at it.
 
     `back_s`: rows look back this far, so a row is also needed by chunks up to `back_s` later;
     `ahead_s`: rows look ahead this far. `_own` is true on the one copy that is the row itself;
     callers filter on it after the window.
     """
+    if not grain_s:
+        return df.withColumns({CHUNK: chunk_of(F.col(us), grain_s), OWN: F.lit(True)})
     if max(back_s, ahead_s) > grain_s:
         raise ValueError("a chunk must be at least as long as the time the rule looks across")
     t = F.col(us)
@@ -66,12 +88,14 @@ def chunk_scan(keys: list[str]) -> Window:
     return before(Window.partitionBy(*keys).orderBy(CHUNK))
 
 
-def running_max(df: DataFrame, keys: list[str], order: list, values: dict[str, Column]) -> DataFrame:
+def running_max(df: DataFrame, keys: list[str], order: list, values: dict[str, Column], grain_s: int) -> DataFrame:
     """Add, per key in `order`, the maximum of each value up to and including the row.
 
-    `df` must carry `_chunk`, and `order` must start with the time the chunk was taken from.
+    `df` must carry `_chunk` of the grain, and `order` must start with the time the chunk was taken from.
     """
     window = so_far(local_window(keys, order))
+    if not grain_s:
+        return df.withColumns({n: F.max(v).over(window) for n, v in values.items()})
     totals = df.groupBy(*keys, CHUNK).agg(*[F.max(v).alias(f"_{n}") for n, v in values.items()])
     carried = totals.select(*keys, CHUNK, *[F.max(f"_{n}").over(chunk_scan(keys)).alias(f"_{n}") for n in values])
     return (df.withColumns({n: F.max(v).over(window) for n, v in values.items()})
@@ -80,8 +104,8 @@ def running_max(df: DataFrame, keys: list[str], order: list, values: dict[str, C
               .drop(*[f"_{n}" for n in values]))
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of many rows to a table of one row per key, in a form the engine can rebalance.
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Left (or left semi) join of many rows to a table of one row per key, in a form the engine can rebalance.
 
     The tables come out of an aggregation on the same keys. Joining on the keys alone would reuse that
     aggregation's exchange, and adaptive execution only splits a hot key's rows when both inputs of the join
@@ -89,5 +113,5 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """
     spread = F.xxhash64(*keys)
     return (rows.withColumn("_spread", spread)
-                .join(table.withColumn("_spread", spread), ["_spread", *keys], "left")
+                .join(table.withColumn("_spread", spread), ["_spread", *keys], how)
                 .drop("_spread"))

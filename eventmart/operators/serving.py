@@ -38,7 +38,8 @@ def visible(notifications: DataFrame, viewers: DataFrame) -> DataFrame:
     """Readable rows of all given viewers (column `viewer`), broadcasts once under `*`."""
     rows = audience(notifications)
     public = F.col("viewer") == EVERYONE
-    return rows.filter(~public).join(viewers.select("viewer"), "viewer", "left_semi").unionByName(rows.filter(public))
+    private = scans.lookup(rows.filter(~public), viewers.select("viewer"), ["viewer"], "left_semi")
+    return private.unionByName(rows.filter(public))
 
 
 def own_rows(df: DataFrame, viewer: str) -> DataFrame:
@@ -62,7 +63,7 @@ def history(notifications: DataFrame, viewers: DataFrame, n: int = 20) -> DataFr
         return ranked.filter(F.col("_rank") <= n)
 
     wanted = viewers.select("viewer").distinct()
-    private = top(rows.filter(~public).join(wanted, "viewer", "left_semi")).drop("_rank")
+    private = top(scans.lookup(rows.filter(~public), wanted, ["viewer"], "left_semi")).drop("_rank")
     broadcasts = rows.filter(public).select(*shown).orderBy(*newest).limit(n)
     shared = broadcasts.agg(F.collect_list(F.struct(*shown)).alias("rows"))
     given = wanted.select("viewer", F.inline(shared.scalar()))
@@ -81,7 +82,7 @@ def latest_per(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int = 30,
-                   grain_s: int = scans.CHUNK_SECONDS) -> DataFrame:
+                   grain_s: int | None = None) -> DataFrame:
     """For each request the first notification that answers it, or `timeout`.
 
     `requests`: request_id, file_path (may be null), types (accepted event types), request_time. A notification
@@ -105,6 +106,8 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
     rows = (asked.select(*key, "_us", "_side", F.struct("request_id", "request_time").alias("_request"))
             .unionByName(answers.select(*key, "_us", "_side", F.struct("_us", "event_time", "payload").alias("_answer")),
                          allowMissingColumns=True))
+    if grain_s is None:
+        grain_s = scans.pick_grain(rows, key, "_us", timeout_s)
     near = scans.halo(rows, "_us", ahead_s=timeout_s, grain_s=grain_s)
     late_first = scans.so_far(scans.local_window(key, [F.desc("_us"), F.desc("_side"), F.desc("_answer.payload")]))
     nearest = F.last("_answer", ignorenulls=True).over(late_first)

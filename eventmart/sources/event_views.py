@@ -18,6 +18,10 @@ TTL_SPEED, MOVE_SPEED = 300, 3000  # how much faster than in the table the saga
 MEDIA_TYPES = ["image/jpeg", "image/png", "image/gif", "image/webp", "video/mp4", "video/webm", "audio/mpeg",
                "audio/wav", "audio/ogg", "application/pdf", "text/plain", "image/bmp"]
 NOW = "2024-02-01T00:00:00Z"
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
 
 
 class EventViews:
@@ -25,14 +29,18 @@ class EventViews:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = use_utc(spark), folder
+        self._events = None
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def events(self, kind: str | None = None) -> DataFrame:
-        rows = self.read("events")
-        if kind is not None:
-            rows = rows.filter(F.col("event_type") == kind)
+        if self._events is None:
+            self._events = self._typed(self.read("events"))
+        return self._events if kind is None else self._events.filter(F.col("event_type") == kind)
+
+    @staticmethod
+    def _typed(rows: DataFrame) -> DataFrame:
         uid = F.concat(F.lit("u"), "user_id")
         k = F.get_json_object("props", "$.k").cast("int")
         return rows.select(

@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 
 import pytest
 
-from eventmart.operators import credits, metrics, sagas, serving
+from eventmart.operators import credits, metrics, sagas, scans, serving
 from eventmart.schemas import TOPICS
 from eventmart.streaming.rules import CreditCheck, MoveSaga, UploadTtl
 
@@ -44,7 +44,7 @@ def unique_times(rows):
     return list({(r[0], r[1]): r for r in rows}.values())
 
 
-@pytest.mark.parametrize("grain_s", [1800, 5400, 10_000_000])
+@pytest.mark.parametrize("grain_s", [None, 1800, 5400])
 def test_upload_ttl(spark, grain_s):
     rows = unique_times(random_rows(random.Random(1), 40, 700, 40_000))
     rows = [r for r in rows if r[0] != "hot" or r[1] % 3 or r[2] == 0]
@@ -64,7 +64,7 @@ def test_upload_ttl(spark, grain_s):
     assert got == sorted((r["key"], r["request_id"], r["signed_time"], iso(r["outcome_us"])) for r in expected)
 
 
-@pytest.mark.parametrize("grain_s", [120, 1000, 10_000_000])
+@pytest.mark.parametrize("grain_s", [None, 120, 1000])
 def test_move_saga(spark, grain_s):
     rows = unique_times(random_rows(random.Random(2), 40, 1500, 20_000))
     received = [(k, us, i % 5) for i, (k, us, kind) in enumerate(rows) if kind == 0]
@@ -83,7 +83,7 @@ def test_move_saga(spark, grain_s):
                          for r in expected)
 
 
-@pytest.mark.parametrize("grain_s", [60, 3600, 10_000_000])
+@pytest.mark.parametrize("grain_s", [None, 60, 3600])
 def test_credit_check(spark, grain_s):
     rows = list(random_rows(random.Random(3), 30, 1500, 50_000))
     asked = [(k, us, f"r{i:05d}") for i, (k, us, kind) in enumerate(rows) if kind == 0 or us // SECOND % 2]
@@ -113,7 +113,7 @@ def test_credit_check_refuses_unreadable_times_and_negative_credits(spark):
         credits.credit_check(good, bad).collect()
 
 
-@pytest.mark.parametrize("grain_s", [600, 10_000_000])
+@pytest.mark.parametrize("grain_s", [None, 600])
 def test_match_outcomes(spark, grain_s):
     rng = random.Random(4)
     requests = [(f"r{i}", rng.choice(["p1", "p2", None]), START + rng.randrange(20_000) * SECOND) for i in range(300)]
@@ -136,7 +136,7 @@ def test_match_outcomes(spark, grain_s):
     assert got == sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("grain_s", [300, 10_000_000])
+@pytest.mark.parametrize("grain_s", [0, 300])
 def test_rate_and_sustained(spark, grain_s):
     rng = random.Random(5)
     points, total = {}, {"a": 0.0, "b": 0.0}
@@ -171,3 +171,13 @@ def test_rate_and_sustained(spark, grain_s):
     got = {(r.labels["s"], int(r.ts.replace(tzinfo=timezone.utc).timestamp()) - START // SECOND): r.firing
            for r in held.collect()}
     assert got == firing and len(set(firing.values())) == 2
+
+
+def test_grain_is_the_longest_that_fits(spark):
+    rows = spark.createDataFrame([("hot", START + i * 60 * SECOND) for i in range(3000)] + [("k", START)], "key string, us long")
+    pick = scans.pick_grain
+    assert pick(rows, ["key"], "us", 60, 3000) == scans.WHOLE
+    assert pick(rows, ["key"], "us", 60, 1440) == 86400
+    assert pick(rows, ["key"], "us", 60, 100) == 3600
+    assert pick(rows, ["key"], "us", 1800, 10) == 1800
+    assert pick(rows.limit(0), ["key"], "us") == scans.WHOLE
