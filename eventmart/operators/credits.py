@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.scalars import iso_micros, micros
 from eventmart.operators import scans
+from eventmart.operators.scans import lookup
 
 # Ledger event types, texts and amounts.
 SIGNUP_BONUS = ("credit.signup_bonus", "Welcome bonus: 2 credits", 2)
@@ -51,6 +52,15 @@ def balance_lookup(users: DataFrame, ledger: DataFrame) -> DataFrame:
                  .withColumns({"balance": balance, "blocked": balance <= 0}))
 
 
+def affordable(intents: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Intents of users whose balance is at least 1 as the ledger stands, each judged by itself.
+
+    The one-shot form of the check: unlike `credit_check`, earlier intents of the same run do not count.
+    """
+    enough = balances(ledger).filter(F.col("balance") >= 1).select("user_id")
+    return lookup(intents, enough, ["user_id"], "left_semi")
+
+
 def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int | None = None) -> DataFrame:
     """Approve an upload intent iff the user's balance is at least 1 when its turn comes; then take 1.
 

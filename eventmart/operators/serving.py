@@ -21,25 +21,30 @@ def visible_to(notifications: DataFrame, viewer: str | Column) -> DataFrame:
                                 | (message & F.col("recipient_id").eqNullSafe(viewer)))
 
 
+def is_public() -> Column:
+    return (F.col("event_type") == MESSAGE) & F.coalesce(F.col("visibility") == "broadcast", F.lit(False))
+
+
 def audience(notifications: DataFrame) -> DataFrame:
     """Every row once per reader group: owner and recipient by name, or everyone (`*`) for a broadcast message.
 
     No join and no shuffle; a row becomes at most two. What a viewer sees is the rows under their name plus
     the rows under `*`, so the product of viewers and broadcasts is never written out.
     """
-    message = F.col("event_type") == MESSAGE
-    named = F.array_distinct(F.array_compact(F.array(F.col("user_id"), F.when(message, F.col("recipient_id")))))
-    viewers = (F.when(message & (F.col("visibility") == "broadcast"), F.array(F.lit(EVERYONE)))
-                .otherwise(named))
-    return notifications.withColumn("viewer", F.explode(viewers))
+    public = notifications.filter(is_public()).withColumn("viewer", F.lit(EVERYONE))
+    return _private(notifications).unionByName(public)
+
+
+def _private(notifications: DataFrame) -> DataFrame:
+    recipient = F.when(F.col("event_type") == MESSAGE, F.col("recipient_id"))
+    viewers = F.array_distinct(F.array_compact(F.array(F.col("user_id"), recipient)))
+    return notifications.filter(~is_public()).withColumn("viewer", F.explode(viewers))
 
 
 def visible(notifications: DataFrame, viewers: DataFrame) -> DataFrame:
     """Readable rows of all given viewers (column `viewer`), broadcasts once under `*`."""
-    rows = audience(notifications)
-    public = F.col("viewer") == EVERYONE
-    private = scans.lookup(rows.filter(~public), viewers.select("viewer"), ["viewer"], "left_semi")
-    return private.unionByName(rows.filter(public))
+    private = scans.lookup(_private(notifications), viewers.select("viewer"), ["viewer"], "left_semi")
+    return private.unionByName(notifications.filter(is_public()).withColumn("viewer", F.lit(EVERYONE)))
 
 
 def own_rows(df: DataFrame, viewer: str) -> DataFrame:
@@ -49,22 +54,20 @@ def own_rows(df: DataFrame, viewer: str) -> DataFrame:
 def history(notifications: DataFrame, viewers: DataFrame, n: int = 20) -> DataFrame:
     """Per viewer the newest `n` readable rows, numbered in display order (1 = oldest shown).
 
-    The newest n of all rows are among the newest n private ones and the newest n broadcasts. Broadcasts are
-    the same for everyone: their newest n are found once and handed to each viewer as one small array.
-    The per-viewer ranking keeps at most n rows of a viewer per task before the shuffle.
+    The newest n of all rows are among the newest n private ones and the newest n broadcasts. Private rows are
+    ranked first, which leaves each task at most n rows of a viewer to send. Broadcasts are the same for
+    everyone: their newest n are found once and handed to each viewer as one small array.
     """
     shown = ["event_type", "payload", "event_time", "user_id"]
     newest = [F.desc("event_time"), F.desc("event_type"), F.desc("payload"), F.desc("user_id")]
-    rows = audience(notifications).select("viewer", *shown)
-    public = F.col("viewer") == EVERYONE
 
     def top(df: DataFrame) -> DataFrame:
         ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy("viewer").orderBy(*newest)))
         return ranked.filter(F.col("_rank") <= n)
 
     wanted = viewers.select("viewer").distinct()
-    private = top(scans.lookup(rows.filter(~public), wanted, ["viewer"], "left_semi")).drop("_rank")
-    broadcasts = rows.filter(public).select(*shown).orderBy(*newest).limit(n)
+    private = top(_private(notifications).select("viewer", *shown)).drop("_rank").join(wanted, "viewer", "left_semi")
+    broadcasts = notifications.filter(is_public()).select(*shown).orderBy(*newest).limit(n)
     shared = broadcasts.agg(F.collect_list(F.struct(*shown)).alias("rows"))
     given = wanted.select("viewer", F.inline(shared.scalar()))
     of_viewer = F.count("*").over(Window.partitionBy("viewer"))

@@ -194,6 +194,10 @@ oracle("credit_balances", _WALK + """
   SELECT user_id, CAST(sum(amount) AS BIGINT) AS balance FROM (
     SELECT user_id, 2 AS amount FROM signups UNION ALL SELECT user_id, -1 FROM decided WHERE approved)
   GROUP BY user_id""")
+oracle("credit_affordable", _WALK + """,
+  rich AS (SELECT user_id FROM (SELECT user_id, 2 AS amount FROM signups
+             UNION ALL SELECT user_id, -1 FROM decided WHERE approved) GROUP BY user_id HAVING sum(amount) >= 1)
+  SELECT request_id, user_id FROM clicks SEMI JOIN rich USING (user_id)""")
 oracle("credit_balance_lookup", """
   SELECT u.user_id, CAST(count(s.user_id) * 2 AS BIGINT) AS balance, count(s.user_id) = 0 AS blocked
   FROM (SELECT user_id FROM ev UNION SELECT user_id FROM messages) u LEFT JOIN signups s USING (user_id)
@@ -580,5 +584,14 @@ oracle("access_patterns", """
   WHERE event_type = 'user.message' AND visibility = 'broadcast' GROUP BY event_type""")
 
 
+# streams ----------------------------------------------------------------------------------------
+
+for _stream, _batch in [("stream_ttl_expired", "ttl_expired"), ("stream_move_saga", "move_saga"),
+                        ("stream_credit_check", "credit_check"), ("stream_dedup", "unified_events"),
+                        ("partition_rewrite", "login_aggregates_backfill")]:
+    oracle(_stream, ORACLES[_batch])
+oracle("stream_ledger", f"{ORACLES['ledger_signup_bonus']} UNION ALL {ORACLES['ledger_refund']}")
+
+
 def oracle_statements() -> dict[str, str]:
     return {name: statement(name) for name in ORACLES}

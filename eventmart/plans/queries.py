@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from eventmart.functions import scalars as S
 from eventmart.operators import (credits, governance, identity, ingest, media, metrics, notifications, olap, sagas,
                                  serving)
+from eventmart.plans import jobs
+from eventmart.schemas import TABLES, TOPICS, conform
+from eventmart.session import BASE_CONF, shared_dir
 from eventmart.sources.event_views import MOVE_SPEED, NOW, EventViews
+from eventmart.sources.topics import read_topic
+from eventmart.streaming import processors, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +142,11 @@ def credit_balance_lookup(v: EventViews) -> DataFrame:
     return credits.balance_lookup(users, credits.signup_bonus(v.signups()))
 
 
+@query
+def credit_affordable(v: EventViews) -> DataFrame:
+    return credits.affordable(v.upload_intents(), _ledger(v)).select("request_id", "user_id")
+
+
 @query
 def upload_approved(v: EventViews) -> DataFrame:
     return sagas.credit_branches(credits.credit_check(v.upload_intents(), credits.signup_bonus(v.signups())))["approved"]
@@ -488,3 +498,84 @@ def access_patterns(v: EventViews) -> DataFrame:
         part = rows.groupBy("event_type").agg(F.count("*").alias("n")).withColumn("target", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# streams ----------------------------------------------------------------------------------------
+# The topics are landed as files, the streaming job runs until it has caught up, and its output is read back.
+
+LOGIN, SIGNUP = "public.identity.login.events", "public.identity.signup.events"
+SIGNED, EXPIRED = "public.media.upload.signed", "public.media.expired.events"
+INTENT, GOT, READY = "internal.media.upload.intent", "internal.media.upload.received", "internal.media.file.ready"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _land(v: EventViews, **topics: DataFrame) -> str:
+    root = shared_dir(v.spark)
+    for name, rows in topics.items():
+        conform(rows, name).write.mode("append").parquet(f"{root}/{name}")
+    return root
+
+
+def _with_end(rows: DataFrame, topic: str, time: str) -> DataFrame:
+    """The rows and one more after them on a key of its own, which lets the watermark pass everything else."""
+    end = rows.sparkSession.range(1).select(*[
+        F.lit(NOW if f.name == time else "end" if f.dataType.simpleString() == "string" else 0).cast(f.dataType)
+        .alias(f.name) for f in TOPICS[topic]])
+    return conform(rows, topic).unionByName(end)
+
+
+def _caught_up(stream: DataFrame, root: str) -> DataFrame:
+    sinks.start(stream, sinks.append_sink(f"{root}/out"), f"{root}/checkpoint").awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out").select(*stream.columns)
+
+
+@query
+def stream_ttl_expired(v: EventViews) -> DataFrame:
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    root = _land(v, **{SIGNED: v.signed(), GOT: _with_end(v.received(), GOT, "upload_time")})
+    return _caught_up(processors.expired_uploads_stream(read_topic(v.spark, SIGNED, root),
+                                                        read_topic(v.spark, GOT, root)), root)
+
+
+@query
+def stream_move_saga(v: EventViews) -> DataFrame:
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    root = _land(v, **{GOT: v.received(MOVE_SPEED), READY: _with_end(v.ready(), READY, "upload_time")})
+    return _caught_up(processors.move_saga_stream(read_topic(v.spark, GOT, root),
+                                                  read_topic(v.spark, READY, root)), root)
+
+
+@query
+def stream_credit_check(v: EventViews) -> DataFrame:
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    root = _land(v, **{INTENT: v.upload_intents(), SIGNUP: _with_end(v.signups(), SIGNUP, "signup_time")})
+    bonus = credits.signup_bonus(read_topic(v.spark, SIGNUP, root))
+    return _caught_up(processors.credit_check_stream(read_topic(v.spark, INTENT, root), bonus), root)
+
+
+@query
+def stream_dedup(v: EventViews) -> DataFrame:
+    """The unified topic with every row twice, through the watermarked dedup."""
+    root = _land(v, **{jobs.UNIFIED: _unified(v).unionByName(_unified(v))})
+    stream = read_topic(v.spark, jobs.UNIFIED, root).withColumn("ts", S.typed_time("event_time"))
+    return _caught_up(olap.dedup_stream(stream, olap.EVENT_KEY, "ts", "60 days").drop("ts"), root)
+
+
+@query
+def stream_ledger(v: EventViews) -> DataFrame:
+    """Signups and expiries through the projection jobs; the ledger they leave."""
+    root = _land(v, **{SIGNUP: v.signups(), EXPIRED: v.expired()})
+    for job in jobs.start_projections(v.spark, root, f"{root}/tables", f"{root}/checkpoints", [SIGNUP, EXPIRED]):
+        job.awaitTermination()
+    ledger = TABLES["credit_ledger"]
+    return v.spark.read.schema(ledger).parquet(f"{root}/tables/{jobs.LEDGER}").select(*ledger.names)
+
+
+@query
+def partition_rewrite(v: EventViews) -> DataFrame:
+    """All days written, then one day written again: the other days stay, the day is not doubled."""
+    target = f"{shared_dir(v.spark)}/daily"
+    days = identity.login_aggregates_backfill(v.logins(), v.signups())
+    sinks.overwrite_partitions(days, target)
+    sinks.overwrite_partitions(identity.daily_login_aggregates(v.logins(), v.signups(), DT), target)
+    return v.spark.read.schema(days.schema).parquet(target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,8 @@ def table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it; a fresh temporary one only where none is set."""
+    """A new folder all executors can reach, under the one the cluster names; a temporary one only where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if configured:
+        return f"{configured.rstrip('/')}/eventmart-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -7,8 +7,10 @@ timer, for the next waiting row, deadline or orphan, so no state stays for good.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,10 +18,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmart.functions.scalars import iso_micros, micros
 from eventmart.operators.sagas import RECEIVED
+from eventmart.streaming import rules
 from eventmart.streaming.rules import CreditCheck, MoveSaga, UploadTtl
 
 DELAY = "10 minutes"
 
+# Executors need not have this package installed: the few lines they run travel with the query.
+for _module in (rules, sys.modules[__name__]):
+    register_pickle_by_value(_module)
+
 
 class OrderedProcessor(StatefulProcessor):
     """Runs a rule over one key's rows in time order, once the watermark makes the order final."""

@@ -6,7 +6,7 @@ batch forms are tested against. Times are microseconds.
 
 from __future__ import annotations
 
-from eventmart.operators.credits import INSUFFICIENT, INTERNAL_ERROR
+from eventmart.operators.credits import INSUFFICIENT
 from eventmart.operators.sagas import MAX_RETRIES, MOVE_TIMEOUT_S, UPLOAD_TTL_S
 
 SECOND = 1_000_000
@@ -122,6 +122,3 @@ class CreditCheck:
         reason = "" if approved else INSUFFICIENT
         return [{"outcome": "approved" if approved else "rejected", "reason": reason, "outcome_us": row["us"],
                  "ledger_delta": -1 if approved else 0, **{k: row[k] for k in self.fields}}]
-
-
-__all__ = ["CreditCheck", "MoveSaga", "UploadTtl", "INTERNAL_ERROR"]
