@@ -48,8 +48,13 @@ def _login_ts(logins: DataFrame) -> Column:
 
 
 def on_date(df: DataFrame, ts: Column, dt: str) -> DataFrame:
-    """Rows of one UTC day, as a range on the time itself so that the scan can skip files."""
+    """Rows of one UTC day, as a range on the time itself so that the scan can skip files.
+
+    A table partitioned by day (`event_date`) is also filtered by it, and only that partition is opened.
+    """
     start = date.fromisoformat(dt)
+    if "event_date" in df.columns:
+        df = df.filter(F.col("event_date") == F.lit(start))
     kind = dict(df.select(ts.alias("t")).dtypes)["t"]
     bounds = [F.lit(d.isoformat()).cast(kind) for d in (start, start + timedelta(days=1))]
     return df.filter((ts >= bounds[0]) & (ts < bounds[1]))

@@ -44,11 +44,14 @@ class OrderedProcessor(StatefulProcessor):
         names = self.row_schema.names
         rows = [tuple(row[n] for n in names) for row in rows]
         self.waiting.appendList(rows)
-        us = names.index("us")
-        for ms in {row[us] // 1000 + 1 for row in rows}:
-            self.handle.registerTimer(ms)
+        self._wake_for(rows)
         return iter(())
 
+    def _wake_for(self, rows: list[tuple]) -> None:
+        """One timer for the earliest waiting row: all that are due then run together, and the next one is set."""
+        us = self.row_schema.names.index("us")
+        self.handle.registerTimer(min(row[us] for row in rows) // 1000 + 1)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         names, rule = self.row_schema.names, self.rule
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
@@ -63,7 +66,10 @@ class OrderedProcessor(StatefulProcessor):
         out += rule.settle(state, watermark_us)
         if due:
             later = [tuple(r[n] for n in names) for r in held if r["us"] >= watermark_us]
-            self.waiting.put(later) if later else self.waiting.clear()
+            self.waiting.clear()
+            if later:
+                self.waiting.put(later)
+                self._wake_for(later)
         if state:
             self.state.update(tuple(state.get(n) for n in fields))
             wake = rule.wake_at(state)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmart.functions.scalars import json_object
+from eventmart.functions.scalars import json_object, typed_time
 from eventmart.operators.olap import replace_by_key
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -74,10 +74,19 @@ def topic_sink(stream: DataFrame, topic: str, target: str, checkpoint: str, inte
     return (out.trigger(processingTime=interval) if interval else out.trigger(availableNow=True)).start()
 
 
-def materialise_topic(stream: DataFrame, table: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """A topic's rows into its lake table, with the typed ingest day as partition. Commits once per trigger."""
-    dated = stream.withColumn("ingest_date", F.to_date(F.current_timestamp()))
-    out = (dated.writeStream.format("parquet").option("path", table).partitionBy("ingest_date")
+def materialise_topic(stream: DataFrame, table: str, checkpoint: str, time: str | None = None,
+                      interval: str | None = None) -> StreamingQuery:
+    """A topic's rows into its lake table, one commit per trigger.
+
+    With `time`, the name of the wire-time column, rows also get it typed (`login_time` -> `login_ts`) and are
+    partitioned by its day (`event_date`), so that a job over one day opens that day's files only.
+    """
+    if time is None:
+        dated = stream.withColumn("event_date", F.to_date(F.current_timestamp()))
+    else:
+        ts = typed_time(time)
+        dated = stream.withColumns({f"{time.removesuffix('_time')}_ts": ts, "event_date": F.to_date(ts)})
+    out = (dated.writeStream.format("parquet").option("path", table).partitionBy("event_date")
            .option("checkpointLocation", checkpoint).outputMode("append"))
     return (out.trigger(processingTime=interval) if interval else out.trigger(availableNow=True)).start()
 

@@ -141,8 +141,13 @@ def test_topic_to_lake_and_echo(spark, folder, tmp_path):
     topic = "public.identity.login.events"
     put(v.logins(), topic, root)
     sinks.materialise_topic(read_topic(spark, topic, root, with_proctime=True), f"{root}/lake",
-                            f"{root}/cp1").awaitTermination()
-    assert spark.read.parquet(f"{root}/lake").filter("proctime is not null").count() == v.logins().count()
+                            f"{root}/cp1", "login_time").awaitTermination()
+    lake = spark.read.parquet(f"{root}/lake")
+    assert lake.filter("proctime is not null and login_ts is not null").count() == v.logins().count()
+    daily = identity.daily_login_aggregates(lake, v.signups(), "2024-01-15")
+    assert rows(daily) == rows(identity.daily_login_aggregates(v.logins(), v.signups(), "2024-01-15"))
+    text = daily._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text
     jobs.start_echo(spark, root, root, f"{root}/cp2").awaitTermination()
     echoed = read_topic(spark, "internal.identity.login.echo", root, streaming=False)
     assert rows(echoed) == rows(identity.echo(v.logins()))
