@@ -108,8 +108,9 @@ def merge_by_key(target: str, keys: list[str], version: str | Column, partition:
                 old = spark.read.schema(batch.schema).parquet(target)
                 merged = old.join(touched, partition, "left_semi").unionByName(batch)
             replace_by_key(merged, keys, version).write.mode("overwrite").parquet(side)
-        (spark.read.schema(batch.schema).parquet(side).hint("rebalance", partition).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target))
+        rows = spark.read.schema(batch.schema).parquet(side).hint("rebalance", partition)
+        (rows.sortWithinPartitions(partition, *keys).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target))
         files.delete(side)
 
     return write

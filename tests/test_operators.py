@@ -63,6 +63,20 @@ def test_cli_rewrites_one_day(spark, identities, tmp_path):
     assert spark.read.parquet(places[2]).count() == 3
 
 
+def test_cli_reads_its_arguments(spark, identities, tmp_path):
+    places = [f"{tmp_path}/{n}" for n in ("logins", "signups", "out")]
+    for df, place in zip(identities, places):
+        df.write.parquet(place)
+    tables = [x for pair in zip(("--login-table", "--signup-table", "--output-table"), places) for x in pair]
+    cli.main(["daily-logins", *tables, "--dt", "2024-01-15"])
+    assert spark.read.parquet(places[2]).count() == 2
+    source = f"{tmp_path}/topics"
+    identities[0].withColumns({c: F.lit(None).cast("string") for c in ("device_id", "user_agent", "ip_address")}).select(
+        TOPICS["public.identity.login.events"].names).write.parquet(f"{source}/public.identity.login.events")
+    cli.main(["echo", "--source", source, "--target", f"{tmp_path}/t", "--checkpoints", f"{tmp_path}/c"])
+    assert spark.read.parquet(f"{tmp_path}/t/internal.identity.login.echo").count() == 4
+
+
 # notifications
 
 def test_payload_keeps_nulls_and_order(spark):

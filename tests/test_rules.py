@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.operators import credits, metrics, sagas, scans, serving
 from eventmart.schemas import TOPICS
@@ -181,3 +182,30 @@ def test_grain_is_the_longest_that_fits(spark):
     assert pick(rows, ["key"], "us", 60, 100) == 3600
     assert pick(rows, ["key"], "us", 1800, 10) == 1800
     assert pick(rows.limit(0), ["key"], "us") == scans.WHOLE
+
+
+def test_lookup_lets_a_hot_key_be_split(spark):
+    """With the thresholds scaled down to the test's size, the join splits the hot key's partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, value in conf.items():
+        spark.conf.set(k, value)
+    try:
+        rows = spark.range(0, 300_000, 1, 16).selectExpr(
+            "if(id % 3 = 0, 'hot', concat('k', id % 1000)) as key", "uuid() as payload")
+        table = spark.range(2000).selectExpr("if(id = 0, 'hot', concat('k', id)) as key", "id").groupBy("key").agg(
+            F.max("id").alias("newest"))
+        joined = scans.lookup(rows, table, ["key"])
+        joined.write.format("noop").mode("overwrite").save()
+        assert joined.count() == 300_000
+        counted = joined.groupBy().agg(F.count("newest"))
+        assert counted.collect()[0][0] > 0
+        frame = joined.select("key", "newest")
+        frame.collect()
+        assert "skew=true" in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
