@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.functions.scalars import (col, host_of, is_allowed_media_type, non_empty, null_string,
-                                         url_decoded)
+from eventmart.functions.scalars import (col, host_of, is_allowed_media_type, json_object, non_empty,
+                                         null_string, url_decoded)
 from eventmart.operators.scans import lookup
 from eventmart.schemas import FIELD_DEFAULTS, OBJECT_NOTIFICATION, TOPICS
 
@@ -124,22 +124,25 @@ def require(df: DataFrame, *columns: str) -> Judged:
     return Judged(df, reason, df.columns, df.columns)
 
 
-def validate_intents(requests: DataFrame, kind: str, now: str | Column,
+def validate_intents(requests: DataFrame, kind: str, now: str | Column, request_id: str | Column | None = None,
                      check_media_type: bool = False) -> Judged:
-    """Requests (user_id, request_id, fields) into intents of the kind's topic, and refused ones.
+    """Requests (user_id, fields of the kind) into intents of the kind's topic, and refused ones.
 
-    `user_id` is the authenticated one and always wins; request id and time are set here, not by the caller.
+    `user_id` is the authenticated one and always wins; request id and time are set here, not by the caller. Without
+    `request_id` the id is made from the request and its time, so that a recomputed task gives the same one.
     The media-type allow-list is the rule of the direct upload path.
     """
-    fields = INTENT_FIELDS[kind]
+    fields, topic = INTENT_FIELDS[kind], f"internal.media.{kind}.intent"
+    if request_id is None:
+        request_id = F.sha2(json_object(kind=F.lit(kind), user_id=F.col("user_id"), at=col(now),
+                                        **{f: F.col(f) for f in fields}), 256)
     reason = F.coalesce(*[
         F.when(~F.coalesce(F.col(f) > 0, F.lit(False)) if f == "file_size" else non_empty(f).isNull(),
                F.lit(f"invalid {f}"))
         for f in fields])
     if check_media_type and kind == "upload":
         reason = F.coalesce(reason, F.when(~is_allowed_media_type("media_type"), F.lit("media_type not allowed")))
-    topic = f"internal.media.{kind}.intent"
-    stamped = requests.withColumns({"topic": F.lit(topic), "request_time": col(now)})
+    stamped = requests.withColumns({"topic": F.lit(topic), "request_id": col(request_id), "request_time": col(now)})
     return Judged(stamped, reason, ["topic", *TOPICS[topic].names], ["request_id"])
 
 

@@ -323,6 +323,10 @@ oracle("visible_notifications", """
     ON n.user_id = v.viewer OR (n.event_type = 'user.message' AND n.recipient_id = v.viewer)
   WHERE NOT (n.event_type = 'user.message' AND n.visibility = 'broadcast')
   UNION ALL SELECT '*', n.* FROM log n WHERE n.event_type = 'user.message' AND n.visibility = 'broadcast'""")
+oracle("viewer_notifications", """
+  SELECT * FROM log WHERE user_id = 'u5'
+    OR (event_type = 'user.message' AND (visibility = 'broadcast' OR recipient_id = 'u5'))""")
+oracle("own_credits", f"SELECT * FROM ({ORACLES['ledger_signup_bonus']}) WHERE user_id = 'u5'")
 oracle("history_top20", """
   WITH seen AS (
     SELECT v.viewer, n.event_type, n.payload, n.event_time, n.user_id,

@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DT = "2024-01-15"
+VIEWER = "u5"
 SPINE = ("2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z")
 COUNT = "http_server_request_duration_seconds_count"
 BUCKET = "http_server_request_duration_seconds_bucket"
@@ -131,6 +132,17 @@ def _ledger(v: EventViews) -> DataFrame:
     return credits.signup_bonus(v.signups()).unionByName(credits.deductions(decisions))
 
 
+@query
+def own_credits(v: EventViews) -> DataFrame:
+    return serving.own_rows(credits.signup_bonus(v.signups()), VIEWER)
+
+
+@query
+def viewer_notifications(v: EventViews) -> DataFrame:
+    """What one viewer may read, out of the whole log."""
+    return serving.visible_to(_log(v), VIEWER)
+
+
 @query
 def credit_check(v: EventViews) -> DataFrame:
     return credits.credit_check(v.upload_intents(), credits.signup_bonus(v.signups()))
@@ -323,7 +335,7 @@ def require_fields(v: EventViews) -> DataFrame:
 
 @query
 def validate_intents(v: EventViews) -> DataFrame:
-    judged = ingest.validate_intents(v.intent_requests(), "upload", "request_time", check_media_type=True)
+    judged = ingest.validate_intents(v.intent_requests(), "upload", "request_time", "request_id", True)
     return _as_text(judged.all, "file_size")
 
 

@@ -15,7 +15,8 @@ SECOND = 1_000_000
 class UploadTtl:
     """Signed (kind 0) and received (kind 1) rows of one file path."""
 
-    state = "deadline long, completed boolean, user_id string, file_name string, request_id string, signed_time string, receipt long"
+    state = ("deadline long, completed boolean, user_id string, file_name string, request_id string, "
+             "signed_time string, receipt long")
 
     def __init__(self, ttl_s: int = UPLOAD_TTL_S):
         self.ttl = ttl_s * SECOND

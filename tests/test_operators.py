@@ -321,12 +321,14 @@ def test_intents(spark):
     rows = spark.createDataFrame([("u", "r1", "f", "image/png", 1), ("u", "r2", "", "image/png", 1), ("u", "r3", "f", None, 1),
                                   ("u", "r4", "f", "image/png", 0), ("u", "r5", "f", "text/plain", 1)],
                                  "user_id string, request_id string, file_name string, media_type string, file_size long")
-    good, bad = ingest.validate_intents(rows, "upload", F.lit("now"), check_media_type=True)
+    good, bad = ingest.validate_intents(rows, "upload", F.lit("now"), "request_id", check_media_type=True)
     assert tuples(good, "request_id", "topic", "request_time") == [("r1", "internal.media.upload.intent", "now")]
     assert tuples(bad) == [("r2", "invalid file_name"), ("r3", "invalid media_type"), ("r4", "invalid file_size"),
                            ("r5", "media_type not allowed")]
     paths = spark.createDataFrame([("u", "r", "")], "user_id string, request_id string, file_path string")
     assert ingest.validate_intents(paths, "delete", F.lit("now")).rejected.count() == 1
+    made = [ingest.validate_intents(rows, "upload", F.lit(t)).accepted.select("request_id").first()[0] for t in "aab"]
+    assert made[0] == made[1] != made[2] and len(made[0]) == 64
 
 
 def test_object_notifications(spark):
