@@ -47,8 +47,11 @@ def visible(notifications: DataFrame, viewers: DataFrame) -> DataFrame:
     return private.unionByName(notifications.filter(is_public()).withColumn("viewer", F.lit(EVERYONE)))
 
 
-def own_rows(df: DataFrame, viewer: str) -> DataFrame:
-    return df.filter(F.col("user_id") == viewer)
+def own_rows(df: DataFrame, viewer: str | DataFrame) -> DataFrame:
+    """Rows of one viewer, or of all viewers of a table (column `viewer`)."""
+    if isinstance(viewer, str):
+        return df.filter(F.col("user_id") == viewer)
+    return scans.lookup(df, viewer.select(F.col("viewer").alias("user_id")), ["user_id"], "left_semi")
 
 
 def history(notifications: DataFrame, viewers: DataFrame, n: int = 20) -> DataFrame:

@@ -326,7 +326,8 @@ oracle("visible_notifications", """
 oracle("viewer_notifications", """
   SELECT * FROM log WHERE user_id = 'u5'
     OR (event_type = 'user.message' AND (visibility = 'broadcast' OR recipient_id = 'u5'))""")
-oracle("own_credits", f"SELECT * FROM ({ORACLES['ledger_signup_bonus']}) WHERE user_id = 'u5'")
+oracle("own_credits", f"""
+  SELECT * FROM ({ORACLES['ledger_signup_bonus']}) WHERE user_id IN (SELECT user_id FROM messages)""")
 oracle("history_top20", """
   WITH seen AS (
     SELECT v.viewer, n.event_type, n.payload, n.event_time, n.user_id,

@@ -134,12 +134,14 @@ def _ledger(v: EventViews) -> DataFrame:
 
 @query
 def own_credits(v: EventViews) -> DataFrame:
-    return serving.own_rows(credits.signup_bonus(v.signups()), VIEWER)
+    """The ledger rows of everybody who has written a message."""
+    writers = v.messages().select(F.col("user_id").alias("viewer"))
+    return serving.own_rows(credits.signup_bonus(v.signups()), writers)
 
 
 @query
 def viewer_notifications(v: EventViews) -> DataFrame:
-    """What one viewer may read, out of the whole log."""
+    """The read one viewer makes: the policy as a filter over the whole log."""
     return serving.visible_to(_log(v), VIEWER)
 
 

@@ -23,14 +23,14 @@ def append_sink(target: str, source: str = "") -> BatchWriter:
     """Append-only table of rows with a stable id.
 
     A folder gets one partition per source and batch, which a repeated batch overwrites. A `jdbc:` address gets
-    plain inserts into `<url>#<table>`, whose unique key on row_id absorbs repeats.
+    plain inserts into `<url>#<table>` over at most 16 connections; a unique key on row_id there absorbs repeats.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = with_row_id(batch, source)
         if target.startswith("jdbc:"):
             url, name = target.split("#")
-            rows.write.mode("append").option("batchsize", 10_000).jdbc(url, name)
+            rows.write.mode("append").options(batchsize=10_000, numPartitions=16).jdbc(url, name)
         else:
             (rows.withColumns({"source": F.lit(source or "stream"), "batch_id": F.lit(batch_id)})
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
