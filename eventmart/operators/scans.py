@@ -57,10 +57,12 @@ def halo(df: DataFrame, us: str, back_s: int = 0, ahead_s: int = 0, grain_s: int
     callers filter on it after the window.
     """
     if not grain_s:
-        return df.withColumns({CHUNK: chunk_of(F.col(us), grain_s), OWN: F.lit(True)})
-    if max(back_s, ahead_s) > grain_s:
+        back_s = ahead_s = 0
+    elif max(back_s, ahead_s) > grain_s:
         raise ValueError("a chunk must be at least as long as the time the rule looks across")
     t = F.col(us)
+    if not back_s and not ahead_s:
+        return df.withColumns({CHUNK: chunk_of(t, grain_s), OWN: F.lit(True)})
     first = chunk_of(t - ahead_s * SECOND, grain_s)
     last = chunk_of(t + back_s * SECOND, grain_s)
     return (df.withColumn(CHUNK, F.explode(F.sequence(first, last)))

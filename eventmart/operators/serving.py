@@ -94,14 +94,16 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
     `requests`: request_id, file_path (may be null), types (accepted event types), request_time. A notification
     answers by its payload's request_id, or else by its file_path; an answer by request_id is preferred.
     Requests and notifications meet on (key, event type, time chunk) in one sorted pass from late to
-    early, in which a request reads the nearest later notification: no pairs are formed.
+    early, in which a request reads the nearest later notification: no pairs are formed. Chunks are always cut,
+    since a notification only has to be copied into the chunk before its own when it is within the timeout of it.
     """
+    grain_s = grain_s or max(600, 4 * timeout_s)
     ids = F.from_json("payload", "request_id string, file_path string")
 
     def by_key(df: DataFrame, request_id: Column, file_path: Column) -> DataFrame:
         entries = F.array(F.struct(F.lit(0).alias("by"), request_id.alias("key")),
                           F.struct(F.lit(1).alias("by"), file_path.alias("key")))
-        return df.select("*", F.inline(F.filter(entries, lambda e: e["key"].isNotNull() & (e["key"] != ""))))
+        return df.select("*", F.inline(entries)).filter("key is not null and key <> ''")
 
     asked = by_key(requests.select("*", F.explode("types").alias("event_type"), micros("request_time").alias("_us"),
                                    F.lit(0).alias("_side")), F.col("request_id"), F.col("file_path"))
@@ -109,12 +111,10 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
                                           micros("event_time").alias("_us"), F.lit(1).alias("_side")),
                      F.col("_ids.request_id"), F.col("_ids.file_path"))
     key = ["by", "key", "event_type"]
-    rows = (asked.select(*key, "_us", "_side", F.struct("request_id", "request_time").alias("_request"))
-            .unionByName(answers.select(*key, "_us", "_side", F.struct("_us", "event_time", "payload").alias("_answer")),
-                         allowMissingColumns=True))
-    if grain_s is None:
-        grain_s = scans.pick_grain(rows, key, "_us", timeout_s)
-    near = scans.halo(rows, "_us", ahead_s=timeout_s, grain_s=grain_s)
+    asked = asked.select(*key, "_us", "_side", F.struct("request_id", "request_time").alias("_request"))
+    answers = answers.select(*key, "_us", "_side", F.struct("_us", "event_time", "payload").alias("_answer"))
+    near = (scans.halo(asked, "_us", grain_s=grain_s)
+            .unionByName(scans.halo(answers, "_us", ahead_s=timeout_s, grain_s=grain_s), allowMissingColumns=True))
     late_first = scans.so_far(scans.local_window(key, [F.desc("_us"), F.desc("_side"), F.desc("_answer.payload")]))
     nearest = F.last("_answer", ignorenulls=True).over(late_first)
     seen = scans.own_rows(near.withColumn("_nearest", nearest)).filter(F.col("_side") == 0)
