@@ -2,6 +2,152 @@
 
 from __future__ import annotations
 
+from eventmart.llm import licenses, shards, urls
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _license_scan() -> str:
+    rows = [(t, label, "true") for t, label in licenses.BASE_PHRASES] + [(t, label, "false") for t, label in licenses.NOTICES]
+    templates = ", ".join(f"({n}, {_text(t)}, {_text(label)}, {exact})" for n, (t, label, exact) in enumerate(rows))
+    k = licenses.K_WORDS
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+runs AS (
+  SELECT r, p - 1 AS pos, array_to_string(w[p:p + {k - 1}], ' ') AS run
+  FROM (SELECT r, w, unnest(range(1, len(w) - {k - 2})) AS p FROM docs)),
+t AS (SELECT *, string_split(words, ' ') AS w FROM (VALUES {templates}) v(template, words, label, exact)),
+t_runs AS (
+  SELECT template, label, exact, len(w) - {k - 1} AS n_runs, p - 1 AS t_pos, array_to_string(w[p:p + {k - 1}], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(w) - {k - 2})) AS p FROM t)),
+votes AS (
+  SELECT r, template, label, exact, n_runs, pos - t_pos AS diagonal, list(t_pos) AS matched, min(pos) AS first_word
+  FROM runs JOIN t_runs USING (run) GROUP BY ALL),
+marked AS (
+  SELECT *, CASE WHEN exact OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.SLACK}, true)
+            THEN 1 ELSE 0 END AS new FROM votes),
+copies AS (
+  SELECT r, template, label, exact, n_runs, copy, len(list_distinct(flatten(list(matched)))) AS covered, min(first_word) AS first_word
+  FROM (SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal) AS copy FROM marked) GROUP BY ALL),
+good AS (
+  SELECT *, covered / n_runs AS share FROM copies
+  WHERE CASE WHEN exact THEN covered = n_runs ELSE covered / n_runs >= {licenses.MIN_SHARE} END),
+per AS (
+  SELECT r, count(*) FILTER (exact) AS n_base, min(first_word) FILTER (exact) AS first_word, max(first_word) FILTER (exact) AS last_word,
+         coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (exact))), ','), '') AS base_labels,
+         array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(share) AS score
+  FROM good GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(CAST(score AS DOUBLE), 0.0) AS score
+FROM docs LEFT JOIN per USING (r)"""
+
+
+def _url_filter() -> str:
+    rules = ", ".join(f"({_text(h)}, {_text(p)}, {_text(v)})" for h, p, v in urls.RULES)
+    return rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, page_id,
+         CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT r, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM split),
+rules(rule_host, rule_path, verdict) AS (VALUES {rules}),
+fits AS (
+  SELECT r, rule_host || rule_path AS rule, verdict,
+         row_number() OVER (PARTITION BY r ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS n
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(verdict, '{urls.DEFAULT}') AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE n = 1) USING (r)"""
+
+
+def _near_dedup() -> str:
+    return rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct([array_to_string(w[p:p + 2], ' ') FOR p IN range(1, len(w) - 1)]) END AS s FROM docs),
+classes AS (SELECT min(doc_id) AS node, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY 2),
+items AS (SELECT node, len(s) AS n, unnest(s) AS item FROM classes),
+links AS (
+  SELECT a.node AS a, b.node AS b FROM items a JOIN items b ON a.item = b.item AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (
+  SELECT a, b FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+named AS (SELECT node, least(node, coalesce(min(b), node)) AS component FROM classes LEFT JOIN reach ON a = node GROUP BY node),
+of_set AS (SELECT s, component FROM classes JOIN named USING (node))
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
+       coalesce(component, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN of_set ON list_sort(sets.s) = of_set.s"""
+
+
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10"""
+
+
+def _crc(byte: int) -> int:
+    """What a byte adds to a running CRC-32."""
+    for _ in range(8):
+        byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+    return byte
+
+
+def _sharding() -> str:
+    n, table = shards.SHARDS, "".join(f"{_crc(b):08x}" for b in range(256))
+    return f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+bytes AS (
+  SELECT r, doc_id, sha256(t) AS digest, strlen(t) + 1 AS size,
+         [CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(strlen(t))] AS bs
+  FROM (SELECT *, hex(encode(t)) AS h FROM docs)),
+sized AS (
+  SELECT r, doc_id, digest, size,
+         xor(list_reduce([CAST(4294967295 AS BIGINT)] || bs, lambda c, b: xor(c >> 8, CAST('0x' || '{table}'[8 * (xor(c, b) & 255) + 1:8 * (xor(c, b) & 255) + 8] AS BIGINT))), 4294967295) AS text_crc32
+  FROM bytes),
+g AS (SELECT digest, sum(size) AS b FROM sized GROUP BY digest),
+ends AS (SELECT digest, CAST(sum(b) OVER (ORDER BY digest) AS BIGINT) AS e, CAST(b AS BIGINT) AS b FROM g),
+limits AS (SELECT CAST(max(e) AS BIGINT) AS total, greatest(max(b), (max(e) + {n - 1}) // {n}) AS low FROM ends),
+search(low, high, done, used) AS (
+  SELECT CAST(low AS BIGINT), total, CAST(0 AS BIGINT), 0 FROM limits
+  UNION ALL
+  SELECT CASE WHEN used = {n} AND done < total THEN (s.low + s.high) // 2 + 1 ELSE s.low END,
+         CASE WHEN done = total THEN (s.low + s.high) // 2 ELSE s.high END,
+         CASE WHEN done = total OR used = {n} THEN 0
+              ELSE (SELECT max(e) FROM ends WHERE e <= s.done + (s.low + s.high) // 2) END,
+         CASE WHEN done = total OR used = {n} THEN 0 ELSE used + 1 END
+  FROM search s, limits WHERE s.low < s.high),
+capacity AS (SELECT min(high) AS c FROM search WHERE low = high),
+cuts(shard, done, upto) AS (
+  SELECT 0, CAST(0 AS BIGINT), (SELECT max(e) FROM ends, capacity WHERE e <= c)
+  UNION ALL
+  SELECT shard + 1, upto, (SELECT max(e) FROM ends, capacity WHERE e <= cuts.upto + c) FROM cuts, limits WHERE upto < total),
+placed AS (SELECT digest, shard FROM ends JOIN cuts ON e > done AND e <= upto)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY digest, ((doc_id % 64) + 64) % 64, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM sized JOIN placed USING (digest)"""
+
 
 def oracle_statements() -> dict[str, str]:
-    return {}
+    return {
+        "op2_license_scan": _license_scan(),
+        "op5_url_filter": _url_filter(),
+        "op6_minhash_near_dedup": _near_dedup(),
+        "op8_exact_top_k": _TOP_K,
+        "op10_sharding": _sharding(),
+    }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import decontaminate, licenses, neardup, packing, shards, urls
+from eventmart.llm import decontaminate, licenses, lines, mtree, neardup, packing, quality, shards, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,16 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(_read(spark, folder, "documents"))[0]
 
 
+@query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_classes(_read(spark, folder, "documents"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 @query
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(_read(spark, folder, "pages"))
@@ -44,6 +54,16 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, folder, "documents"))
 
 
+@query
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+@query
+def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(_read(spark, folder, "embeddings"))
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_read(spark, folder, "documents"), TOKENIZER).drop("ids")
