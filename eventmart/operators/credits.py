@@ -13,6 +13,8 @@ from eventmart.operators.scans import lookup
 SIGNUP_BONUS = ("credit.signup_bonus", "Welcome bonus: 2 credits", 2)
 UPLOAD_REFUND = ("credit.upload_refunded", "Refund: upload expired for ", 1)
 UPLOAD_DEDUCTION = ("credit.upload_deducted", "Upload: ", -1)
+GRAIN_S = 86_400  # chunk of the walk: one plan for every size
+BEFORE_ALL_US = -62_135_596_800_000_000  # the year 1
 INSUFFICIENT = "insufficient_credits"
 INTERNAL_ERROR = "internal_error"
 
@@ -61,30 +63,27 @@ def affordable(intents: DataFrame, ledger: DataFrame) -> DataFrame:
     return lookup(intents, enough, ["user_id"], "left_semi")
 
 
-def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int | None = None) -> DataFrame:
+def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int = GRAIN_S) -> DataFrame:
     """Approve an upload intent iff the user's balance is at least 1 when its turn comes; then take 1.
 
-    Per user, in order of (time, credits before intents, request id), credits add and intents take 1.
-    A refused intent leaves the balance at 0, so the balance is a running sum reflected at zero:
-    balance = S - least(0, lowest S so far). Where a user has too many rows for one task, both S and its lowest
-    point are scanned in two levels: within a time chunk, then over the chunks' totals.
+    Per user, in order of (time, ledger rows before intents, request id), every ledger row adds its amount and intents
+    take 1. A debit never takes a balance below 0, and a refused intent leaves it at 0, so the balance is a running
+    sum reflected at zero: balance = S - least(0, lowest S so far). Both S and its lowest point are scanned in two levels:
+    within a time chunk of `grain_s`, then over the chunks' totals.
 
-    Credits must not be negative: that is what makes the reflection exact, and a negative one raises.
-    An intent whose time cannot be read is refused with an internal error.
+    The ledger may hold the deductions of earlier runs. One that belongs to an intent of this input (same user, time and
+    file name) is left out, since that intent is judged again. An intent whose time cannot be read is refused with an
+    internal error; a ledger row whose time cannot be read counts before all others, so no credit is lost.
     """
     keys, order = ["user_id"], ["_us", "_kind", "request_id"]
     detail = ["file_name", "media_type", "file_size", "request_time"]
-    amount = F.when(F.col("amount") < 0, F.raise_error(F.lit("credits must not be negative")).cast("int"))
-    credits = (ledger.filter(F.col("event_type") != UPLOAD_DEDUCTION[0])
-                     .select("user_id", micros("event_time").alias("_us"), F.lit(0).alias("_kind"),
-                             amount.otherwise(F.col("amount")).cast("bigint").alias("_x"),
-                             F.lit("").alias("request_id")))
+    credits = _other_rows(ledger, intents).select(
+        "user_id", F.coalesce(micros("event_time"), F.lit(BEFORE_ALL_US)).alias("_us"), F.lit(0).alias("_kind"),
+        F.col("amount").cast("bigint").alias("_x"), F.lit("").alias("request_id"))
     taken = F.when(F.col("_us").isNull(), F.lit(0)).otherwise(F.lit(UPLOAD_DEDUCTION[2])).cast("bigint")
     asked = intents.withColumn("_us", micros("request_time")).select(
         "user_id", "_us", F.lit(1).alias("_kind"), taken.alias("_x"), "request_id", *detail)
     rows = asked.unionByName(credits, allowMissingColumns=True)
-    if grain_s is None:
-        grain_s = scans.pick_grain(rows, keys, "_us")
     walk = scans.chunked(rows, "_us", grain_s)
 
     # S and its lowest earlier point, counted from the start of the chunk.
@@ -114,6 +113,16 @@ def credit_check(intents: DataFrame, ledger: DataFrame, grain_s: int | None = No
     )
 
 
+def _other_rows(ledger: DataFrame, intents: DataFrame) -> DataFrame:
+    """Ledger rows that are not the deduction of one of the intents."""
+    if "description" not in ledger.columns:
+        return ledger
+    own = intents.select("user_id", F.col("request_time").alias("event_time"),
+                         F.concat(F.lit(UPLOAD_DEDUCTION[1]), "file_name").alias("description"),
+                         F.lit(UPLOAD_DEDUCTION[0]).alias("event_type")).distinct()
+    return ledger.join(own, ["user_id", "event_time", "description", "event_type"], "left_anti")
+
+
 def _with_entry(rows: DataFrame, steps: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the state their chunk starts from, out of one reduced row per (key, chunk)."""
     scan = scans.chunk_scan(keys)

@@ -70,7 +70,7 @@ def _signup_dates(signups: DataFrame, dedupe: bool) -> DataFrame:
 def _aggregate_logins(logins: DataFrame, *keys) -> DataFrame:
     return logins.groupBy(*keys).agg(
         F.count("*").cast("int").alias("login_count"),
-        F.min_by("email", "login_time").alias("email"),
+        F.min_by("email", F.struct(_login_ts(logins), "login_time")).alias("email"),
     )
 
 

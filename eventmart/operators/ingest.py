@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.functions.scalars import (col, host_of, is_allowed_media_type, json_object, non_empty,
+from eventmart.functions.scalars import (col, host_of, is_allowed_media_type, json_object, micros, non_empty,
                                          null_string, url_decoded)
 from eventmart.operators.scans import lookup
 from eventmart.schemas import FIELD_DEFAULTS, OBJECT_NOTIFICATION, TOPICS
@@ -209,3 +209,8 @@ def signouts_from_changes(changes: DataFrame, users: DataFrame, now: str | Colum
     emails = users.select(F.col("id").alias("user_id"), "email")
     return lookup(gone, emails, ["user_id"]).select(
         "user_id", "email", "signout_time", null_string().alias("device_id"), "user_agent", "ip_address")
+
+
+def unreadable(rows: DataFrame, time: str) -> DataFrame:
+    """Rows whose wire time cannot be read, with the reason. Rules that work in time order leave exactly these out."""
+    return rows.filter(micros(time).isNull()).withColumn("reason", F.lit("bad_time"))

@@ -51,7 +51,7 @@ def active_files(files: DataFrame, viewer: str | None = None) -> DataFrame:
 
 def file_list(files: DataFrame, viewer: str | None = None) -> DataFrame:
     """Newest first: a range sort, so it stays spread over tasks."""
-    return active_files(files, viewer).orderBy(F.desc("upload_time"), "file_path")
+    return active_files(files, viewer).orderBy(F.desc(micros("upload_time")), F.desc("upload_time"), "file_path")
 
 
 def owned(intents: DataFrame, files: DataFrame) -> DataFrame:
@@ -92,11 +92,11 @@ def delete_outcomes(intents: DataFrame, files: DataFrame, now: str | Column = "r
     """Outcomes of delete intents, whose results come as columns `deleted_ok` and `removed_ok`.
 
     No active file: refused, not_found. Row not marked: refused, internal_error. Otherwise the file is
-    deleted, and a failed removal of the object adds a retry row with count 0.
+    deleted, and a failed removal of the object adds a retry row with count 0. A null result counts as failed.
     """
-    found, marked = F.col("_file").isNotNull(), F.col("deleted_ok")
+    found, marked = F.col("_file").isNotNull(), F.coalesce("deleted_ok", F.lit(False))
     outcomes = (F.when(~found | ~marked, F.array(F.lit("rejected")))
-                 .when(~F.col("removed_ok"), F.array(F.lit("deleted"), F.lit("retry")))
+                 .when(~F.coalesce("removed_ok", F.lit(False)), F.array(F.lit("deleted"), F.lit("retry")))
                  .otherwise(F.array(F.lit("deleted"))))
     out = F.col("outcome")
     rejected = out == "rejected"

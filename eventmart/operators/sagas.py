@@ -12,27 +12,27 @@ from eventmart.operators import scans
 UPLOAD_TTL_S, MOVE_TIMEOUT_S, MAX_RETRIES = 900, 120, 3
 MAX_RETRIES_EXCEEDED = "max retries exceeded"
 
+GRAIN_S = 21_600  # chunk of the ordered scans: one plan for every size
 RECEIVED = ["user_id", "email", "file_path", "file_name", "file_size", "media_type", "upload_time",
             "permanent_path", "retry_count"]
 DELETE_FIELDS = ["user_id", "file_path", "file_name", "media_type", "file_size", "request_id"]
 
 
 def expired_uploads(signed: DataFrame, received: DataFrame, ttl_s: int = UPLOAD_TTL_S,
-                    grain_s: int | None = None) -> DataFrame:
+                    grain_s: int = GRAIN_S) -> DataFrame:
     """Signed uploads whose object did not arrive in time.
 
     Signed events of one path that follow each other within the time limit form a chain: each moves the
     deadline, so the chain ends at its last event + `ttl_s` and gives at most one row, with the fields of that
     event. A receipt saves the chain if it comes no later than the deadline, no earlier than `ttl_s`
-    before the chain's start, and after the deadline of the chain before.
+    before the chain's start, and after the deadline of the chain before. Rows whose time cannot be read take no part
+    (see `ingest.unreadable`).
     """
     path, ttl = ["file_path"], ttl_s * scans.SECOND
     fields = ["user_id", "file_name", "request_id", "signed_time"]
-    events = signed.select(*path, *fields, micros("signed_time").alias("_us"))
-    receipts = received.select(*path, micros("upload_time").alias("_us"))
-    if grain_s is None:
-        times = events.select(*path, "_us").unionByName(receipts)
-        grain_s = scans.pick_grain(times, path, "_us", 2 * ttl_s)
+    events = signed.select(*path, *fields, micros("signed_time").alias("_us")).filter("_us is not null")
+    receipts = received.select(*path, micros("upload_time").alias("_us")).filter("_us is not null")
+    grain_s = grain_s and max(grain_s, 2 * ttl_s)
 
     # Neighbours matter only within two time limits, so halo rows are enough to find chain starts and ends.
     near = scans.halo(events, "_us", back_s=2 * ttl_s, ahead_s=ttl_s, grain_s=grain_s)
@@ -72,23 +72,23 @@ def expired_uploads(signed: DataFrame, received: DataFrame, ttl_s: int = UPLOAD_
 
 
 def move_saga(received: DataFrame, ready: DataFrame, timeout_s: int = MOVE_TIMEOUT_S,
-              max_retries: int = MAX_RETRIES, grain_s: int | None = None) -> DataFrame:
+              max_retries: int = MAX_RETRIES, grain_s: int = GRAIN_S) -> DataFrame:
     """Outcome of every received upload: confirmed, retry or dead_letter, as one wide row (`_type`).
 
     Per permanent path, received and ready rows in time order form runs: a new run starts where the kind
     repeats or more than `timeout_s` passes. Inside a run the kinds alternate and pair up two by two, so
     a row opens a pair iff it is of the kind its run started with. A paired received row is confirmed at the
     later time of the two. An unpaired one is replaced without output by a received row within the time
-    limit, else it is retried, or dead-lettered once it has been retried `max_retries` times.
+    limit, else it is retried, or dead-lettered once it has been retried `max_retries` times. Rows whose time cannot
+    be read take no part (see `ingest.unreadable`).
     """
     path, limit = ["permanent_path"], timeout_s * scans.SECOND
     rows = (received.select(*RECEIVED, micros("upload_time").alias("_us"), F.lit(0).alias("_kind"))
             .unionByName(ready.select(F.col("file_path").alias("permanent_path"),
                                       micros("upload_time").alias("_us"), F.lit(1).alias("_kind")),
-                         allowMissingColumns=True))
+                         allowMissingColumns=True).filter("_us is not null"))
 
-    if grain_s is None:
-        grain_s = scans.pick_grain(rows, path, "_us", timeout_s)
+    grain_s = grain_s and max(grain_s, timeout_s)
     near = scans.halo(rows, "_us", back_s=timeout_s, ahead_s=timeout_s, grain_s=grain_s)
     order = ["_us", "_kind", "retry_count"]
     window = scans.local_window(path, order)
@@ -170,11 +170,11 @@ def reenter_retries(retries: DataFrame) -> DataFrame:
 
 def route_delete_retries(retries: DataFrame, now: str | Column = "failed_at",
                          max_retries: int = MAX_RETRIES) -> DataFrame:
-    """Failed removals (`removed_ok` false): retry with count + 1, or dead letter at the limit; successes give nothing."""
+    """Failed removals (`removed_ok` not true): retry with count + 1, or dead letter at the limit; successes give nothing."""
     count = retry_count_int("retry_count")
     exhausted = count >= max_retries
     reason = F.col("error") if "error" in retries.columns else F.lit("remove failed")
-    return retries.filter(~F.col("removed_ok")).select(
+    return retries.filter(~F.coalesce("removed_ok", F.lit(False))).select(
         F.when(exhausted, F.lit("dead_letter")).otherwise(F.lit("retry")).alias("outcome"),
         *DELETE_FIELDS,
         F.when(exhausted, count).otherwise(count + 1).alias("retry_count"),

@@ -1,8 +1,7 @@
 """Ordered work per key that never puts a hot key's rows into one task.
 
-A key may hold a third of all rows. `pick_grain` first counts rows per key (a map-side combined count). While
-every key fits a task, windows run over whole keys: one shuffle and nothing else. Otherwise rows are cut by (key, time
-chunk), with the longest chunk that fits, and two devices bring back what a chunk cannot see:
+A key may hold a third of all rows, so rows are cut by (key, time chunk) at every size of the input: there is one plan, and
+the chunk is a documented length. Two devices bring back what a chunk cannot see:
 
 * `halo` — when a rule looks back or ahead by a bounded time, rows near a chunk's edge are also copied
   into the neighbour chunk. One shuffle, one sort, no join.
@@ -19,26 +18,7 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 OWN = "_own"
 SECOND = 1_000_000
-ROWS_PER_TASK = 5_000_000
 WHOLE = 0  # grain of a key that is not cut
-GRAINS_S = [86400, 21600, 3600, 600, 60]
-
-
-def pick_grain(df: DataFrame, keys: list[str], us: str, at_least_s: int = 60,
-               rows_per_task: int = ROWS_PER_TASK) -> int:
-    """The longest chunk, in seconds, that leaves no (key, chunk) with more rows than a task should sort.
-
-    Runs one count over the keys, and further ones only when some key is too large. The answer is one number.
-    """
-    def largest(*groups) -> int:
-        return df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-
-    if largest(*keys) <= rows_per_task:
-        return WHOLE
-    for grain_s in (g for g in GRAINS_S if g > at_least_s):
-        if largest(*keys, chunk_of(F.col(us), grain_s).alias(CHUNK)) <= rows_per_task:
-            return grain_s
-    return at_least_s
 
 
 def chunk_of(us: Column, grain_s: int) -> Column:

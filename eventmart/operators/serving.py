@@ -43,7 +43,7 @@ def _private(notifications: DataFrame) -> DataFrame:
 
 def visible(notifications: DataFrame, viewers: DataFrame) -> DataFrame:
     """Readable rows of all given viewers (column `viewer`), broadcasts once under `*`."""
-    private = scans.lookup(_private(notifications), viewers.select("viewer"), ["viewer"], "left_semi")
+    private = scans.lookup(_private(notifications), viewers.select("viewer").distinct(), ["viewer"], "left_semi")
     return private.unionByName(notifications.filter(is_public()).withColumn("viewer", F.lit(EVERYONE)))
 
 
@@ -51,7 +51,7 @@ def own_rows(df: DataFrame, viewer: str | DataFrame) -> DataFrame:
     """Rows of one viewer, or of all viewers of a table (column `viewer`)."""
     if isinstance(viewer, str):
         return df.filter(F.col("user_id") == viewer)
-    return scans.lookup(df, viewer.select(F.col("viewer").alias("user_id")), ["user_id"], "left_semi")
+    return scans.lookup(df, viewer.select(F.col("viewer").alias("user_id")).distinct(), ["user_id"], "left_semi")
 
 
 def history(notifications: DataFrame, viewers: DataFrame, n: int = 20) -> DataFrame:
@@ -62,7 +62,7 @@ def history(notifications: DataFrame, viewers: DataFrame, n: int = 20) -> DataFr
     everyone: their newest n are found once and handed to each viewer as one small array.
     """
     shown = ["event_type", "payload", "event_time", "user_id"]
-    newest = [F.desc("event_time"), F.desc("event_type"), F.desc("payload"), F.desc("user_id")]
+    newest = [F.desc(micros("event_time")), F.desc("event_time"), F.desc("event_type"), F.desc("payload"), F.desc("user_id")]
 
     def top(df: DataFrame) -> DataFrame:
         ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy("viewer").orderBy(*newest)))
@@ -79,10 +79,10 @@ def history(notifications: DataFrame, viewers: DataFrame, n: int = 20) -> DataFr
             .drop("_rank"))
 
 
-def latest_per(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The latest row of each key: an aggregation, combined before the shuffle."""
+def latest_per(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """The latest row of each key: an aggregation, combined before the shuffle. Wire times in `order` should be typed."""
     rest = [c for c in df.columns if c not in keys]
-    by = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    by = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
     return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_row"))
               .select(*keys, *[F.col(f"_row.{c}") for c in rest]))
 
@@ -96,6 +96,8 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
     Requests and notifications meet on (key, event type, time chunk) in one sorted pass from late to
     early, in which a request reads the nearest later notification: no pairs are formed. Chunks are always cut,
     since a notification only has to be copied into the chunk before its own when it is within the timeout of it.
+
+    Every request has a row: one without a key, an accepted type or a readable time is answered by nothing.
     """
     grain_s = grain_s or max(600, 4 * timeout_s)
     ids = F.from_json("payload", "request_id string, file_path string")
@@ -122,6 +124,8 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
     best = F.min(F.when(hit, F.struct("by", F.col("_nearest._us").alias("answered_us"), "event_type",
                                       "_nearest.event_time", F.col("_us").alias("asked_us"))))
     answered = seen.groupBy("_request").agg(best.alias("_best"))
+    every = requests.select(F.struct("request_id", "request_time").alias("_request")).distinct()
+    answered = every.join(answered.withColumnRenamed("_request", "_asked"), F.col("_request").eqNullSafe(F.col("_asked")), "left")
     return answered.select(
         "_request.request_id", "_request.request_time",
         F.coalesce("_best.event_type", F.lit("timeout")).alias("outcome"),

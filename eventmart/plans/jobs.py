@@ -6,9 +6,10 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmart.operators import credits, identity, media, notifications, olap, sagas
+from eventmart.operators import credits, identity, ingest, media, notifications, olap, sagas
 from eventmart.sources.topics import read_topic
 from eventmart.streaming import processors, sinks
 
@@ -105,12 +106,39 @@ def start_echo(spark: SparkSession, source: str, target: str, checkpoints: str,
 
 def start_olap(spark: SparkSession, source: str, table: str, checkpoints: str,
                interval: str | None = None) -> StreamingQuery:
-    """The unified topic into the key-deduplicated table, one partition per day; the last batch of a key wins."""
-    from pyspark.sql import functions as F
+    """The unified topic into the key-deduplicated table, one partition per day; the row ingested last wins.
 
+    Rows of one batch are ordered by the source (see `read_topic`, `with_order`), later batches beat earlier ones. Rows
+    whose time cannot be read go to `<table>__rejected`.
+    """
     def writer(batch: DataFrame, batch_id: int) -> None:
-        typed, _ = olap.typed_events(batch)
-        rows = typed.withColumns({"version": F.lit(batch_id).cast("bigint"), "event_date": F.to_date("event_time")})
-        sinks.merge_by_key(table, olap.EVENT_KEY, "version", "event_date")(rows, batch_id)
+        batch = batch.persist()
+        try:
+            typed, rejected = olap.typed_events(batch)
+            newest = olap.replace_by_key(typed, olap.EVENT_KEY, "ingest_order").drop("ingest_order")
+            rows = newest.withColumns({"version": F.lit(batch_id).cast("bigint"), "event_date": F.to_date("event_time")})
+            sinks.merge_by_key(table, olap.EVENT_KEY, "version", "event_date")(rows, batch_id)
+            sinks.append_sink(f"{table.rstrip('/')}__rejected", "olap")(rejected.drop("ingest_order"), batch_id)
+        finally:
+            batch.unpersist()
+
+    stream = read_topic(spark, UNIFIED, source, with_order=True)
+    return sinks.start(stream, writer, f"{checkpoints.rstrip('/')}/olap", interval)
+
+
+# The wire time of the topics whose rows are put in order; without it a row cannot be.
+ORDERED_TOPICS = {
+    "public.media.upload.signed": "signed_time",
+    "internal.media.upload.received": "upload_time",
+    "internal.media.file.ready": "upload_time",
+    "internal.media.upload.intent": "request_time",
+}
+
 
-    return sinks.start(read_topic(spark, UNIFIED, source), writer, f"{checkpoints.rstrip('/')}/olap", interval)
+def start_rejects(spark: SparkSession, source: str, target: str, checkpoints: str, topics: list[str] | None = None,
+                  interval: str | None = None) -> list[StreamingQuery]:
+    """Rows of the ordered topics whose time cannot be read, each topic into `<target>/rejected/<topic>`."""
+    return [sinks.start(ingest.unreadable(read_topic(spark, topic, source), ORDERED_TOPICS[topic]),
+                        sinks.append_sink(f"{target.rstrip('/')}/rejected/{topic}", "unreadable"),
+                        f"{checkpoints.rstrip('/')}/rejected-{topic}", interval)
+            for topic in topics or ORDERED_TOPICS]

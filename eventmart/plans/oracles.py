@@ -211,6 +211,8 @@ oracle("credit_balance_lookup", """
   FROM (SELECT user_id FROM ev UNION SELECT user_id FROM messages) u LEFT JOIN signups s USING (user_id)
   GROUP BY u.user_id""")
 
+oracle("credit_check_incremental", ORACLES["credit_check"] + " WHERE us >= epoch_us(TIMESTAMP '2024-01-15')")
+
 # media ------------------------------------------------------------------------------------------
 
 oracle("media_files_insert", """
@@ -358,6 +360,8 @@ oracle("request_outcomes", """
          (b.t - c.us) / 1000000 AS latency_s
   FROM clicks c LEFT JOIN best b USING (request_id)""")
 
+oracle("olap_job", "SELECT * EXCLUDE (version) FROM (" + ORACLES["olap_unified_dedup"] + ")")
+
 # ingest -----------------------------------------------------------------------------------------
 
 oracle("frame_check", """

@@ -150,6 +150,15 @@ def credit_check(v: EventViews) -> DataFrame:
     return credits.credit_check(v.upload_intents(), credits.signup_bonus(v.signups()))
 
 
+@query
+def credit_check_incremental(v: EventViews) -> DataFrame:
+    """The intents from a day on, judged on a ledger that holds the deductions of a run over those before."""
+    intents, bonus = v.upload_intents(), credits.signup_bonus(v.signups())
+    later = S.typed_time("request_time") >= F.lit(DT).cast("timestamp")
+    before = credits.credit_check(intents.filter(~later), bonus)
+    return credits.credit_check(intents.filter(later), bonus.unionByName(credits.deductions(before)))
+
+
 @query
 def credit_balances(v: EventViews) -> DataFrame:
     return credits.balances(_ledger(v))
@@ -283,7 +292,7 @@ def history_top20(v: EventViews) -> DataFrame:
 @query
 def latest_notification(v: EventViews) -> DataFrame:
     log = _log(v).select("user_id", "event_type", "event_time", "payload")
-    return serving.latest_per(log, ["user_id", "event_type"], ["event_time", "payload"])
+    return serving.latest_per(log, ["user_id", "event_type"], [S.micros("event_time"), "event_time", "payload"])
 
 
 @query
@@ -549,6 +558,16 @@ def _caught_up(stream: DataFrame, root: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out").select(*stream.columns)
 
 
+@query
+def olap_job(v: EventViews) -> DataFrame:
+    """The unified topic, and a replay of it with other emails, through the OLAP job: the rows ingested last stay."""
+    root = _land(v, **{jobs.UNIFIED: _unified(v)})
+    conform(_unified(v).withColumn("email", F.upper("email")), jobs.UNIFIED).write.mode("append").parquet(f"{root}/{jobs.UNIFIED}")
+    jobs.start_olap(v.spark, root, f"{root}/table", f"{root}/checkpoints").awaitTermination()
+    table = v.spark.read.parquet(f"{root}/table").select(*TOPICS[jobs.UNIFIED].names)
+    return _text(table, "event_time")
+
+
 @query
 def stream_ttl_expired(v: EventViews) -> DataFrame:
     v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -64,8 +66,15 @@ def table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder all executors can reach, under the one the cluster names; a temporary one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder all executors can reach, under the one named in spark.checkpoint.dir.
+
+    Only a session on one machine may leave that unset: its folder is a temporary one, which goes when Python ends.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return f"{configured.rstrip('/')}/eventmart-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="eventmart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

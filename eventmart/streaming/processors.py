@@ -87,8 +87,10 @@ def _run(rows: DataFrame, rule, output: str, delay: str) -> DataFrame:
     """`rows`: key, us and the rule's columns. The watermark runs on the row time of both inputs together.
 
     The time column itself stays behind: without it a row later than the watermark is not dropped but runs
-    when it arrives, after the rows already settled.
+    when it arrives, after the rows already settled. Rows without a readable time or without a key have no place in
+    the order; `jobs.start_rejects` writes them to a table of their own.
     """
+    rows = rows.filter("us is not null and key is not null")
     timed = rows.withColumn("ts", F.timestamp_micros("us")).withWatermark("ts", delay).drop("ts")
     out = T.StructType.fromDDL(output)
     row_schema = T.StructType([f for f in rows.schema if f.name != "key"])
@@ -123,10 +125,13 @@ def move_saga_stream(received: DataFrame, ready: DataFrame, delay: str = DELAY,
 
 
 def credit_check_stream(intents: DataFrame, ledger: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Decisions on upload intents as a stream; each user's balance is kept in state."""
+    """Decisions on upload intents as a stream; each user's balance is kept in state.
+
+    `ledger` holds credits and the deductions of earlier runs, not those of the intents of this stream.
+    """
     rows = (intents.select(F.col("user_id").alias("key"), micros("request_time").alias("us"), F.lit(1).alias("kind"),
                            F.lit(None).cast("int").alias("amount"), *CreditCheck.fields)
-            .unionByName(ledger.filter(F.col("event_type") != "credit.upload_deducted").select(
+            .unionByName(ledger.select(
                 F.col("user_id").alias("key"), micros("event_time").alias("us"), F.lit(0).alias("kind"), "amount"),
                 allowMissingColumns=True))
     out = _run(rows, CreditCheck(), "key string, outcome string, file_name string, media_type string, file_size long, "

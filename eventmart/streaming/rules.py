@@ -116,7 +116,7 @@ class CreditCheck:
     def step(self, state: dict, row: dict) -> list[dict]:
         balance = state.get("balance") or 0
         if row["kind"] == 0:
-            state["balance"] = balance + row["amount"]
+            state["balance"] = max(0, balance + row["amount"])
             return []
         approved = balance >= 1
         state["balance"] = balance - 1 if approved else balance

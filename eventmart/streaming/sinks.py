@@ -19,18 +19,20 @@ def with_row_id(df: DataFrame, source: str) -> DataFrame:
     return df.withColumn("row_id", F.sha2(json_object(source=F.lit(source), row=F.struct(*df.columns)), 256))
 
 
-def append_sink(target: str, source: str = "") -> BatchWriter:
+def append_sink(target: str, source: str = "", connections: int = 16) -> BatchWriter:
     """Append-only table of rows with a stable id.
 
     A folder gets one partition per source and batch, which a repeated batch overwrites. A `jdbc:` address gets
-    plain inserts into `<url>#<table>` over at most 16 connections; a unique key on row_id there absorbs repeats.
+    plain inserts into `<url>#<table>_staging` over `connections` connections, with the source and the batch; the database
+    moves them on with an insert that ignores known (source, batch_id, row_id), so repeats neither fail nor double there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = with_row_id(batch, source)
         if target.startswith("jdbc:"):
             url, name = target.split("#")
-            rows.write.mode("append").options(batchsize=10_000, numPartitions=16).jdbc(url, name)
+            (rows.withColumns({"source": F.lit(source or "stream"), "batch_id": F.lit(batch_id)})
+                 .write.mode("append").options(batchsize=10_000, numPartitions=connections).jdbc(url, f"{name}_staging"))
         else:
             (rows.withColumns({"source": F.lit(source or "stream"), "batch_id": F.lit(batch_id)})
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -104,9 +106,13 @@ def merge_by_key(target: str, keys: list[str], version: str | Column, partition:
         if not files.exists(f"{side}/_SUCCESS"):
             merged = batch
             if files.exists(target):
-                touched = batch.select(partition).distinct()
+                # the few partitions of one batch, as literals: only their files are opened
+                touched = [row[0] for row in batch.select(partition).distinct().collect()]
                 old = spark.read.schema(batch.schema).parquet(target)
-                merged = old.join(touched, partition, "left_semi").unionByName(batch)
+                in_touched = F.col(partition).isin([t for t in touched if t is not None])
+                if None in touched:
+                    in_touched |= F.col(partition).isNull()
+                merged = old.filter(in_touched).unionByName(batch)
             replace_by_key(merged, keys, version).write.mode("overwrite").parquet(side)
         rows = spark.read.schema(batch.schema).parquet(side).hint("rebalance", partition)
         (rows.sortWithinPartitions(partition, *keys).write.mode("overwrite")

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from eventmart.operators import credits, metrics, sagas, scans, serving
+from eventmart.operators import credits, ingest, metrics, sagas, scans, serving
 from eventmart.schemas import TOPICS
 from eventmart.streaming.rules import CreditCheck, MoveSaga, UploadTtl
 
@@ -103,15 +103,59 @@ def test_credit_check(spark, grain_s):
     assert got == sorted((r["key"], r["request_id"], r["outcome"]) for r in expected)
 
 
-def test_credit_check_refuses_unreadable_times_and_negative_credits(spark):
+LEDGER = "user_id string, amount int, event_type string, description string, event_time string"
+
+
+def test_credit_check_refuses_unreadable_times_and_floors_debits(spark):
     intents = spark.createDataFrame([("u", "f", "t", 1, "r", "soon")], TOPICS["internal.media.upload.intent"])
-    ledger = "user_id string, amount int, event_type string, description string, event_time string"
-    empty = spark.createDataFrame([], ledger)
-    assert [r.reason for r in credits.credit_check(intents, empty).collect()] == ["internal_error"]
-    bad = spark.createDataFrame([("u", -5, "fee", "", iso(START))], ledger)
-    good = spark.createDataFrame([("u", "f", "t", 1, "r", iso(START + 1))], TOPICS["internal.media.upload.intent"])
-    with pytest.raises(Exception, match="negative"):
-        credits.credit_check(good, bad).collect()
+    assert [r.reason for r in credits.credit_check(intents, spark.createDataFrame([], LEDGER)).collect()] == ["internal_error"]
+    ledger = spark.createDataFrame([("u", -5, "fee", "", iso(START)), ("u", 1, "gift", "", iso(START + 1))], LEDGER)
+    good = spark.createDataFrame([("u", "f", "t", 1, "r", iso(START + 2))], TOPICS["internal.media.upload.intent"])
+    assert [r.outcome for r in credits.credit_check(good, ledger).collect()] == ["approved"]
+
+
+def test_credit_check_counts_deductions_of_earlier_runs(spark):
+    def intent(name, second):
+        return ("u", name, "t", 1, name, iso(START + second * SECOND))
+
+    first = spark.createDataFrame([intent("a", 1), intent("b", 2)], TOPICS["internal.media.upload.intent"])
+    bonus = spark.createDataFrame([("u", 2, "credit.signup_bonus", "Welcome bonus: 2 credits", iso(START))], LEDGER)
+    ledger = bonus.unionByName(credits.deductions(credits.credit_check(first, bonus)))
+    assert [r.balance for r in credits.balances(ledger).collect()] == [0]
+    later = spark.createDataFrame([intent("c", 10)], TOPICS["internal.media.upload.intent"])
+    assert [r.outcome for r in credits.credit_check(later, ledger).collect()] == ["rejected"]
+    refund = spark.createDataFrame([("u", 1, "credit.upload_refunded", "Refund: upload expired for a", iso(START + 5 * SECOND))], LEDGER)
+    assert [r.outcome for r in credits.credit_check(later, ledger.unionByName(refund)).collect()] == ["approved"]
+    # the same intents judged again: their own deductions do not count against them
+    again = credits.credit_check(first, ledger).collect()
+    assert [r.outcome for r in again] == ["approved", "approved"]
+
+
+@pytest.mark.parametrize("grain_s", [None, 3600])
+def test_unreadable_times_take_no_part_at_any_chunk(spark, grain_s):
+    rows = [("u", "e", "p", "f", 1, "t", time, "path", 0) for time in (iso(START), "not a time", None)]
+    received = spark.createDataFrame(rows, "user_id string, email string, file_path string, file_name string, file_size long, "
+                                           "media_type string, upload_time string, permanent_path string, retry_count int")
+    ready = spark.createDataFrame([("path", "later")], "file_path string, upload_time string")
+    assert [r._type for r in sagas.move_saga(received, ready, grain_s=grain_s).collect()] == ["retry"]
+    rejected = ingest.unreadable(received, "upload_time").collect()
+    assert len(rejected) == 2 and {r.reason for r in rejected} == {"bad_time"}
+
+
+def test_requests_without_a_key_time_out(spark):
+    requests = spark.createDataFrame(
+        [("r1", None, ["done"], iso(START)), (None, None, ["done"], iso(START)), ("r2", "p", [], iso(START)), ("r3", "p", ["done"], "soon")],
+        "request_id string, file_path string, types array<string>, request_time string")
+    answers = spark.createDataFrame([("done", '{"request_id": "r1"}', iso(START + SECOND))], "event_type string, payload string, event_time string")
+    got = {(r.request_id, r.outcome) for r in serving.match_outcomes(requests, answers).collect()}
+    assert got == {("r1", "done"), (None, "timeout"), ("r2", "timeout"), ("r3", "timeout")}
+
+
+def test_null_results_count_as_failed(spark):
+    retries = spark.createDataFrame([("u", "p", "n", "t", 1, "r", k, ok, iso(START)) for k, ok in ((0, None), (0, True), (1, False))],
+                                    "user_id string, file_path string, file_name string, media_type string, file_size long, "
+                                    "request_id string, retry_count int, removed_ok boolean, failed_at string")
+    assert sorted(r.retry_count for r in sagas.route_delete_retries(retries).collect()) == [1, 2]
 
 
 @pytest.mark.parametrize("grain_s", [None, 600])
@@ -174,16 +218,6 @@ def test_rate_and_sustained(spark, grain_s):
     assert got == firing and len(set(firing.values())) == 2
 
 
-def test_grain_is_the_longest_that_fits(spark):
-    rows = spark.createDataFrame([("hot", START + i * 60 * SECOND) for i in range(3000)] + [("k", START)], "key string, us long")
-    pick = scans.pick_grain
-    assert pick(rows, ["key"], "us", 60, 3000) == scans.WHOLE
-    assert pick(rows, ["key"], "us", 60, 1440) == 86400
-    assert pick(rows, ["key"], "us", 60, 100) == 3600
-    assert pick(rows, ["key"], "us", 1800, 10) == 1800
-    assert pick(rows.limit(0), ["key"], "us") == scans.WHOLE
-
-
 def test_lookup_lets_a_hot_key_be_split(spark):
     """With the thresholds scaled down to the test's size, the join splits the hot key's partition."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
