@@ -4,71 +4,117 @@ A bucket may hold any number of members, so no list of all its pairs is ever mad
 
 * `star_pairs` pairs every member with the smallest of its bucket.
 * Once those pairs are confirmed and joined into components, most buckets lie inside one component and need nothing more.
-  `open_pairs` gives the pairs of a bucket that lie in different components, and so may still be links. They are the
-  members outside the bucket's largest component, against the others.
+* The members of the others are joined by `prefix_pairs`, which finds every pair of similar sets in different components by
+  their rarest elements. Copies that differ from each other by more than the limit meet there in few pairs or none.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.tables import settle
+from eventmart.llm.tables import ROWS_PER_TASK, settle
+
+
+def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], elements: Callable[[DataFrame], DataFrame],
+           percent: int, rows: int, known: DataFrame | None = None) -> DataFrame:
+    """node, component (the smallest node reachable) of the nodes that have links.
+
+    members: bucket long, node long. confirm gets pairs a < b and returns those that are links. elements gets nodes and
+    returns the elements of their sets: node, element. rows: about how many nodes there are. known: further links a, b.
+    """
+    members = settle(meeting(members), rows)
+    edges = confirm(star_pairs(members))
+    component = components(edges if known is None else edges.union(known), rows)
+    open_nodes = settle(undecided(members, component), rows)
+    if not open_nodes.isEmpty():
+        new = confirm(prefix_pairs(open_nodes, elements(open_nodes.select("node")), percent, rows))
+        if not new.isEmpty():
+            component = components(component.select(F.col("component").alias("a"), F.col("node").alias("b")).union(new), rows)
+    return component
+
+
+def meeting(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one node."""
+    buckets = (members.groupBy("bucket").agg(F.min("node").alias("_first"), F.max("node").alias("_last"))
+               .where("_first < _last").select("bucket"))
+    return members.join(buckets, "bucket").select("bucket", "node")
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
-    """members: bucket long, node long. Distinct pairs a < b of the smallest node of a bucket and each other one."""
-    buckets = (members.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("_last"))
-               .where("a < _last").drop("_last"))
+    """Distinct pairs a < b of the smallest node of a bucket and each other one."""
+    buckets = members.groupBy("bucket").agg(F.min("node").alias("a"))
     return (members.join(buckets, "bucket").where("node > a")
             .select("a", F.col("node").alias("b")).distinct())
 
 
-def open_pairs(members: DataFrame, component: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of a bucket in different components. component: node, component, for nodes that have links."""
+def undecided(members: DataFrame, component: DataFrame) -> DataFrame:
+    """node, component of the members of buckets that hold more than one component."""
     labelled = (members.join(component, "node", "left")
                 .select("bucket", "node", F.coalesce("component", "node").alias("component")))
     mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
              .where("_low < _high").select("bucket"))
-    labelled = settle(labelled.join(mixed, "bucket"))
-    sizes = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("_top")).select("bucket", "_top.component")
-    small = labelled.join(largest.withColumnRenamed("component", "_top"), "bucket").where("component <> _top")
-    left = small.select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"), "_top")
-    right = labelled.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy"))
-    # two members outside the largest component meet twice and count once
-    return (left.join(right, "bucket").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("_top")) | (F.col("x") < F.col("y"))))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-
-
-def components(edges: DataFrame) -> DataFrame:
+    return labelled.join(mixed, "bucket").select("node", "component").distinct()
+
+
+def prefix_pairs(nodes: DataFrame, elements: DataFrame, percent: int, n_nodes: int | None = None) -> DataFrame:
+    """Distinct pairs a < b of nodes in different components that may be linked; every link is among them.
+
+    nodes: node, component; elements: node, element. Sets are ordered by how rare their elements are. Two sets with
+    100 * shared >= percent * all share an element among their first ones, and where they first do, the rest of either is
+    long enough for what they still have to share.
+    """
+    rows = elements.join(nodes, "node")
+    counts = rows.groupBy("element").agg(F.count(F.lit(1)).alias("n_nodes"))
+    whole = Window.partitionBy("node")
+    placed = (rows.join(counts, "element")
+              .withColumn("pos", F.row_number().over(whole.orderBy("n_nodes", "element")) - 1)
+              .withColumn("size", F.count(F.lit(1)).over(whole))
+              .where((F.col("pos") * 100 <= F.col("size") * (100 - percent)) & (F.col("n_nodes") > 1))
+              .select("element", "node", "component", "pos", "size"))
+    placed = settle(placed, n_nodes and 8 * n_nodes)
+    left = placed.select("element", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("pos").alias("pa"), F.col("size").alias("na"))
+    right = placed.select("element", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("pos").alias("pb"), F.col("size").alias("nb"))
+    still = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return (left.join(right, "element")
+            .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                   & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+                   & (still * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
+            .select("a", "b").distinct())
+
+
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """Distributed union-find: node, component (the smallest node reachable) for every node of edges a, b.
 
     Each round every node joins its smallest neighbour, in an order of nodes that changes from round to round, so long
     chains also shrink by a share; edges inside a merged node go. Rounds end when no edge is left. The joins made in each
     round are kept as a table and followed one after the other at the end.
     """
-    edges = settle(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    edges = settle(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), rows)
+    n = edges.count()
+    edges = edges.coalesce(1 + n // ROWS_PER_TASK)
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    order, joined, left = random.Random(20240115), [], edges
-    while not left.isEmpty():
+    order, joined, left, n_left = random.Random(20240115), [], edges, n
+    while n_left:
         mask = order.getrandbits(62) if joined else 0
         rank = lambda c: F.col(c).bitwiseXOR(F.lit(mask).cast("long"))  # noqa: E731, B023
         ends = left.select("a", "b").union(left.select("b", "a")).toDF("x", "y")
         parent = settle(ends.groupBy("x").agg(F.min(rank("y")).alias("low"))
                         .select("x", F.least(F.col("low"), rank("x")).bitwiseXOR(F.lit(mask).cast("long")).alias("p"))
-                        .where("x <> p"))
+                        .where("x <> p"), n_left)
         joined.append(parent)
         left = settle(_follow(_follow(left, "a", parent), "b", parent)
-                      .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+                      .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), n_left)
+        n_left = left.count()
     found = nodes.withColumn("root", F.col("node"))
     for parent in joined:
         found = _follow(found, "root", parent)
-    found = settle(found)
+    found = settle(found, 2 * n)
     smallest = found.groupBy("root").agg(F.min("node").alias("component"))
-    return found.join(smallest, "root").select("node", "component")
+    return settle(found.join(smallest, "root").select("node", "component"), 2 * n)
 
 
 def _follow(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:

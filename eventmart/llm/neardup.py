@@ -7,8 +7,8 @@
 3. Registers are banded, four to a band. With 32 bands a pair of similarity 0.85 shares none once in 10**10.
 4. A pair's similarity is estimated from its registers, corrected for registers that agree by chance. Pairs six standard
    errors below the limit go; all others are confirmed on their full sets.
-5. Confirmed links are joined into components, and pairs of a band that are still in different components are
-   confirmed as well (see `links`).
+5. Confirmed links are joined into components, and similar documents that are still apart are found by their rarest
+   shingles and confirmed as well (see `links`).
 """
 
 from __future__ import annotations
@@ -115,9 +115,11 @@ def _sets(wanted, n: int):
             ids, texts = batch.column(0).take(at), batch.column(1).take(at)
             for part in words.slices(texts, words.SPACED):
                 hashes, offsets = part.hashes(), part.word_offsets()
+                sets = [_shingles(part, hashes, offsets, t, n) for t in range(part.n_texts)]
+                bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [ids[part.first:part.first + part.n_texts],
-                     pa.array([_shingles(part, hashes, offsets, t, n).tobytes() for t in range(part.n_texts)], pa.binary())],
+                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(sets).view(np.int64)))],
                     names=["node", "shingles"])
     return run
 
@@ -142,26 +144,30 @@ def _linked(percent: int):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("shingles_a"), batch.column("shingles_b")):
-                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
+                a, b = (x.values.to_numpy(zero_copy_only=False) for x in (a, b))
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def _shingle_sets(nodes: DataFrame, texts: DataFrame, n: int, rows: int) -> DataFrame:
+    """node, shingles of the named classes."""
+    nodes = nodes.distinct()
+    wanted = shared(texts.sparkSession, grams.bitmap_of(nodes.mapInArrow(_mixed, "hash bigint"), "hash"))
+    return settle(texts.mapInArrow(_sets(wanted, n), "node bigint, shingles array<bigint>").join(nodes, "node", "left_semi")
+                  .dropDuplicates(["node", "shingles"]), rows)
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int, rows: int) -> DataFrame:
     """The pairs a, b of class names that are links."""
     side = lambda s: classes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("registers").alias(f"regs_{s}"))
     likely = settle(pairs.join(side("a"), "a").join(side("b"), "b")
                     .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                    .mapInArrow(_likely(percent), "a bigint, b bigint"))
-    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    spark = texts.sparkSession
-    mixed = nodes.mapInArrow(_mixed, "hash bigint")
-    wanted = shared(spark, grams.bitmap_of(mixed, "hash"))
-    sets = settle(texts.mapInArrow(_sets(wanted, n), "node bigint, shingles binary").join(nodes, "node", "left_semi"))
+                    .mapInArrow(_likely(percent), "a bigint, b bigint"), rows)
+    sets = _shingle_sets(likely.select(F.explode(F.array("a", "b")).alias("node")), texts, n, rows)
     side = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"shingles_{s}"))
-    return settle(likely.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(percent), "a bigint, b bigint"))
+    return settle(likely.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(percent), "a bigint, b bigint"), rows)
 
 
 def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +186,11 @@ def near_duplicates(documents: DataFrame, n: int = 3, percent: int = 85) -> Data
     """
     docs = settle(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _signatures(n), "doc_id bigint, n_shingles bigint, digest binary, registers binary"))
+    rows = docs.count()
     linkable = docs.where("digest is not null and doc_id is not null")
-    names = settle(linkable.groupBy("digest").agg(F.min("doc_id").alias("node")))
+    names = settle(linkable.groupBy("digest").agg(F.min("doc_id").alias("node")), rows)
     named = linkable.join(names, "digest")
-    classes = settle(named.where("doc_id = node").select("node", "n_shingles", "registers").distinct())
+    classes = settle(named.where("doc_id = node").select("node", "n_shingles", "registers").distinct(), rows)
     bands = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
         F.substring(F.col("registers"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)), i)))
     members = classes.select("node", bands.alias("bucket"))
@@ -191,13 +198,11 @@ def near_duplicates(documents: DataFrame, n: int = 3, percent: int = 85) -> Data
     # rows that share a doc_id but not a text are linked through it
     same_id = named.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     same_id = same_id.join(classes.select(F.col("node").alias("b")).distinct(), "b", "left_semi").select("a", "b")
-    stars = _confirm(links.star_pairs(members), classes, texts, n, percent)
-    stars = stars.union(same_id)
-    first = settle(links.components(stars))
-    rest = _confirm(links.open_pairs(members, first), classes, texts, n, percent)
-    component = settle(links.components(stars.union(rest)))
+    elements = lambda asked: (_shingle_sets(asked, texts, n, rows)
+                              .select("node", F.explode("shingles").alias("element")))
+    component = links.linked(members, lambda pairs: _confirm(pairs, classes, texts, n, percent, rows), elements, percent, rows, same_id)
     of_class = settle(names.join(component, "node", "left")
-                      .select("digest", F.coalesce("component", "node").alias("component_id")))
+                      .select("digest", F.coalesce("component", "node").alias("component_id")), rows)
     out = docs.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id"),

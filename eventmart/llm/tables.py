@@ -10,6 +10,7 @@ import uuid
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_TASK = 20_000
 _temporary: list[str] = []
 
 
@@ -32,12 +33,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """The rows, kept in the checkpoint folder all executors share, so that a lost executor costs no earlier step."""
+def settle(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows, kept in the checkpoint folder all executors share, so that a lost executor costs no earlier step.
+
+    rows: about how many rows there are, if known. A small table then comes from few tasks, whatever the number of shuffle
+    partitions; with ROWS_PER_TASK rows or more for each partition this changes nothing.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint()
+    return (df if rows is None else df.coalesce(1 + rows // ROWS_PER_TASK)).checkpoint()
 
 
 def shared(spark: SparkSession, value) -> Broadcast:
