@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventmart.operators import scans
 
 RATE_WINDOW_S = 300
+STEP_S = 60  # distance of the times at which series are evaluated
 GRAIN_S = 21600  # a series has few samples in six hours: their number is set by the scrape interval
 
 # Topics whose counts make up the saga funnel, and the stage each one stands for.
@@ -44,26 +45,49 @@ def label_columns(labels: list[str]) -> list[Column]:
     return [F.try_element_at("labels", F.lit(name)).alias(name) for name in labels]
 
 
+def steps_of(us: Column, lookback_s: int, step_s: int = STEP_S) -> Column:
+    """The grid times (microseconds, multiples of the step) that look back on a sample: from its own time on, for less than
+    `lookback_s`."""
+    step = F.lit(step_s * scans.SECOND)
+    first = F.ceil(us / step) * step
+    last = F.ceil((us + lookback_s * scans.SECOND) / step) * step - step
+    return F.when(first <= last, F.sequence(first, last, step.cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+
+
+def at_steps(samples: DataFrame, lookback_s: int = RATE_WINDOW_S, step_s: int = STEP_S) -> DataFrame:
+    """metric, series, ts, value: the latest sample of each series within the look-back, at every grid time."""
+    points = samples.select("metric", series_of(F.col("labels")).alias("series"), F.unix_micros("ts").alias("_us"), "value")
+    seen = points.withColumn("_at", F.explode(steps_of(F.col("_us"), lookback_s, step_s)))
+    return (seen.groupBy("metric", "series", "_at").agg(F.max_by("value", "_us").alias("value"))
+            .select("metric", "series", F.timestamp_micros("_at").alias("ts"), "value"))
+
+
+def labels_of(series: Column) -> Column:
+    return F.from_json(series, "map<string,string>")
+
+
 def rate(samples: DataFrame, metric: str, window_s: int = RATE_WINDOW_S, matchers: Mapping[str, str] | None = None,
-         grain_s: int = GRAIN_S) -> DataFrame:
-    """Per-second increase of each series over the trailing window, at each sample; a drop counts as a reset.
+         grain_s: int = GRAIN_S, step_s: int = STEP_S) -> DataFrame:
+    """Per-second increase of each series over the trailing window, at the multiples of `step_s`; a drop is a reset.
 
-    The increase is taken between the first and last sample inside the window, without extrapolation to its
-    edges; one sample alone gives no row. Series are cut by time, with the last window of a chunk copied into
-    the next, so a busy series is spread over tasks.
+    All series are evaluated at the same times, whenever they were sampled, so their rates may be summed. The increase
+    between the first and the last sample inside the window is divided by the time between them; one sample alone
+    gives no row. Series are cut by time, with the last window of a chunk copied into the next, so a busy series is
+    spread over tasks.
     """
     points = match(samples, matchers, metric).select(
-        "labels", series_of(F.col("labels")).alias("series"), "ts", "value", F.unix_micros("ts").alias("_us"))
+        series_of(F.col("labels")).alias("series"), "value", F.unix_micros("ts").alias("_us"))
     near = scans.halo(points, "_us", back_s=window_s, grain_s=grain_s)
-    ordered = scans.local_window(["series"], ["_us"])
-    trailing = ordered.rangeBetween(1 - window_s * scans.SECOND, 0)
-    previous = F.lag("value").over(ordered)
-    step = F.when(F.col("value") >= previous, F.col("value") - previous).otherwise(F.col("value"))
-    inside = near.withColumn("_step", step)
-    return (inside.withColumn("_n", F.count("*").over(trailing))
-                  .withColumn("_grown", F.sum("_step").over(trailing) - F.first("_step").over(trailing))
-                  .filter(F.col(scans.OWN) & (F.col("_n") > 1))
-                  .select("labels", "series", "ts", (F.col("_grown") / window_s).alias("rate")))
+    previous = F.lag("value").over(scans.local_window(["series"], ["_us"]))
+    grown = F.when(F.col("value") >= previous, F.col("value") - previous).otherwise(F.col("value"))
+    seen = (scans.own_rows(near.withColumn("_grown", grown))
+            .withColumn("_at", F.explode(steps_of(F.col("_us"), window_s, step_s))))
+    span = (F.max("_us") - F.min("_us")) / F.lit(scans.SECOND)
+    increase = F.sum("_grown") - F.min_by("_grown", "_us")
+    return (seen.groupBy("series", "_at").agg(increase.alias("_increase"), span.alias("_span"))
+            .filter(F.col("_span") > 0)
+            .select(labels_of(F.col("series")).alias("labels"), "series", F.timestamp_micros("_at").alias("ts"),
+                    (F.col("_increase") / F.col("_span")).alias("rate")))
 
 
 def rate_by(samples: DataFrame, metric: str, labels: list[str], matchers: Mapping[str, str] | None = None,
@@ -242,10 +266,10 @@ ALERT_RULES = [
 
 
 def used_share(samples: DataFrame, metric: str) -> DataFrame:
-    """1 - free / total per series and time, from the two gauges `<metric>_free_bytes` and `<metric>_total_bytes`."""
-    gauges = samples.filter(F.col("metric").isin(f"{metric}_free_bytes", f"{metric}_total_bytes"))
+    """1 - free / total per series at the grid times, from the gauges `<metric>_free_bytes` and `<metric>_total_bytes`."""
+    gauges = at_steps(samples.filter(F.col("metric").isin(f"{metric}_free_bytes", f"{metric}_total_bytes")))
     is_free = F.col("metric") == f"{metric}_free_bytes"
-    both = gauges.groupBy(series_of(F.col("labels")).alias("series"), "ts").agg(
+    both = gauges.groupBy("series", "ts").agg(
         F.max(F.when(is_free, F.col("value"))).alias("_free"), F.max(F.when(~is_free, F.col("value"))).alias("_total"))
     return both.select("series", "ts", (1 - F.col("_free") / F.nullif("_total", F.lit(0.0))).alias("value"))
 
@@ -253,8 +277,7 @@ def used_share(samples: DataFrame, metric: str) -> DataFrame:
 def alert_series(rule: AlertRule, samples: DataFrame, times: DataFrame) -> DataFrame:
     """The (series, ts, value) points a rule judges. Missing data adds points only where the rule says so."""
     if rule.kind == "value":
-        points = match(samples, rule.matchers, rule.metric).select(
-            series_of(F.col("labels")).alias("series"), "ts", "value")
+        points = at_steps(match(samples, rule.matchers, rule.metric)).select("series", "ts", "value")
     elif rule.kind == "rate":
         points = rate(samples, rule.metric, matchers=rule.matchers).select("series", "ts", F.col("rate").alias("value"))
     elif rule.kind == "absent":

@@ -465,16 +465,24 @@ VIEWS["counter"] = """
 
 
 def _rates(source: str, keys: str) -> str:
-    """Trailing five-minute increase per series: pairs of neighbouring samples that both lie in the window."""
+    """Increase per second at each minute: pairs of neighbouring samples that both lie in the five minutes before it."""
+    same = " AND ".join(f"a.{k.strip()} = b.{k.strip()}" for k in keys.split(","))
     return f"""
-  SELECT {keys}, m, (total_step - first_step) / 300.0 AS rate FROM (
-    SELECT {keys}, m, sum(step) OVER w AS total_step, first(step) OVER w AS first_step, count(*) OVER w AS points
-    FROM (SELECT *, CASE WHEN total >= coalesce(lag(total) OVER s, total + 1) THEN total - lag(total) OVER s ELSE total END
-            AS step FROM {source} WINDOW s AS (PARTITION BY {keys} ORDER BY m))
-    WINDOW w AS (PARTITION BY {keys} ORDER BY m RANGE BETWEEN INTERVAL 299999999 MICROSECONDS PRECEDING AND CURRENT ROW))
-  WHERE points > 1"""
-
-
+  SELECT {keys}, t AS m, sum(step) / (epoch(max(upto)) - epoch(min(since))) AS rate FROM (
+    SELECT {", ".join("a." + k.strip() for k in keys.split(","))}, g.t, a.m AS since, b.m AS upto,
+           CASE WHEN b.total >= a.total THEN b.total - a.total ELSE b.total END AS step
+    FROM (SELECT *, lead(m) OVER (PARTITION BY {keys} ORDER BY m) AS next FROM {source}) a
+    JOIN {source} b ON {same} AND b.m = a.next
+    JOIN every_minute g ON a.m > g.t - INTERVAL 5 MINUTES AND b.m <= g.t) GROUP BY {keys}, t"""
+
+
+VIEWS["every_minute"] = """
+  SELECT unnest(range(min(m), max(m) + INTERVAL 6 MINUTES, INTERVAL 1 MINUTE)) AS t FROM minutes"""
+VIEWS["disk_minutes"] = """
+  SELECT event_type, date_trunc('minute', ts) AS m, greatest(0, 100 - floor(sum(value) / count(*))) AS free FROM ev GROUP BY ALL"""
+VIEWS["disk_seen"] = """
+  SELECT event_type, t AS m, arg_max(free, d.m) AS free
+  FROM disk_minutes d JOIN every_minute ON d.m <= t AND d.m > t - INTERVAL 5 MINUTES GROUP BY event_type, t"""
 _M = "strftime(m, '%Y-%m-%dT%H:%M:%S.%fZ')"
 VIEWS["rates"] = _rates("counter", "event_type, status")
 oracle("topic_status_counts", """
@@ -536,9 +544,7 @@ oracle("metric_absent", f"""
   SELECT {_M} AS ts, 1.0::DOUBLE AS value FROM spine s WHERE NOT EXISTS (
     SELECT 1 FROM (SELECT DISTINCT m AS t FROM minutes WHERE event_type = 'error')
     WHERE t <= s.m AND t > s.m - INTERVAL 5 MINUTES)""")
-oracle("disk_ratio", f"""
-  SELECT event_type AS disk, {_M} AS ts, greatest(0, 100 - floor(v)) / 100 AS ratio FROM (
-    SELECT event_type, date_trunc('minute', ts) AS m, sum(value) / count(*) AS v FROM ev GROUP BY ALL)""")
+oracle("disk_ratio", f"SELECT event_type AS disk, {_M} AS ts, free / 100 AS ratio FROM disk_seen")
 oracle("metric_latest", """
   SELECT event_type AS otel_scope_name, CAST(sum(total) AS DOUBLE) AS value FROM (
     SELECT event_type, status, arg_max(total, m) AS total FROM counter GROUP BY ALL) GROUP BY event_type""")
@@ -567,9 +573,7 @@ VIEWS["all_ratio"] = """
 VIEWS["all_buckets"] = """
   SELECT m, CASE le WHEN '+Inf' THEN 'infinity'::DOUBLE ELSE le::DOUBLE END AS edge, sum(rate) AS rate
   FROM bucket_rates GROUP BY ALL"""
-VIEWS["all_disk"] = """
-  SELECT event_type, m, 1 - greatest(0, 100 - floor(v)) / 100 AS used FROM (
-    SELECT event_type, date_trunc('minute', ts) AS m, sum(value) / count(*) AS v FROM ev GROUP BY ALL)"""
+VIEWS["all_disk"] = "SELECT event_type, m, 1 - free / 100 AS used FROM disk_seen"
 
 
 def _fired(name: str, source: str, key: str, series: str, value: str, condition: str, seconds: int) -> str:

@@ -476,9 +476,11 @@ def metric_absent(v: EventViews) -> DataFrame:
 
 @query
 def disk_ratio(v: EventViews) -> DataFrame:
-    gauges = v.disk_gauges()
-    free, total = (metrics.match(gauges, None, f"redpanda_storage_disk_{part}_bytes").select(
-        *metrics.label_columns(["disk"]), "ts", "value") for part in ("free", "total"))
+    """Free over total, both as last seen at each grid time."""
+    gauges = metrics.at_steps(v.disk_gauges())
+    disk = metrics.labels_of(F.col("series"))["disk"].alias("disk")
+    free, total = (gauges.filter(F.col("metric") == f"redpanda_storage_disk_{part}_bytes").select(disk, "ts", "value")
+                   for part in ("free", "total"))
     return _text(metrics.ratio(free, total, ["disk", "ts"]), "ts")
 
 

@@ -193,10 +193,12 @@ def test_rate_and_sustained(spark, grain_s):
     df = spark.createDataFrame([("m", {"s": n, "x": "1"}, datetime.fromtimestamp(START // SECOND + t, timezone.utc), v)
                                 for (n, t), v in points.items()], "metric string, labels map<string,string>, ts timestamp, value double")
     expected = {}
-    for n, t in points:
-        inside = [points[n, u] for u in range(max(0, t - 299), t + 1) if (n, u) in points]
-        if len(inside) > 1:
-            expected[n, t] = sum(b - a if b >= a else b for a, b in zip(inside, inside[1:])) / 300
+    for n in total:
+        for t in range(0, 7200 + 300, 60):
+            inside = [(u, points[n, u]) for u in range(max(0, t - 299), t + 1) if (n, u) in points]
+            if len(inside) > 1:
+                grown = sum(b - a if b >= a else b for (_, a), (_, b) in zip(inside, inside[1:]))
+                expected[n, t] = grown / (inside[-1][0] - inside[0][0])
     out = metrics.rate(df, "m", grain_s=grain_s)
     got = {(r.labels["s"], int(r.ts.replace(tzinfo=timezone.utc).timestamp()) - START // SECOND): r.rate
            for r in out.collect()}
@@ -218,6 +220,23 @@ def test_rate_and_sustained(spark, grain_s):
     assert got == firing and len(set(firing.values())) == 2
 
 
+def test_series_sampled_at_other_times_are_summed_at_the_same_ones(spark):
+    """Two counters of one service, 15 s apart, with an error in a hundred requests; free and total 15 s apart."""
+    def at(second):
+        return datetime.fromtimestamp(START // SECOND + second, timezone.utc)
+
+    rows = []
+    for n in range(40):
+        rows += [("c", {"code": "200"}, at(60 * n), 99.0 * n), ("c", {"code": "500"}, at(60 * n + 15), 1.0 * n),
+                 ("d_free_bytes", {"disk": "a"}, at(60 * n + 5), 25.0), ("d_total_bytes", {"disk": "a"}, at(60 * n + 20), 100.0)]
+    df = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts timestamp, value double")
+    ratios = [r.ratio for r in metrics.error_ratio(df, "c", "code").orderBy("ts").collect()]
+    assert ratios[2:-5] == pytest.approx([0.01] * len(ratios[2:-5])) and len(ratios) > 35
+    assert {r.rate for r in metrics.rate(df, "c", matchers={"code": "200"}).collect()} == {1.65}
+    shares = [r.value for r in metrics.used_share(df, "d").orderBy("ts").collect()]
+    assert shares[1:-1] == [0.75] * len(shares[1:-1])
+
+
 def test_lookup_lets_a_hot_key_be_split(spark):
     """With the thresholds scaled down to the test's size, the join splits the hot key's partition."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
