@@ -109,7 +109,7 @@ def shard_documents(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = documents.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
                             F.sha2(text, 256).alias("digest"))
     rows = settle(rows.withColumn("digest", F.unhex("digest"))
-                  .withColumn("salt", F.pmod(F.col("doc_id").cast("long"), F.lit(_SALTS)).cast("int")))
+                  .withColumn("salt", F.coalesce(F.pmod(F.col("doc_id").cast("long"), F.lit(_SALTS)), F.lit(0)).cast("int")))
     part = rows.groupBy("digest", "salt").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("n_bytes"))
     parts = settle(part.withColumn("bucket", F.conv(F.hex(F.substring("digest", 1, 2)), 16, 10).cast("int") % 65536 / (65536 // _BUCKETS))
                    .withColumn("bucket", F.floor("bucket").cast("int")))

@@ -131,7 +131,7 @@ def test_line_classes_equal_brute_force(spark):
             own.append("".join(line))
         texts.append("\n".join(own))
     texts += [None, "", "\n\n", "漢字" * 40, "漢字" * 39 + "漢", "no-blanks-" * 30, "no-blanks-" * 29 + "no-blinks-"]
-    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] + [(None, "x")], "doc_id long, text string, line_no int")
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] + [(None, "x", 0)], "doc_id long, text string, line_no int")
     known = {(i, k): x.strip(" ") for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if x.strip(" ")}
     distinct = sorted(set(known.values()))
     sets = {x: line_sets(x) for x in distinct}
