@@ -52,8 +52,13 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def undecided(members: DataFrame, component: DataFrame) -> DataFrame:
-    """node, component of the members of buckets that hold more than one component."""
-    labelled = (members.join(component, "node", "left")
+    """node, component of the members of buckets that may hold a pair nobody has looked at, in different components.
+
+    All pairs with a bucket's smallest node have been looked at, so that one does not count.
+    """
+    first = members.groupBy("bucket").agg(F.min("node").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    labelled = (members.join(first.where("_n > 2"), "bucket").where("node > _first").select("bucket", "node")
+                .join(component, "node", "left")
                 .select("bucket", "node", F.coalesce("component", "node").alias("component")))
     mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
              .where("_low < _high").select("bucket"))
