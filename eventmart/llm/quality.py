@@ -61,7 +61,7 @@ def features(part: words.Words) -> np.ndarray:
     size = np.diff(edges).astype(float)
 
     def share(table: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0], np.cumsum(table[raw])))
+        sums = np.concatenate(([0], np.cumsum(table[raw], dtype=np.int32)))
         return (sums[edges[1:]] - sums[edges[:-1]]).astype(float)
 
     count = part.counts().astype(float)
@@ -93,9 +93,9 @@ def features(part: words.Words) -> np.ndarray:
         n_lines = np.bincount(text[first], minlength=n).astype(float)
     else:
         lines = n_lines = np.zeros(n)
-    equal = np.zeros(len(raw) + 1)
+    equal = np.zeros(len(raw) + 1, np.int32)
     if len(raw) > 1:
-        equal[2:] = np.cumsum(raw[1:] == raw[:-1])
+        equal[2:] = np.cumsum(raw[1:] == raw[:-1], dtype=np.int32)
     letters = share(_LETTER)
     return np.column_stack([
         np.log1p(count), np.log1p(size), _ratio(per_text(length), count), longest, _ratio(share(_UPPER), letters),

@@ -1,6 +1,6 @@
 """Words of Arrow text columns as NumPy arrays: borders, 64-bit hashes, hashes of runs of words.
 
-All functions work on whole texts. A batch is cut into slices of a few megabytes (never inside a text), so memory
+All functions work on whole texts. A batch is cut into slices of about a megabyte (never inside a text), so memory
 follows the slice, or the longest text, and not the batch.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
