@@ -96,11 +96,13 @@ def judge(pages: DataFrame, rules: DataFrame | None = None, default: str = DEFAU
         return _result(rows.withColumn("entry", F.lit(None).cast("struct<size:int,host_size:int,rule:string,verdict:string,depth:int>")), default)
     numbers = [r[0] for r in dealt.select("range").distinct().sort("range").collect()]
     first = F.lit(borders[1:]).cast("array<string>") if len(borders) > 1 else F.array().cast("array<string>")
-    place = lambda key: F.size(F.filter(first, lambda b: b <= key))
+    before = lambda key: F.size(F.filter(first, lambda b: b < key))
+    upto = lambda key: F.size(F.filter(first, lambda b: b <= key))
     stacks = rule_stacks(rules)
     ordinal = F.create_map(*[F.lit(x) for pair in zip(numbers, range(len(numbers))) for x in pair])
-    # a border inside a run of equal keys belongs to both ranges, so an interval also goes to the range before its own
-    spread = (stacks.withColumn("part", F.explode(F.sequence(F.greatest(place(F.col("low")) - 1, F.lit(0)), place(F.col("high"))))))
+    # a key that repeats may fill many ranges, all but the first of them with it as their border: an interval goes to each
+    # range from the first that can hold its low key
+    spread = stacks.withColumn("part", F.explode(F.sequence(before(F.col("low")), upto(F.col("high")))))
     starts = spread.select("part", F.col("low").alias("key"), F.lit(_BEGIN).alias("kind"), F.size("stack").alias("depth"), "stack")
     ends = spread.select("part", F.col("high").alias("key"), F.lit(_END).alias("kind"), (-F.size("stack")).alias("depth"),
                          F.slice("stack", 2, F.size("stack")).alias("stack"))

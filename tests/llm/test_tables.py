@@ -68,6 +68,20 @@ def test_url_rules_equal_brute_force(spark):
     assert urls.judge(pages.limit(0)).count() == 0
 
 
+def test_url_rules_hold_in_every_range_of_a_hot_key(spark):
+    made = ["http://a.com/"] * 400 + ["http://x.example.com/en/"] * 400 + [f"http://h{k}.org/es/" for k in range(400)]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(made)], "page_id long, url string").repartition(8)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(pages).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: judged(u, urls.RULES, "allow")[2:] for i, u in enumerate(made)}
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     vectors = np.round(rng.normal(size=(900, 8)), 2)
