@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm import grams, words
@@ -118,19 +118,29 @@ def _aligned(min_score: float):
     return run
 
 
+def caseless(text: str) -> Column:
+    """A text without case, in all scripts: in capitals, since small letters with several forms (ß and ss, σ and ς) share them.
+
+    Capitals that the small letter does not lead to are set to those it does. No letter becomes a blank or a sign, so
+    words keep their places. Lowering the capitals again would do nothing: Spark reduces lower(upper(x)) to lower(x).
+    """
+    plain = F.replace(F.replace(F.col(text), F.lit("ẞ"), F.lit("SS")), F.lit("İ"), F.lit("I"))
+    return F.upper(plain).alias(text)
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, window: int = WINDOW,
                  min_score: float = MIN_SCORE) -> DataFrame:
     """Pairs of document and test item of which the document holds a copy, exact or edited.
 
     documents: doc_id, text; benchmark: item_id, text; other columns are ignored, whatever their names. Words are runs
-    of letters and digits, A-Z lowered. One row per doc_id and item_id with the best score and the place of that copy
+    of letters and digits, compared without case. One row per doc_id and item_id with the best score and the place of that copy
     (words from 0). Repeated rows give one row; a null id is an id of its own; null and empty texts and items without
     words match nothing; an empty table on either side gives no rows.
     """
-    docs = documents.select("doc_id", "text")
+    docs = documents.select("doc_id", caseless("text"))
     spark = docs.sparkSession
     doc_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    items = settle(benchmark.select("item_id", "text").mapInArrow(
+    items = settle(benchmark.select("item_id", caseless("text")).mapInArrow(
         _item_rows(n), f"item_id {item_type}, item_words string, n_words int, runs array<bigint>")
         .dropDuplicates(["item_id", "item_words"]))
     known = items.select("item_id", "item_words", "n_words", F.posexplode("runs").alias("pos", "run"))

@@ -196,6 +196,17 @@ def test_copies_of_test_items_are_found(spark):
     assert decontaminate.contaminated(documents.limit(0), benchmark).count() == 0
 
 
+def test_copies_in_another_case_are_found_in_all_scripts(spark):
+    items = ["Mañana será otra ocasión según él, así que volvió después", "Où étaient passés les élèves très âgés, à l'été déjà lointain",
+             "Die Straße heißt außen größer als Öl und Übermut", "Ещё раз съешь этих мягких булок", "ο Οδυσσέας είναι σοφός και άλλος"]
+    rows = [(10 * i + k, "x1 x2 " + change(t) + " x3") for i, t in enumerate(items)
+            for k, change in enumerate([str, str.upper, str.title, str.lower, lambda t: t.upper().replace("SS", "ẞ")])]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.first_word) for r in decontaminate.contaminated(documents, benchmark).collect()}
+    assert got == {(d, d // 10): (1.0, 2) for d, _ in rows}
+
+
 @pytest.mark.parametrize("n", [1, 3])
 def test_run_hashes_agree_with_the_words(n):
     import pyarrow as pa
