@@ -1,34 +1,46 @@
 """Benchmark decontamination: rare word runs seed alignments between training passages and test items.
 
-1. Every run of five words of an item is a possible seed (the whole item, if it has fewer words). A bitmap of their
-   hashes, of fixed size, goes to all tasks; one pass over the documents keeps the runs that may be seeds, with the
-   words around them: the passages.
-2. Runs are counted over all passages. Of every few neighbouring runs of an item, the rarest is its seed, so any
-   unchanged stretch of `n + window - 1` words holds one, and runs that half the corpus shares are chosen only where
-   nothing rarer is near.
-3. Seeds are joined to the passages' runs on the hash. Each pair of passage and item found is aligned by
-   Smith-Waterman over words (match 1, other word -1, gap -1). The score is the alignment's over the item's length: 1 for
-   a copy, 0.6 if each fifth word is another.
+1. An alignment that scores MIN_SCORE has few edits, so it keeps an unchanged run of some length, which follows from the
+   item's length alone (`run_length`: three words, two in some short items). Every run of that length is a seed, however
+   many documents hold it. A bitmap of their hashes, of fixed size, goes to all tasks; one pass over the documents keeps
+   the runs that may be seeds, with as many words around them as an alignment can reach: the passages.
+2. Seeds are joined to the passages' runs on the hash.
+3. A pair of passage and item is aligned by Smith-Waterman over words (match 1, other word -1, gap -1), unless no stretch of
+   the passage has enough words of the item for MIN_SCORE (`reachable`). The score is the alignment's over the item's
+   length: 1 for a copy, 0.6 if each fifth word is another.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm import grams, words
 from eventmart.llm.tables import settle, shared
 
-N_WORDS = 5
-WINDOW = 3
 MIN_SCORE = 0.6
 
 
-def _item_rows(n: int):
+def most_edits(length: int, min_score: float) -> int:
+    """Edits that an alignment of the score can have: the most are words put in, at one point each."""
+    return length - max(1, math.ceil(min_score * length))
+
+
+def run_length(length: int, min_score: float) -> int:
+    """Words of the longest run of the item that every alignment of the score keeps.
+
+    With e edits the matched words lie in at most e + 1 unchanged runs. A word that is another or left out costs a match
+    as well, so of all edits, words put in leave the shortest runs: the whole item in `most_edits` + 1 of them.
+    """
+    return -(-length // (most_edits(length, min_score) + 1))
+
+
+def _item_rows(min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, out = batch.column(0), []
@@ -38,7 +50,7 @@ def _item_rows(n: int):
                     a, b = offsets[t], offsets[t + 1]
                     if b > a:
                         out.append((ids[part.first + t].as_py(), " ".join(part.word(k) for k in range(a, b)), int(b - a),
-                                    words.runs(hashes[a:b], min(n, b - a)).view(np.int64)))
+                                    words.runs(hashes[a:b], run_length(int(b - a), min_score)).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], batch.schema.field(0).type), pa.array([r[1] for r in out], pa.string()),
                  pa.array([r[2] for r in out], pa.int32()), pa.array([r[3] for r in out], pa.list_(pa.int64()))],
@@ -97,6 +109,12 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def reachable(passage: np.ndarray, item: np.ndarray) -> int:
+    """No alignment scores more: the most, over all stretches of the passage, of its words in the item less its others."""
+    sums = np.concatenate(([0], np.cumsum(np.where(np.isin(passage, item), 1, -1))))
+    return int((sums - np.minimum.accumulate(sums)).max())
+
+
 def _aligned(min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,6 +122,8 @@ def _aligned(min_score: float):
             for k, (p, i, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("passage", "item_words", "first_word")))):
                 number: dict[str, int] = {}
                 a, b = (np.array([number.setdefault(w, len(number)) for w in x.split(" ")]) for x in (p, i))
+                if reachable(a, b) < min_score * len(b):
+                    continue
                 points, end = align(a, b)
                 if points >= min_score * len(b):
                     _, back = align(a[:end][::-1], b[::-1])
@@ -128,8 +148,7 @@ def caseless(text: str) -> Column:
     return F.upper(plain).alias(text)
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, window: int = WINDOW,
-                 min_score: float = MIN_SCORE) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Pairs of document and test item of which the document holds a copy, exact or edited.
 
     documents: doc_id, text; benchmark: item_id, text; other columns are ignored, whatever their names. Words are runs
@@ -141,23 +160,20 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, w
     spark = docs.sparkSession
     doc_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     items = settle(benchmark.select("item_id", caseless("text")).mapInArrow(
-        _item_rows(n), f"item_id {item_type}, item_words string, n_words int, runs array<bigint>")
+        _item_rows(min_score), f"item_id {item_type}, item_words string, n_words int, runs array<bigint>")
         .dropDuplicates(["item_id", "item_words"]))
-    known = items.select("item_id", "item_words", "n_words", F.posexplode("runs").alias("pos", "run"))
-    longest = items.agg(F.max("n_words")).first()[0]
-    if longest is None:
+    seeds = items.select("item_id", "item_words", F.explode("runs").alias("run")).distinct()
+    sizes = [r[0] for r in items.select("n_words").distinct().collect()]
+    if not sizes:
         return spark.createDataFrame([], f"doc_id {doc_type}, item_id {item_type}, score double, first_word bigint, last_word bigint")
-    lengths = sorted(r[0] for r in items.select(F.least("n_words", F.lit(n))).distinct().collect())
-    bits = shared(spark, grams.bitmap_of(known, "run"))
+    lengths = sorted({run_length(size, min_score) for size in sizes})
+    reach = max(sizes) + most_edits(max(sizes), min_score)
+    bits = shared(spark, grams.bitmap_of(seeds, "run"))
     passages = settle(docs.mapInArrow(
-        _passages(bits, lengths, longest),
+        _passages(bits, lengths, reach),
         f"doc_id {doc_type}, first_word bigint, passage string, runs array<bigint>")
         .withColumn("passage_key", F.xxhash64("doc_id", "first_word", "passage")))
     places = passages.select("passage_key", F.explode("runs").alias("run"))
-    counted = known.join(places.groupBy("run").agg(F.count(F.lit(1)).alias("n_places")), "run")
-    near = Window.partitionBy("item_id", "item_words").orderBy("pos").rangeBetween(0, window - 1)
-    seeds = (counted.select("item_id", "item_words", F.min(F.struct("n_places", "pos", "run")).over(near).alias("rarest"))
-             .select("item_id", "item_words", F.col("rarest.run").alias("run")).distinct())
     pairs = places.join(seeds, "run").select("passage_key", "item_id", "item_words").distinct()
     found = (pairs.join(passages.select("passage_key", "doc_id", "first_word", "passage")
                         .dropDuplicates(["passage_key"]), "passage_key")

@@ -207,6 +207,31 @@ def test_copies_in_another_case_are_found_in_all_scripts(spark):
     assert got == {(d, d // 10): (1.0, 2) for d, _ in rows}
 
 
+def test_edited_copies_are_found_beside_exact_ones(spark):
+    rng = random.Random(6)
+    words = [f"v{k}" for k in range(60)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [text(n) for n in (3, 5, 6, 10, 15, 20, 31, 40)]
+    docs = [text(20) + x + text(20) for x in items for _ in range(3)]
+    for x in items:
+        docs.append(text(9) + [w if k % 5 != 2 else "changed" for k, w in enumerate(x)] + text(9))
+        for _ in range(6):
+            y = list(x)
+            for _ in range(rng.randint(1, 1 + 2 * len(x) // 5)):
+                at = rng.randrange(len(y))
+                y[at:at + rng.choice([0, 1, 1])] = rng.choice([[], ["other"], ["other"]])
+            docs.append(text(30) + y + text(30))
+    spread = []  # the words of the longest item two by two, the last four together
+    for k, w in enumerate(items[7]):
+        spread += [w] + (["other"] if k % 2 and k < 32 else [])
+    docs += [spread, text(5) + spread]
+    documents = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    best = {(d, i): smith_waterman(x, y) / len(y) for d, x in enumerate(docs) for i, y in enumerate(items)}
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(documents, benchmark).collect()}
+    assert got == {k: v for k, v in best.items() if v >= 0.6}
+
+
 @pytest.mark.parametrize("n", [1, 3])
 def test_run_hashes_agree_with_the_words(n):
     import pyarrow as pa
