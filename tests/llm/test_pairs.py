@@ -149,6 +149,17 @@ def test_line_classes_equal_brute_force(spark):
     assert all(len(k) == 1 for k in kept.values())
 
 
+def test_similar_lines_of_all_lengths_share_a_band(spark):
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n - 1)) + "e"
+    pairs = [(x, x[:-1] + "#") for n in (20, 30, 40, 76, 95, 101, 120) for x in (text(n) for _ in range(60))]
+    pairs += [(x * k, x * (k + 4)) for k in (9, 13) for x in (text(8) for _ in range(20))]  # few shingles, many times
+    assert all(len(line_sets(a) & line_sets(b)) >= 0.8 * len(line_sets(a) | line_sets(b)) for a, b in pairs)
+    docs = spark.createDataFrame([(2 * i + k, x) for i, pair in enumerate(pairs) for k, x in enumerate(pair)], "doc_id long, text string")
+    component = {r.doc_id: r.component for r in lines.line_classes(docs).collect()}
+    assert sum(component[2 * i] != component[2 * i + 1] for i in range(len(pairs))) <= 1
+
+
 def test_lines_are_removed_and_empty_documents_go(spark):
     docs = spark.createDataFrame([(1, "a line of text\n\nanother one here", "en", 31), (2, "a line of text", "en", 14),
                                   (3, "a line of text\nown words", "en", 24), (4, "", "en", 0), (5, None, "en", None)],
