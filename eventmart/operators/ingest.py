@@ -211,6 +211,12 @@ def signouts_from_changes(changes: DataFrame, users: DataFrame, now: str | Colum
         "user_id", "email", "signout_time", null_string().alias("device_id"), "user_agent", "ip_address")
 
 
-def unreadable(rows: DataFrame, time: str) -> DataFrame:
-    """Rows whose wire time cannot be read, with the reason. Rules that work in time order leave exactly these out."""
-    return rows.filter(micros(time).isNull()).withColumn("reason", F.lit("bad_time"))
+def unreadable(rows: DataFrame, time: str | None, *keys: str) -> DataFrame:
+    """Rows whose wire time cannot be read, or that lack one of the keys, with the reason.
+
+    Rules that work in time order leave exactly these out. Without a `time`, only the keys count.
+    """
+    bad_time = F.lit(False) if time is None else micros(time).isNull()
+    no_key = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x) if keys else F.lit(False)
+    return (rows.filter(bad_time | no_key)
+            .withColumn("reason", F.when(bad_time, F.lit("bad_time")).otherwise(F.lit("no_key"))))

@@ -126,19 +126,22 @@ def start_olap(spark: SparkSession, source: str, table: str, checkpoints: str,
     return sinks.start(stream, writer, f"{checkpoints.rstrip('/')}/olap", interval)
 
 
-# The wire time of the topics whose rows are put in order; without it a row cannot be.
+# The wire time and the keys of the topics whose rows are put in order; without them a row cannot be. The last two are
+# the ledger's sources: a credit needs no time, since one that cannot be read counts before all others.
 ORDERED_TOPICS = {
-    "public.media.upload.signed": "signed_time",
-    "internal.media.upload.received": "upload_time",
-    "internal.media.file.ready": "upload_time",
-    "internal.media.upload.intent": "request_time",
+    "public.media.upload.signed": ("signed_time", "file_path"),
+    "internal.media.upload.received": ("upload_time", "file_path", "permanent_path"),
+    "internal.media.file.ready": ("upload_time", "file_path"),
+    "internal.media.upload.intent": ("request_time", "user_id"),
+    "public.identity.signup.events": (None, "user_id"),
+    "public.media.expired.events": (None, "user_id"),
 }
 
 
 def start_rejects(spark: SparkSession, source: str, target: str, checkpoints: str, topics: list[str] | None = None,
                   interval: str | None = None) -> list[StreamingQuery]:
-    """Rows of the ordered topics whose time cannot be read, each topic into `<target>/rejected/<topic>`."""
-    return [sinks.start(ingest.unreadable(read_topic(spark, topic, source), ORDERED_TOPICS[topic]),
+    """Rows of the ordered topics without a readable time or a key, each topic into `<target>/rejected/<topic>`."""
+    return [sinks.start(ingest.unreadable(read_topic(spark, topic, source), *ORDERED_TOPICS[topic]),
                         sinks.append_sink(f"{target.rstrip('/')}/rejected/{topic}", "unreadable"),
                         f"{checkpoints.rstrip('/')}/rejected-{topic}", interval)
             for topic in topics or ORDERED_TOPICS]

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmart.functions.scalars import iso_micros, micros
+from eventmart.operators.credits import BEFORE_ALL_US, INTERNAL_ERROR
 from eventmart.operators.sagas import RECEIVED
 from eventmart.streaming import rules
 from eventmart.streaming.rules import CreditCheck, MoveSaga, UploadTtl
@@ -127,17 +128,23 @@ def move_saga_stream(received: DataFrame, ready: DataFrame, delay: str = DELAY,
 def credit_check_stream(intents: DataFrame, ledger: DataFrame, delay: str = DELAY) -> DataFrame:
     """Decisions on upload intents as a stream; each user's balance is kept in state.
 
-    `ledger` holds credits and the deductions of earlier runs, not those of the intents of this stream.
+    `ledger` holds credits and the deductions of earlier runs, not those of the intents of this stream. As in the batch
+    form, a ledger row without a readable time counts before all others, and such an intent is refused as it arrives.
     """
     rows = (intents.select(F.col("user_id").alias("key"), micros("request_time").alias("us"), F.lit(1).alias("kind"),
                            F.lit(None).cast("int").alias("amount"), *CreditCheck.fields)
             .unionByName(ledger.select(
-                F.col("user_id").alias("key"), micros("event_time").alias("us"), F.lit(0).alias("kind"), "amount"),
-                allowMissingColumns=True))
+                F.col("user_id").alias("key"), F.coalesce(micros("event_time"), F.lit(BEFORE_ALL_US)).alias("us"),
+                F.lit(0).alias("kind"), "amount"), allowMissingColumns=True))
     out = _run(rows, CreditCheck(), "key string, outcome string, file_name string, media_type string, file_size long, "
                "request_id string, request_time string, reason string, outcome_us long, ledger_delta int", delay)
     approved = F.col("outcome") == "approved"
-    return out.select("outcome", F.col("key").alias("user_id"), "file_name", "media_type", "file_size", "request_id",
-                      F.when(approved, F.col("request_time")).otherwise(F.lit("")).alias("request_time"), "reason",
-                      F.when(approved, F.lit("")).otherwise(iso_micros("outcome_us")).alias("rejected_time"),
-                      "ledger_delta")
+    decided = out.select("outcome", F.col("key").alias("user_id"), "file_name", "media_type", "file_size", "request_id",
+                         F.when(approved, F.col("request_time")).otherwise(F.lit("")).alias("request_time"), "reason",
+                         F.when(approved, F.lit("")).otherwise(iso_micros("outcome_us")).alias("rejected_time"),
+                         "ledger_delta")
+    refused = intents.filter(micros("request_time").isNull()).select(
+        F.lit("rejected").alias("outcome"), "user_id", "file_name", "media_type", "file_size", "request_id",
+        F.lit("").alias("request_time"), F.lit(INTERNAL_ERROR).alias("reason"),
+        F.col("request_time").alias("rejected_time"), F.lit(0).alias("ledger_delta"))
+    return decided.unionByName(refused)

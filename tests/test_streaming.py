@@ -89,6 +89,29 @@ def test_late_intent_still_gets_a_decision(spark, tmp_path):
     assert [r.reason for r in out.filter("request_id = 'late'").collect()] == ["insufficient_credits"]
 
 
+def test_unreadable_times_and_missing_keys_do_not_vanish(spark, tmp_path):
+    root, intent, signup = str(tmp_path), "internal.media.upload.intent", "public.identity.signup.events"
+    none = F.lit(None).cast("string")
+    made = [marker(spark, signup, "signup_time", user_id="u1", signup_time="soon"),
+            marker(spark, signup, "signup_time").withColumn("user_id", none),
+            marker(spark, intent, "request_time", request_id="r1", user_id="u1", request_time="2024-01-01T00:00:00.000000Z"),
+            marker(spark, intent, "request_time", request_id="r2", user_id="u2", request_time="yesterday"),
+            marker(spark, intent, "request_time", request_id="r3", user_id="u1").withColumn("request_time", none),
+            marker(spark, signup, "signup_time")]
+    signups, intents = made[0].union(made[1]).union(made[5]), made[2].union(made[3]).union(made[4])
+    put(signups, signup, root, 1)
+    put(intents, intent, root, 1)
+    stream = processors.credit_check_stream(read_topic(spark, intent, root), credits.signup_bonus(read_topic(spark, signup, root)))
+    expected = credits.credit_check(intents, credits.signup_bonus(signups))
+    got = rows(run(stream, root))
+    assert got == rows(expected) and len(got) == 3
+    put(marker(spark, intent, "request_time", request_id="r4").withColumn("user_id", none), intent, root, 1)
+    for q in jobs.start_rejects(spark, root, f"{root}/out", f"{root}/cp", [intent, signup]):
+        q.awaitTermination()
+    found = {t: sorted(r.reason for r in spark.read.parquet(f"{root}/out/rejected/{t}").collect()) for t in (intent, signup)}
+    assert found == {intent: ["bad_time", "bad_time", "no_key"], signup: ["no_key"]}
+
+
 def test_dedup_stream_absorbs_a_replay(spark, folder, tmp_path):
     from eventmart.operators import olap
     v, root = EventViews(spark, folder), str(tmp_path)
