@@ -168,6 +168,17 @@ def test_lines_are_removed_and_empty_documents_go(spark):
     assert got == {1: ("a line of text\n\nanother one here", 31), 3: ("own words", 9), 4: ("", 0), 5: (None, None)}
 
 
+def test_lines_of_another_text_with_the_same_id_stay(spark):
+    rows = [(1, "a common line"), (5, "a common line\nfirst text only"), (5, "second text only\na common line"),
+            (7, "one line of both\nown of the one"), (7, "one line of both\nown of the other"), (7, "one line of both\nown of the other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in lines.without_copies(docs).collect()]
+    left = [x for _, t in got for x in t.split("\n")]
+    assert sorted(set(left)) == sorted({x for _, t in rows for x in t.split("\n")})
+    assert {(1, "a common line"), (5, "first text only"), (5, "second text only")} <= set(got)
+    assert len({t for d, t in got if d == 7 and "one line of both" in t}) == 1  # one of the texts keeps it
+
+
 def smith_waterman(a, b):
     best = 0
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
