@@ -143,6 +143,78 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard,
 FROM sized JOIN placed USING (digest)"""
 
 
+_FILTER_AUDIT = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT part,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) THEN 'E' ELSE '' END AS fails,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+         doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS bad
+  FROM d),
+cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_toxic FROM f GROUP BY ALL),
+orders(o) AS (
+  SELECT '' UNION ALL
+  SELECT o || x FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(x) WHERE length(o) < 5 AND NOT contains(o, x)),
+steps AS (SELECT o AS filter_order, s AS step, o[s:s] AS f, o[1:s - 1] AS earlier
+          FROM orders, (VALUES (1), (2), (3), (4), (5)) v(s) WHERE length(o) = 5),
+met AS (SELECT part, filter_order, step, f, fails, n, n_good, n_toxic, contains(fails, f) AS hit,
+               length(translate(fails, earlier, '')) < length(fails) AS gone FROM cells, steps),
+counted AS (
+  SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) AS removed, sum(CASE WHEN gone AND hit THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND hit THEN n_good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND hit THEN n_toxic ELSE 0 END) AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted"""
+
+
+def _conversation_trie() -> str:
+    table = "".join(f"{_crc(b):08x}" for b in range(256))
+    crc = ("xor(list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(c AS VARCHAR), '')], "
+           f"lambda a, b: xor(a >> 8, CAST('0x' || '{table}'[8 * (xor(a, b) & 255) + 1:8 * (xor(a, b) & 255) + 8] AS BIGINT))), 4294967295)")
+    return rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT c, c - c % 20 AS b, {crc} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+turns AS (
+  SELECT c.c, 0 AS own, t.p, t.role, t.text FROM c JOIN t ON t.c = c.b AND t.p <= c.h
+  UNION ALL SELECT c.c, 1, t.p, t.role, t.text FROM c JOIN t ON t.c = c.c AND t.p > c.h),
+numbered AS (
+  SELECT *, sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text) AS digest,
+         row_number() OVER (PARTITION BY c ORDER BY own, p) AS d, count(*) OVER (PARTITION BY c) AS n FROM turns),
+paths AS (
+  SELECT c, d, n, len(regexp_extract_all(text, '[^ 	-]+')) AS words, string_agg(digest, '') OVER (PARTITION BY c ORDER BY d) AS key
+  FROM numbered
+  UNION ALL SELECT c.c, 0, coalesce(max(numbered.n), 0), 0, '' FROM c LEFT JOIN numbered ON numbered.c = c.c GROUP BY c.c),
+nodes AS (
+  SELECT key, min(c) AS conv_id, min(d) AS depth, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+         sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM paths GROUP BY key),
+kids AS (SELECT substr(key, 1, length(key) - 64) AS up, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.up = nodes.key),
+above AS (SELECT substr(key, 1, CAST(64 * a AS INTEGER)) AS key, saved, n_children FROM (
+  SELECT *, unnest(range(depth + 1)) AS a FROM full_nodes)),
+under AS (SELECT key, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM above GROUP BY key)
+SELECT CAST(v.conv_id AS BIGINT) AS conv_id, CAST(v.depth AS BIGINT) AS depth, CAST(up.conv_id AS BIGINT) AS parent_conv_id,
+       CAST(v.n_convs AS BIGINT) AS n_convs, CAST(v.n_children AS BIGINT) AS n_children, CAST(under.n_leaves AS BIGINT) AS n_leaves,
+       CAST(under.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM full_nodes v JOIN under ON under.key = v.key
+LEFT JOIN nodes up ON v.depth > 0 AND up.key = substr(v.key, 1, length(v.key) - 64)"""
+
+
 def oracle_statements() -> dict[str, str]:
     return {
         "op2_license_scan": _license_scan(),
@@ -150,4 +222,6 @@ def oracle_statements() -> dict[str, str]:
         "op6_minhash_near_dedup": _near_dedup(),
         "op8_exact_top_k": _TOP_K,
         "op10_sharding": _sharding(),
+        "op11_filter_audit": _FILTER_AUDIT,
+        "op13_conversation_trie": _conversation_trie(),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import decontaminate, licenses, lines, mtree, neardup, packing, quality, shards, toxicity, urls
+from eventmart.llm import audit, decontaminate, licenses, lines, mtree, neardup, packing, pii, quality, shards, toxicity, trie, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,18 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(_read(spark, folder, "documents"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.filter_audit(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+@query
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_read(spark, folder, "documents"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(_read(spark, folder, "conversations"))
