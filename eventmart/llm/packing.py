@@ -1,7 +1,8 @@
 """Packing of documents into training sequences by first-fit decreasing, in randomised groups of documents.
 
-Groups hold about `group_docs` documents each, drawn by a hash of the document, so a group's content does not
-depend on source or order, and one task sees one group only. Inside a group:
+Groups hold about `group_docs` documents each, and GROUP_BYTES at most on average, drawn by a hash of the document and its
+place, so a group's content does not depend on source or order, and one task sees one group only. A lost task draws the same
+groups again where its input comes in the same order, as from files. Inside a group:
 
 * A document's full stretches of `length` tokens become sequences of their own; its rest is an item.
 * Items go, longest first, into the first sequence with room for them. A tournament tree over the sequences' free room
@@ -25,6 +26,7 @@ from tokenizers import Tokenizer
 
 LENGTH = 1024
 GROUP_DOCS = 1024
+GROUP_BYTES = 1 << 23  # of a group's texts, on average at most
 END = 0  # the id after each document
 
 _encoders: dict[str, tuple] = {}
@@ -45,7 +47,8 @@ class ByteEncoder:
     """Token ids of a byte-level vocabulary file (JSON), as the tokenizers library gives them.
 
     The merges run in tiktoken, which is four times as fast with the same vocabulary. Texts that hold a special
-    token's string go to the tokenizers library itself, and so does everything if the file has another layout.
+    token's string go to the tokenizers library itself, as do those on which tiktoken's pattern gives up (a run of a million
+    blanks), and everything if the file has another layout.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,7 +69,10 @@ class ByteEncoder:
     def ids(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+        except ValueError:
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def encoder(path: str) -> ByteEncoder:
@@ -193,8 +199,10 @@ def pack_documents(documents: DataFrame, tokenizer: str, length: int = LENGTH, g
     Repeated rows are packed each. An empty table gives no pieces. Sequence ids are unique, not gapless.
     """
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    groups = max(1, -(-docs.count() // group_docs))
-    drawn = docs.withColumn("draw", F.pmod(F.xxhash64("doc_id", F.length("text"), F.lit(17)), F.lit(groups)))
+    n_docs, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    groups = max(1, -(-n_docs // group_docs), -(-(n_bytes or 0) // GROUP_BYTES))
+    # a row's place spreads rows that are equal, or have no id
+    drawn = docs.withColumn("draw", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id(), F.lit(17)), F.lit(groups)))
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     return drawn.groupBy("draw").applyInArrow(
         _pack_group(tokenizer, length, with_ids),

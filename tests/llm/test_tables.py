@@ -220,3 +220,18 @@ def test_shards_of_awkward_rows(spark):
         slots.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert shards.shard_documents(docs.limit(0)).count() == 0
+
+
+def test_long_runs_of_blanks_are_encoded():
+    encode = packing.encoder(TOKENIZER)
+    for run in (" " * 3_000_000, "\t" * 1_200_000, "\n " * 600_000):
+        text = "x" + run + "y"
+        assert encode.ids(text).tolist() == encode.whole.encode(text, add_special_tokens=False).ids
+
+
+def test_equal_rows_and_rows_without_id_are_spread_over_groups(spark):
+    docs = spark.createDataFrame([(1, "same text")] * 40 + [(None, "same text")] * 40, "doc_id long, text string").repartition(4)
+    rows = packing.pack_documents(docs, TOKENIZER, group_docs=8).collect()
+    for doc in (1, None):
+        own = [r for r in rows if r.doc_id == doc]
+        assert sum(r.length for r in own) == 40 * own[0].doc_tokens and len({r.sequence_id >> 32 for r in own}) > 3
