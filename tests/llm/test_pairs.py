@@ -143,9 +143,9 @@ def test_line_classes_equal_brute_force(spark):
     for at, line in known.items():
         groups.setdefault(got[at][0], set()).add(want[line])
         kept.setdefault(got[at][0], []).extend([at] if got[at][1] else [])
-    # bands may miss one pair in 70, so a component may fall apart, but never joins what is not linked
+    # bands miss a pair of 0.8 once in 600, so a component may fall apart, but never joins what is not linked
     assert all(len(w) == 1 for w in groups.values())
-    assert len(groups) <= 1.1 * len(set(want.values()))
+    assert len(groups) <= 1.02 * len(set(want.values())) + 1
     assert all(len(k) == 1 for k in kept.values())
 
 
@@ -160,6 +160,33 @@ def test_similar_lines_of_all_lengths_share_a_band(spark):
     assert sum(component[2 * i] != component[2 * i + 1] for i in range(len(pairs))) <= 1
 
 
+def test_recall_by_similarity(spark):
+    """Pairs of two lines that are apart in all else: found, but for one in 200 at the limit and none above 0.85."""
+    rng = random.Random(21)
+    pairs = []
+    while len(pairs) < 400:
+        x = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rng.choice([60, 120, 240]))).strip() + "."
+        y = list(x)
+        for _ in range(rng.randint(1, 3)):
+            y[rng.randrange(8, len(y) - 8)] = "#"
+        y = "".join(y)
+        share = len(line_sets(x) & line_sets(y)) / len(line_sets(x) | line_sets(y))
+        if share >= 0.8:
+            pairs.append((x, y, share))
+    docs = spark.createDataFrame([(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)], "doc_id long, text string")
+    component = {r.doc_id: r.component for r in lines.line_classes(docs).collect()}
+    missed = [p[2] for i, p in enumerate(pairs) if component[2 * i] != component[2 * i + 1]]
+    assert len(missed) <= 2 and all(m < 0.85 for m in missed)
+
+
+@pytest.mark.parametrize("names", [("_id", "_version", "_gone"), ("_row", "_left", "line")])
+def test_columns_of_the_caller_do_not_clash(spark, names):
+    docs = spark.createDataFrame([(1, "a line of text", 1, 2, 3), (2, "a line of text\nand one more", 4, 5, 6)],
+                                 "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    got = sorted(tuple(r) for r in lines.without_copies(docs).collect())
+    assert got == [(1, "a line of text", 1, 2, 3), (2, "and one more", 4, 5, 6)]
+
+
 def test_lines_are_removed_and_empty_documents_go(spark):
     docs = spark.createDataFrame([(1, "a line of text\n\nanother one here", "en", 31), (2, "a line of text", "en", 14),
                                   (3, "a line of text\nown words", "en", 24), (4, "", "en", 0), (5, None, "en", None)],
