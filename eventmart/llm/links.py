@@ -4,8 +4,8 @@ A bucket may hold any number of members, so no list of all its pairs is ever mad
 
 * `star_pairs` pairs every member with the smallest of its bucket.
 * Once those pairs are confirmed and joined into components, most buckets lie inside one component and need nothing more.
-* Of the others, small ones (if asked for) give the pairs of their members in different components: a bounded number each.
-* The members of what is left are joined by `prefix_pairs`, which finds every pair of similar sets in different components by
+* Small buckets, if asked for, give all their pairs at first: a bounded number each.
+* The members of the others are joined by `prefix_pairs`, which finds every pair of similar sets in different components by
   their rarest elements. Copies that differ from each other by more than the limit meet there in few pairs or none.
 """
 
@@ -29,12 +29,9 @@ def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], elemen
     met: members holds buckets of several nodes only. small: buckets of so many members give their pairs.
     """
     members = members if met else settle(meeting(members), rows)
-    edges = confirm(star_pairs(members))
+    pairs = star_pairs(members)
+    edges = confirm(pairs.union(small_pairs(members, small)).distinct() if small else pairs)
     component = components(edges if known is None else edges.union(known), rows)
-    if small:
-        new = confirm(small_pairs(members, component, small))
-        if not new.isEmpty():
-            component = components(component.select(F.col("component").alias("a"), F.col("node").alias("b")).union(new), rows)
     open_nodes = settle(undecided(members, component, max(2, small)), rows)
     if not open_nodes.isEmpty():
         new = confirm(prefix_pairs(open_nodes, elements(open_nodes.select("node")), percent, rows))
@@ -57,21 +54,12 @@ def star_pairs(members: DataFrame) -> DataFrame:
             .select("a", F.col("node").alias("b")).distinct())
 
 
-def small_pairs(members: DataFrame, component: DataFrame, small: int) -> DataFrame:
-    """Distinct pairs a < b in different components, without the smallest node, of the buckets with 3 to `small` members."""
-    sizes = members.groupBy("bucket").agg(F.min("node").alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n").between(3, small))
-    labelled = _labelled(members, sizes, component)
-    packed = (labelled.groupBy("bucket").agg(F.collect_list(F.struct("node", "component")).alias("of"))
-              .where(F.size(F.array_distinct(F.transform("of", lambda x: x["component"]))) > 1))
-    pairs = packed.select(F.explode("of").alias("x"), "of").select("x", F.explode("of").alias("y"))
-    return pairs.where("x.node < y.node and x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-
-def _labelled(members: DataFrame, buckets: DataFrame, component: DataFrame) -> DataFrame:
-    """bucket, node, component of the members of the buckets, without the smallest of each."""
-    return (members.join(buckets, "bucket").where("node > _first").select("bucket", "node")
-            .join(component, "node", "left")
-            .select("bucket", "node", F.coalesce("component", "node").alias("component")))
+def small_pairs(members: DataFrame, small: int) -> DataFrame:
+    """Pairs a < b, without the smallest node, of the buckets with 3 to `small` members."""
+    packed = (members.groupBy("bucket").agg(F.min("node").alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n").between(3, small)).join(members, "bucket").where("node > _first")
+              .groupBy("bucket").agg(F.collect_list("node").alias("of")))
+    return packed.select(F.explode("of").alias("a"), "of").select("a", F.explode("of").alias("b")).where("a < b")
 
 
 def undecided(members: DataFrame, component: DataFrame, looked_at: int = 2) -> DataFrame:
@@ -81,7 +69,9 @@ def undecided(members: DataFrame, component: DataFrame, looked_at: int = 2) -> D
     up to `looked_at` members.
     """
     first = members.groupBy("bucket").agg(F.min("node").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    labelled = _labelled(members, first.where(F.col("_n") > looked_at), component)
+    labelled = (members.join(first.where(F.col("_n") > looked_at), "bucket").where("node > _first").select("bucket", "node")
+                .join(component, "node", "left")
+                .select("bucket", "node", F.coalesce("component", "node").alias("component")))
     mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
              .where("_low < _high").select("bucket"))
     return labelled.join(mixed, "bucket").select("node", "component").distinct()
