@@ -13,6 +13,7 @@ from eventmart.operators import credits, identity, ingest, media, notifications,
 from eventmart.sources.topics import read_topic
 from eventmart.streaming import processors, sinks
 
+DOWNLOAD, DELETE = "internal.media.download.intent", "internal.media.delete.intent"
 LOG, LEDGER, FILES, UNIFIED = "user_notifications", "credit_ledger", "media_files", "internal.platform.unified.events"
 
 
@@ -97,6 +98,24 @@ def start_upload_ttl(spark: SparkSession, source: str, target: str, checkpoints:
                        f"{checkpoints.rstrip('/')}/upload-ttl", interval)
 
 
+def media_intents(spark: SparkSession, source: str, effects: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Download and delete intents as one stream. `effects` adds what the outside does for an intent: download_url,
+    deleted_ok, removed_ok."""
+    return effects(read_topic(spark, DOWNLOAD, source).withColumn("action", F.lit("download")).unionByName(
+        read_topic(spark, DELETE, source).withColumn("action", F.lit("delete"))))
+
+
+def start_media_handlers(spark: SparkSession, source: str, target: str, checkpoints: str, effects: Callable[[DataFrame], DataFrame],
+                         delay: str = processors.DELAY, interval: str | None = None) -> StreamingQuery:
+    """Download and delete intents into the topics of their outcomes, against the files as they are at that time."""
+    wide = processors.media_outcomes_stream(read_topic(spark, "public.media.upload.confirmed", source),
+                                            media_intents(spark, source, effects), delay)
+    topics = list(media.outcome_branches(wide))
+    targets = {topic: (None, lambda df, t=topic: media.outcome_branches(df)[t]) for topic in topics}
+    writer = sinks.fan_out(targets, lambda topic: sinks.append_sink(f"{target.rstrip('/')}/{topic}", "media"))
+    return sinks.start(wide, writer, f"{checkpoints.rstrip('/')}/media-handlers", interval)
+
+
 def start_echo(spark: SparkSession, source: str, target: str, checkpoints: str,
                interval: str | None = None) -> StreamingQuery:
     logins = read_topic(spark, "public.identity.login.events", source)
@@ -133,6 +152,9 @@ ORDERED_TOPICS = {
     "internal.media.upload.received": ("upload_time", "file_path", "permanent_path"),
     "internal.media.file.ready": ("upload_time", "file_path"),
     "internal.media.upload.intent": ("request_time", "user_id"),
+    "public.media.upload.confirmed": ("upload_time", "user_id", "file_path"),
+    DOWNLOAD: ("request_time", "user_id", "file_path"),
+    DELETE: ("request_time", "user_id", "file_path"),
     "public.identity.signup.events": (None, "user_id"),
     "public.media.expired.events": (None, "user_id"),
 }

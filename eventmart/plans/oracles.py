@@ -77,7 +77,7 @@ def oracle(name: str, body: str) -> None:
 
 
 # Whole numbers with gaps, compared as text.
-GAPPED = {"download_outcomes": ["expires_in"], "delete_outcomes": ["file_size", "retry_count"],
+GAPPED = {"download_outcomes": ["expires_in"], "media_outcomes": ["file_size", "retry_count"], "delete_outcomes": ["file_size", "retry_count"],
           "frame_check": ["schema_id"], "json_contract": ["file_size"], "validate_intents": ["file_size"]}
 
 
@@ -251,6 +251,32 @@ oracle("delete_outcomes", """
   UNION ALL SELECT 'retry', user_id, path, request_id, file_name, media_type, file_size, NULL, 0, time
   FROM judged WHERE found AND value < 120 AND value >= 40""")
 
+# Each intent looks for the last change of its file before it: a confirmation, or a delete that could mark it.
+VIEWS["file_changes"] = """
+  SELECT user_id, path, us, 0 AS kind, '' AS id, true AS active, file_name, media_type, file_size FROM purchases
+  UNION ALL SELECT user_id, path, us, 1, request_id, false, NULL, NULL, NULL FROM views WHERE event_id % 10 <> 4"""
+VIEWS["judged_intents"] = """
+  SELECT i.*, coalesce(c.active, false) AS found, c.file_name AS f_name, c.media_type AS f_type, c.file_size AS f_size
+  FROM (SELECT *, 1 AS kind FROM views UNION ALL SELECT *, 2 FROM clicks) i
+  LEFT JOIN file_changes c ON c.user_id = i.user_id AND c.path = i.path
+    AND (c.us < i.us OR c.us = i.us AND (c.kind < i.kind OR c.kind = i.kind AND c.id < i.request_id))
+  QUALIFY row_number() OVER (PARTITION BY i.event_id ORDER BY c.us DESC NULLS LAST, c.kind DESC, c.id DESC, c.file_name DESC,
+                             c.media_type DESC, c.file_size DESC) = 1"""
+VIEWS["media_judged"] = """
+  SELECT CASE WHEN kind = 2 AND found AND event_id % 10 <> 3 THEN 'signed' WHEN kind = 2 THEN 'download_rejected'
+              WHEN found AND event_id % 10 <> 4 THEN 'deleted' ELSE 'delete_rejected' END AS outcome, * FROM judged_intents"""
+oracle("media_outcomes", """
+  SELECT outcome, user_id, path AS file_path, request_id,
+         CASE WHEN outcome IN ('signed', 'deleted') THEN f_name END AS file_name,
+         CASE WHEN outcome IN ('signed', 'deleted') THEN f_type END AS media_type,
+         CASE WHEN outcome IN ('signed', 'deleted') THEN f_size END AS file_size,
+         CASE WHEN outcome = 'signed' THEN 'https://store/' || path END AS download_url,
+         CASE WHEN outcome NOT IN ('signed', 'deleted') THEN CASE WHEN found THEN 'internal_error' ELSE 'not_found' END END AS reason,
+         NULL AS retry_count, time AS outcome_time
+  FROM media_judged
+  UNION ALL SELECT 'retry', user_id, path, request_id, f_name, f_type, f_size, NULL, NULL, 0, time
+  FROM media_judged WHERE outcome = 'deleted' AND event_id % 3 <> 0""")
+
 # sagas ------------------------------------------------------------------------------------------
 
 oracle("ttl_expired", f"""
@@ -613,6 +639,18 @@ for _stream, _batch in [("stream_ttl_expired", "ttl_expired"), ("stream_move_sag
     oracle(_stream, ORACLES[_batch])
 oracle("stream_ledger", f"{ORACLES['ledger_signup_bonus']} UNION ALL {ORACLES['ledger_refund']}")
 
+oracle("stream_download_outcomes", """
+  SELECT outcome, user_id, path AS file_path, request_id, CASE WHEN outcome = 'signed' THEN 'https://store/' || path END AS download_url,
+         CASE WHEN outcome <> 'signed' THEN CASE WHEN found THEN 'internal_error' ELSE 'not_found' END END AS reason, time AS outcome_time
+  FROM media_judged WHERE kind = 2""")
+oracle("stream_delete_outcomes", """
+  SELECT outcome, user_id, path AS file_path, CASE WHEN outcome <> 'deleted' THEN request_id END AS request_id,
+         CASE WHEN outcome = 'deleted' THEN f_name END AS file_name, CASE WHEN outcome = 'deleted' THEN f_type END AS media_type,
+         CASE WHEN outcome <> 'deleted' THEN CASE WHEN found THEN 'internal_error' ELSE 'not_found' END END AS reason, time AS outcome_time
+  FROM media_judged WHERE kind = 1
+  UNION ALL SELECT 'retry', user_id, path, request_id, f_name, f_type, NULL, time
+  FROM media_judged WHERE outcome = 'deleted' AND event_id % 3 <> 0""")
+
 
 def oracle_statements() -> dict[str, str]:
     return {name: statement(name) for name in ORACLES}

@@ -226,6 +226,27 @@ def delete_outcomes(v: EventViews) -> DataFrame:
     return _as_text(media.delete_outcomes(v.delete_intents(), _files(v)), "file_size", "retry_count")
 
 
+def _effects(intents: DataFrame) -> DataFrame:
+    """What the outside does for an intent, drawn from the number in its request id: one in ten links and marks fail."""
+    number = F.substring_index("request_id", "-", -1).cast("bigint")
+    return intents.withColumns({
+        "download_url": F.when(number % 10 != 3, F.concat(F.lit("https://store/"), "file_path")),
+        "deleted_ok": number % 10 != 4, "removed_ok": number % 3 == 0})
+
+
+def _asked(v: EventViews) -> dict[str, DataFrame]:
+    columns = ["user_id", "file_path", "request_id", "request_time"]
+    return {"download": v.file_intents().select(*columns), "delete": v.delete_intents().select(*columns)}
+
+
+@query
+def media_outcomes(v: EventViews) -> DataFrame:
+    """Each intent, and a replay of all of them, against the file as the rows before it left it."""
+    asked = [df.withColumn("action", F.lit(action)) for action, df in _asked(v).items()]
+    intents = _effects(asked[0].unionByName(asked[1]))
+    return _as_text(media.outcomes_in_order(v.confirmed(), intents.unionByName(intents)), "file_size", "retry_count")
+
+
 # sagas ------------------------------------------------------------------------------------------
 
 @query
@@ -537,6 +558,7 @@ def access_patterns(v: EventViews) -> DataFrame:
 LOGIN, SIGNUP = "public.identity.login.events", "public.identity.signup.events"
 SIGNED, EXPIRED = "public.media.upload.signed", "public.media.expired.events"
 INTENT, GOT, READY = "internal.media.upload.intent", "internal.media.upload.received", "internal.media.file.ready"
+CONFIRMED = "public.media.upload.confirmed"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -594,6 +616,41 @@ def stream_credit_check(v: EventViews) -> DataFrame:
     return _caught_up(processors.credit_check_stream(read_topic(v.spark, INTENT, root), bonus), root)
 
 
+def _media_topics(v: EventViews) -> dict[str, DataFrame]:
+    """The topics that the media handlers leave, after all intents and a replay of them."""
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    asked = _asked(v)
+    root = _land(v, **{CONFIRMED: _with_end(v.confirmed(), CONFIRMED, "upload_time"),
+                       jobs.DOWNLOAD: asked["download"].unionByName(asked["download"]),
+                       jobs.DELETE: asked["delete"].unionByName(asked["delete"])})
+    jobs.start_media_handlers(v.spark, root, f"{root}/topics", f"{root}/checkpoints", _effects).awaitTermination()
+    return {topic: v.spark.read.schema(TOPICS[topic]).parquet(f"{root}/topics/{topic}") for topic in (
+        "public.media.download.signed", "public.media.download.rejected", "public.media.delete.events",
+        "public.media.delete.rejected", "internal.media.delete.retry")}
+
+
+def _outcome(df: DataFrame, outcome: str, time: str, columns: list[str]) -> DataFrame:
+    df = df.withColumns({"outcome": F.lit(outcome), "outcome_time": F.col(time)})
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+
+
+@query
+def stream_download_outcomes(v: EventViews) -> DataFrame:
+    topics = _media_topics(v)
+    columns = ["outcome", "user_id", "file_path", "request_id", "download_url", "reason", "outcome_time"]
+    return _outcome(topics["public.media.download.signed"], "signed", "signed_time", columns).unionByName(
+        _outcome(topics["public.media.download.rejected"], "download_rejected", "rejected_time", columns))
+
+
+@query
+def stream_delete_outcomes(v: EventViews) -> DataFrame:
+    topics = _media_topics(v)
+    columns = ["outcome", "user_id", "file_path", "request_id", "file_name", "media_type", "reason", "outcome_time"]
+    return (_outcome(topics["public.media.delete.events"], "deleted", "delete_time", columns)
+            .unionByName(_outcome(topics["public.media.delete.rejected"], "delete_rejected", "rejected_time", columns))
+            .unionByName(_outcome(topics["internal.media.delete.retry"], "retry", "failed_at", columns)))
+
+
 @query
 def stream_dedup(v: EventViews) -> DataFrame:
     """The unified topic with every row twice, through the watermarked dedup."""

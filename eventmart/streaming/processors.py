@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmart.functions.scalars import iso_micros, micros
+from eventmart.operators import media
 from eventmart.operators.credits import BEFORE_ALL_US, INTERNAL_ERROR
+from eventmart.operators.media import METADATA, OWNER
 from eventmart.operators.sagas import RECEIVED
 from eventmart.streaming import rules
-from eventmart.streaming.rules import CreditCheck, MoveSaga, UploadTtl
+from eventmart.streaming.rules import CreditCheck, FileStore, MoveSaga, UploadTtl
 
 DELAY = "10 minutes"
 
@@ -29,8 +31,24 @@ for _module in (rules, sys.modules[__name__]):
     register_pickle_by_value(_module)
 
 
+MINUTE_US = 60_000_000
+
+
+def _of(name: str, kind: T.DataType) -> T.StructType:
+    """A schema of one column. State schemas are made on executors too, where no session can read text."""
+    return T.StructType([T.StructField(name, kind)])
+
+
 class OrderedProcessor(StatefulProcessor):
-    """Runs a rule over one key's rows in time order, once the watermark makes the order final."""
+    """Runs a rule over one key's rows in time order, once the watermark makes the order final.
+
+    Waiting rows are kept by minute, each minute's in an entry of its own. A minute runs as a whole when the watermark has
+    passed it, so a timer reads what is due and leaves what waits, however much that is. Deadlines are looked at up to
+    the last minute that has ended, since rows of a minute that has not may still come before them.
+
+    A rule with `once` (columns that name a request) handles each request once: what it has answered is remembered for
+    `remember_us` of event time, by minute too, and a replay within that time gives nothing.
+    """
 
     def __init__(self, rule, row_schema: T.StructType, output: list[str]):
         self.rule, self.row_schema, self.output = rule, row_schema, output
@@ -38,48 +56,94 @@ class OrderedProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row_schema)
+        minute = _of("minute", T.LongType())
+        self.waiting = handle.getMapState("waiting", minute, _of("rows", T.ArrayType(self.row_schema)))
+        self.minutes = handle.getValueState("minutes", _of("minutes", T.ArrayType(T.LongType())))
         self.state = handle.getValueState("state", self.state_schema)
+        self.once = getattr(self.rule, "once", ())
+        if self.once:
+            self.answered = handle.getMapState("answered", _of("request", T.StringType()), _of("us", T.LongType()))
+            self.forget = handle.getMapState("forget", minute, _of("requests", T.ArrayType(T.StringType())))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = self.row_schema.names
-        rows = [tuple(row[n] for n in names) for row in rows]
-        self.waiting.appendList(rows)
-        self._wake_for(rows)
+        us = names.index("us")
+        new: dict[int, list[tuple]] = {}
+        for row in rows:
+            values = tuple(row[n] for n in names)
+            new.setdefault(values[us] // MINUTE_US, []).append(values)
+        minutes = set(self._minutes())
+        for minute, values in new.items():
+            held = self._held(minute) if minute in minutes else []
+            self.waiting.updateValue((minute,), (held + values,))
+            if minute not in minutes:
+                self._wake_after(minute)
+        self._keep_minutes(minutes | set(new))
         return iter(())
 
-    def _wake_for(self, rows: list[tuple]) -> None:
-        """One timer for the earliest waiting row: all that are due then run together, and the next one is set."""
-        us = self.row_schema.names.index("us")
-        self.handle.registerTimer(min(row[us] for row in rows) // 1000 + 1)
+    def _minutes(self) -> list[int]:
+        return list(self.minutes.get()[0]) if self.minutes.exists() else []
+
+    def _keep_minutes(self, minutes) -> None:
+        if minutes:
+            self.minutes.update((sorted(minutes),))
+        else:
+            self.minutes.clear()
+
+    def _held(self, minute: int) -> list[tuple]:
+        return [tuple(r) for r in self.waiting.getValue((minute,))[0]]
+
+    def _wake_after(self, minute: int) -> None:
+        self.handle.registerTimer((minute + 1) * MINUTE_US // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         names, rule = self.row_schema.names, self.rule
-        watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [dict(zip(names, row)) for row in self.waiting.get()]
-        due = sorted((r for r in held if r["us"] < watermark_us), key=rule.order)
+        ended = timerValues.getCurrentWatermarkInMs() * 1000 // MINUTE_US  # the first minute that has not
+        minutes = self._minutes()
+        due = [m for m in minutes if m < ended]
         saved = self.state.get() if self.state.exists() else None
         fields = self.state_schema.names
         state = {} if saved is None else {n: saved[i] for i, n in enumerate(fields) if saved[i] is not None}
         out = []
-        for row in due:
-            out += rule.step(state, row)
-        out += rule.settle(state, watermark_us)
+        for minute in due:
+            for row in sorted((dict(zip(names, r)) for r in self._held(minute)), key=rule.order):
+                if not self.once or self._first_time(row, ended):
+                    out += rule.step(state, row)
+            self.waiting.removeKey((minute,))
         if due:
-            later = [tuple(r[n] for n in names) for r in held if r["us"] >= watermark_us]
-            self.waiting.clear()
-            if later:
-                self.waiting.put(later)
-                self._wake_for(later)
+            self._keep_minutes(minutes[len(due):])
+        out += rule.settle(state, ended * MINUTE_US)
         if state:
             self.state.update(tuple(state.get(n) for n in fields))
             wake = rule.wake_at(state)
             if wake is not None:
-                self.handle.registerTimer(wake // 1000 + 1)
+                self._wake_after(wake // MINUTE_US)
         else:
             self.state.clear()
+        if self.once:
+            self._forget_until(expiredTimerInfo.getExpiryTimeInMs() * 1000 // MINUTE_US - 1)
         return iter([Row(**{n: (key[0] if n == "key" else r[n]) for n in self.output}) for r in out])
 
+    def _first_time(self, row: dict, ended: int) -> bool:
+        if any(row[c] is None for c in self.once):
+            return True
+        request = "/".join(str(row[c]) for c in self.once)
+        if self.answered.containsKey((request,)):
+            return False
+        self.answered.updateValue((request,), (row["us"],))
+        minute = ended + self.rule.remember_us // MINUTE_US
+        known = list(self.forget.getValue((minute,))[0]) if self.forget.containsKey((minute,)) else []
+        self.forget.updateValue((minute,), (known + [request],))
+        if not known:
+            self._wake_after(minute)
+        return True
+
+    def _forget_until(self, minute: int) -> None:
+        if self.forget.containsKey((minute,)):
+            for request in self.forget.getValue((minute,))[0]:
+                self.answered.removeKey((request,))
+            self.forget.removeKey((minute,))
+
     def close(self) -> None:
         pass
 
@@ -148,3 +212,20 @@ def credit_check_stream(intents: DataFrame, ledger: DataFrame, delay: str = DELA
         F.lit("").alias("request_time"), F.lit(INTERNAL_ERROR).alias("reason"),
         F.col("request_time").alias("rejected_time"), F.lit(0).alias("ledger_delta"))
     return decided.unionByName(refused)
+
+
+def media_outcomes_stream(confirmed: DataFrame, intents: DataFrame, delay: str = DELAY, **limits) -> DataFrame:
+    """Outcomes of download and delete intents as a stream, in the wide rows of `media.outcomes_in_order`.
+
+    Each file of an owner is a key whose state is the file as the confirmations and deletes before an intent left it.
+    """
+    key = F.to_json(F.struct(*OWNER))
+    whole = F.col("user_id").isNotNull() & F.col("file_path").isNotNull()
+    rows = (confirmed.select(F.when(whole, key).alias("key"), micros("upload_time").alias("us"), F.lit(0).alias("kind"), *METADATA)
+            .unionByName(intents.select(
+                F.when(whole, key).alias("key"), micros("request_time").alias("us"), media.intent_kind().alias("kind"), "request_id",
+                "request_time", "download_url", "deleted_ok", "removed_ok"), allowMissingColumns=True))
+    out = _run(rows, FileStore(**limits), "key string, outcome string, request_id string, file_name string, media_type string, "
+               "file_size long, download_url string, reason string, retry_count int, outcome_time string", delay)
+    owner = F.from_json("key", "user_id string, file_path string")
+    return out.withColumn("_owner", owner).select("outcome", *[F.col(f"_owner.{c}").alias(c) for c in OWNER], *media.OUTCOME[3:])

@@ -7,6 +7,7 @@ batch forms are tested against. Times are microseconds.
 from __future__ import annotations
 
 from eventmart.operators.credits import INSUFFICIENT
+from eventmart.operators.media import INTERNAL_ERROR, NOT_FOUND
 from eventmart.operators.sagas import MAX_RETRIES, MOVE_TIMEOUT_S, UPLOAD_TTL_S
 
 SECOND = 1_000_000
@@ -123,3 +124,45 @@ class CreditCheck:
         reason = "" if approved else INSUFFICIENT
         return [{"outcome": "approved" if approved else "rejected", "reason": reason, "outcome_us": row["us"],
                  "ledger_delta": -1 if approved else 0, **{k: row[k] for k in self.fields}}]
+
+
+class FileStore:
+    """Confirmations (kind 0), delete (kind 1) and download (kind 2) intents of one owner's file."""
+
+    state = "active boolean, confirmed_us long, deleted_us long, file_name string, media_type string, file_size long"
+    metadata = ["file_name", "media_type", "file_size"]
+    once = ("kind", "request_id")
+
+    def __init__(self, remember_s: int = 86_400):
+        self.remember_us = remember_s * SECOND
+
+    def order(self, row: dict):
+        return row["us"], row["kind"], row["request_id"] or "", tuple((row[m] is not None, row[m] or 0) if m == "file_size"
+                                                                      else (row[m] is not None, row[m] or "") for m in self.metadata)
+
+    def wake_at(self, state: dict) -> int | None:
+        return None
+
+    def settle(self, state: dict, us: int) -> list[dict]:
+        return []
+
+    def step(self, state: dict, row: dict) -> list[dict]:
+        if row["kind"] == 0:
+            # one that is older than what is known is a replay
+            if row["us"] >= state.get("confirmed_us", row["us"]) and row["us"] > state.get("deleted_us", row["us"] - 1):
+                state.update(active=True, confirmed_us=row["us"], **{m: row[m] for m in self.metadata})
+            return []
+        found = state.get("active", False)
+        if row["kind"] == 2:
+            if found and row["download_url"] is not None:
+                return [self._outcome("signed", row, state, download_url=row["download_url"])]
+            return [self._outcome("download_rejected", row, reason=INTERNAL_ERROR if found else NOT_FOUND)]
+        if not found or not row["deleted_ok"]:
+            return [self._outcome("delete_rejected", row, reason=INTERNAL_ERROR if found else NOT_FOUND)]
+        state.update(active=False, deleted_us=row["us"])
+        done = [self._outcome("deleted", row, state)]
+        return done if row["removed_ok"] else done + [self._outcome("retry", row, state, retry_count=0)]
+
+    def _outcome(self, outcome: str, row: dict, file: dict | None = None, **more) -> dict:
+        return {"outcome": outcome, "request_id": row["request_id"], "outcome_time": row["request_time"], "download_url": None,
+                "reason": None, "retry_count": None, **{m: (file or {}).get(m) for m in self.metadata}, **more}

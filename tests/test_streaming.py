@@ -232,3 +232,88 @@ def test_saga_jobs_write_their_topics(spark, folder, tmp_path, start):
         assert out.count() > 0
         if topic in TOPICS:
             assert set(TOPICS[topic].names) <= set(out.columns)
+
+
+def asked(spark, rows):
+    """Intents: action, path, request id, second of a day, and what the outside does."""
+    out = [("u" if p else None, p, r, None if t is None else f"2024-01-01T00:{t // 60:02d}:{t % 60:02d}.000000Z", a, url, marked, gone)
+           for a, p, r, t, url, marked, gone in rows]
+    return spark.createDataFrame(out, "user_id string, file_path string, request_id string, request_time string, action string, "
+                                      "download_url string, deleted_ok boolean, removed_ok boolean")
+
+
+def stored(spark, rows):
+    return spark.createDataFrame([("u", "e", p, n, 5, "m", f"2024-01-01T00:{t // 60:02d}:{t % 60:02d}.000000Z") for p, n, t in rows],
+                                 TOPICS["public.media.upload.confirmed"])
+
+
+def test_media_outcomes_follow_the_file(spark):
+    from eventmart.operators import media
+    files = stored(spark, [("a", "first", 10), ("a", "second", 300), ("b", "late", 900), ("a", "first", 10)])
+    intents = [("download", "a", "r1", 5, "l", None, None), ("download", "a", "r2", 10, "l", None, None),
+               ("download", "a", "r3", 20, None, None, None), ("delete", "a", "r4", 30, None, None, None),
+               ("delete", "a", "r5", 40, None, True, None), ("delete", "a", "r6", 40, None, True, True),
+               ("delete", "a", "r5", 310, None, True, True), ("download", "a", "r7", 40, "l", None, None),
+               ("download", "a", "r8", 300, "l", None, None), ("delete", "a", "r9", 400, None, True, True),
+               ("delete", "b", "r10", 899, None, True, True), ("download", "b", "r11", 3000, "l", None, None),
+               ("download", "b", "r12", None, "l", None, None), ("download", None, "r13", 5, "l", None, None),
+               ("rename", "b", "r14", 5, "l", None, None), ("download", "b", None, 950, "l", None, None)]
+    want = {("r1", "download_rejected", "not_found", None), ("r2", "signed", None, "first"),
+            ("r3", "download_rejected", "internal_error", None), ("r4", "delete_rejected", "internal_error", None),
+            ("r5", "deleted", None, "first"), ("r5", "retry", None, "first"), ("r6", "delete_rejected", "not_found", None),
+            ("r7", "download_rejected", "not_found", None), ("r8", "signed", None, "second"), ("r9", "deleted", None, "second"),
+            ("r10", "delete_rejected", "not_found", None), ("r11", "signed", None, "late"), (None, "signed", None, "late")}
+    for grain in (0, 60, 86_400):
+        got = media.outcomes_in_order(files, asked(spark, intents + intents[:10]), grain).collect()
+        assert {(r.request_id, r.outcome, r.reason, r.file_name) for r in got} == want and len(got) == len(want)
+    assert media.outcomes_in_order(files.limit(0), asked(spark, [])).count() == 0
+
+
+def test_media_stream_equals_batch_with_replays(spark, tmp_path):
+    """Rows in any order inside the delay, a replay in a later run, and one after its answer is forgotten."""
+    import random
+
+    from eventmart.operators import media
+    draw, root = random.Random(9), str(tmp_path)
+    files = stored(spark, [(p, f"n{t}", t) for p in "abc" for t in draw.sample(range(600), 4)])
+    rows = [(draw.choice(["delete", "download", "download"]), draw.choice("abcd"), f"r{k}", draw.randrange(700), draw.choice(["l", None]),
+             draw.random() < 0.7, draw.random() < 0.5) for k in range(80)]
+    intents = asked(spark, rows)
+    schema = intents.schema
+
+    def stream():
+        return processors.media_outcomes_stream(read_topic(spark, "public.media.upload.confirmed", root),
+                                                spark.readStream.schema(schema).parquet(f"{root}/intents"), remember_s=7200)
+    put(files, "public.media.upload.confirmed", root)
+    intents.repartition(4).write.mode("append").parquet(f"{root}/intents")
+    end = asked(spark, [("download", "end", "end", 3500, None, None, None)])
+    end.write.mode("append").parquet(f"{root}/intents")
+    once = rows_of(run(stream(), root))
+    expected = rows_of(media.outcomes_in_order(files, intents))
+    assert once == expected and {r.outcome for r in media.outcomes_in_order(files, intents).collect()} == {
+        "signed", "download_rejected", "deleted", "delete_rejected", "retry"}
+    put(files, "public.media.upload.confirmed", root, 1)  # replays of both sides change nothing
+    intents.write.mode("append").parquet(f"{root}/intents")
+    assert rows_of(run(stream(), root)) == expected
+
+
+def rows_of(df):
+    return [r for r in rows(df.where("file_path <> 'end'"))]
+
+
+def test_a_key_with_many_waiting_rows_runs_only_what_is_due(spark, tmp_path):
+    """What is due comes out while later minutes wait; nothing is lost when they end."""
+    root = str(tmp_path)
+    files = stored(spark, [("a", "n", 0)])
+    rows = [("download", "a", f"r{k}", k, "l", None, None) for k in range(3000)]
+    schema = asked(spark, rows[:1]).schema
+
+    def stream():
+        return processors.media_outcomes_stream(read_topic(spark, "public.media.upload.confirmed", root),
+                                                spark.readStream.schema(schema).parquet(f"{root}/intents"), delay="10 minutes")
+    put(files, "public.media.upload.confirmed", root, 1)
+    asked(spark, rows).write.mode("append").parquet(f"{root}/intents")
+    first = {r.request_id for r in run(stream(), root).collect()}
+    assert 2000 < len(first) < 2500 and first == {f"r{k}" for k in range(len(first))}
+    asked(spark, [("download", "end", "end", 3599, None, None, None)]).write.mode("append").parquet(f"{root}/intents")
+    assert len({r.request_id for r in run(stream(), root).collect()}) > len(first)
