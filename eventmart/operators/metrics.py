@@ -191,6 +191,27 @@ def rollup(samples: DataFrame, interval: str = "10 seconds") -> DataFrame:
             .select("metric", "series", F.col("w.start").alias("bucket"), "n", "total", "last"))
 
 
+def rollup_stream(samples: DataFrame, interval: str = "10 seconds", delay: str = "1 minute") -> DataFrame:
+    """`rollup` as a stream: each interval once, when the watermark has passed its end. State holds open intervals only.
+
+    Samples that come later than the delay change nothing any more; the query's progress counts them (`late_rows`).
+    """
+    return rollup(samples.withWatermark("ts", delay), interval)
+
+
+def saga_funnel_stream(events: DataFrame, window_s: int = 300, delay: str = "1 minute") -> DataFrame:
+    """`saga_funnel` as a stream: each window once, when the watermark has passed its end."""
+    return saga_funnel(events.withWatermark("ts", delay), window_s)
+
+
+def late_rows(progress: list) -> int:
+    """Rows that came too late for their window, summed over a streaming query's progress reports.
+
+    Rows are counted behind the partial aggregation of their batch: late rows of one series and interval are one there.
+    """
+    return sum(s.numRowsDroppedByWatermark for p in progress for s in p.stateOperators)
+
+
 def latest_by(samples: DataFrame, metric: str, labels: list[str], agg: str = "sum",
               matchers: Mapping[str, str] | None = None, keep: Column | None = None) -> DataFrame:
     """Sum or count over labels of each series' latest sample (`keep`: only samples with such a latest value)."""

@@ -183,6 +183,24 @@ def route_delete_retries(retries: DataFrame, now: str | Column = "failed_at",
     )
 
 
+def retry_branches(steps: DataFrame) -> dict[str, DataFrame]:
+    """The rows of `retry_step` by topic, each with the columns of its topic."""
+    of = route_outcomes(steps, "outcome", {
+        "received": RECEIVED,
+        "retry": [*RECEIVED, F.col("outcome_time").alias("retry_time")],
+        "dead_letter": [*RECEIVED, "failure_reason", F.col("outcome_time").alias("dead_letter_time")]})
+    return {"internal.media.upload.received": of["received"], "internal.media.upload.retry": of["retry"],
+            "internal.media.upload.dead-letter": of["dead_letter"]}
+
+
+def delete_retry_branches(steps: DataFrame) -> dict[str, DataFrame]:
+    """The rows of `route_delete_retries` by topic, each with the columns of its topic."""
+    of = route_outcomes(steps, "outcome", {
+        "retry": [*DELETE_FIELDS, "retry_count", F.col("outcome_time").alias("failed_at")],
+        "dead_letter": [*DELETE_FIELDS, "retry_count", "failure_reason", F.col("outcome_time").alias("dead_letter_time")]})
+    return {"internal.media.delete.retry": of["retry"], "internal.media.delete.dead-letter": of["dead_letter"]}
+
+
 def orphan_dead_letters(dead_letters: DataFrame, confirmed: DataFrame) -> DataFrame:
     """Dead letters never followed by a success on the same permanent path."""
     latest = confirmed.groupBy("file_path").agg(F.max(micros("upload_time")).alias("_ok"))

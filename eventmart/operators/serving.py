@@ -54,6 +54,27 @@ def own_rows(df: DataFrame, viewer: str | DataFrame) -> DataFrame:
     return scans.lookup(df, viewer.select(F.col("viewer").alias("user_id")).distinct(), ["user_id"], "left_semi")
 
 
+SHOWN = ["event_type", "payload", "event_time", "user_id"]
+
+
+def newest_per_viewer(rows: DataFrame, n: int = 20) -> DataFrame:
+    """The newest `n` rows (viewer, and what a history shows) of each viewer. Of results of this it gives the same as of all rows."""
+    newest = [F.desc(micros("event_time")), F.desc("event_time"), F.desc("event_type"), F.desc("payload"), F.desc("user_id")]
+    ranked = rows.select("viewer", *SHOWN).withColumn("_rank", F.row_number().over(Window.partitionBy("viewer").orderBy(*newest)))
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+
+
+def history_from_kept(kept: DataFrame, viewers: DataFrame, n: int = 20) -> DataFrame:
+    """`history` from a kept table of `newest_per_viewer` of the `audience` rows: at most n rows of a viewer, and n for all."""
+    wanted = viewers.select("viewer").distinct()
+    own = scans.lookup(kept.filter(F.col("viewer") != EVERYONE), wanted, ["viewer"], "left_semi")
+    shared = kept.filter(F.col("viewer") == EVERYONE).agg(F.collect_list(F.struct(*SHOWN)).alias("rows"))
+    shown = newest_per_viewer(own.unionByName(wanted.select("viewer", F.inline(shared.scalar()))), n)
+    window = Window.partitionBy("viewer")
+    oldest = [micros("event_time"), F.col("event_time"), F.col("event_type"), F.col("payload"), F.col("user_id")]
+    return shown.withColumn("position", F.row_number().over(window.orderBy(*oldest)))
+
+
 def history(notifications: DataFrame, viewers: DataFrame, n: int = 20) -> DataFrame:
     """Per viewer the newest `n` readable rows, numbered in display order (1 = oldest shown).
 

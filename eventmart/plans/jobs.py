@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmart.operators import credits, identity, ingest, media, notifications, olap, sagas
+from eventmart.operators import credits, identity, ingest, media, notifications, olap, sagas, serving
 from eventmart.sources.topics import read_topic
-from eventmart.streaming import processors, sinks
+from eventmart.streaming import processors, sinks, tables
 
 DOWNLOAD, DELETE = "internal.media.download.intent", "internal.media.delete.intent"
 LOG, LEDGER, FILES, UNIFIED = "user_notifications", "credit_ledger", "media_files", "internal.platform.unified.events"
@@ -116,6 +116,87 @@ def start_media_handlers(spark: SparkSession, source: str, target: str, checkpoi
     return sinks.start(wide, writer, f"{checkpoints.rstrip('/')}/media-handlers", interval)
 
 
+RETRY, DELETE_RETRY = "internal.media.upload.retry", "internal.media.delete.retry"
+# What names a chain of retries in each loop's topic, a retry's time, the step of one retry, and the topics of its outcomes.
+RETRY_LOOPS = {
+    RETRY: (["user_id", "permanent_path", "upload_time"], "retry_time", sagas.retry_step, sagas.retry_branches),
+    DELETE_RETRY: (["user_id", "file_path", "request_id"], "failed_at", sagas.route_delete_retries, sagas.delete_retry_branches),
+}
+
+
+def start_retry_loop(spark: SparkSession, topic: str, topics: str, checkpoints: str, effects: Callable[[DataFrame], DataFrame],
+                     interval: str | None = None) -> StreamingQuery:
+    """The retries of a topic, whose failed attempts go back into the same topic.
+
+    `effects` adds what an attempt brings: moved_ok or removed_ok. A failed attempt comes back with its count raised by one and
+    goes to the dead letters at the limit, so a chain ends after `MAX_RETRIES` + 1 attempts. Replays of a retry are left out
+    (`processors.first_attempts`). Rows go back through a folder table, as its source and batch, so a repeated batch replaces them.
+    """
+    keys, time, step, branches = RETRY_LOOPS[topic]
+    rows = processors.first_attempts(read_topic(spark, topic, topics), keys, time)
+
+    def writer(batch: DataFrame, batch_id: int) -> None:
+        outcomes = step(effects(batch)).persist()
+        try:
+            for target, rows in branches(outcomes).items():
+                sinks.append_sink(f"{topics.rstrip('/')}/{target}", f"loop.{topic}")(rows, batch_id)
+        finally:
+            outcomes.unpersist()
+
+    return sinks.start(rows, writer, f"{checkpoints.rstrip('/')}/loop-{topic}", interval)
+
+
+def run_retry_loop(spark: SparkSession, topic: str, topics: str, checkpoints: str, effects: Callable[[DataFrame], DataFrame]) -> int:
+    """Runs a loop until it brings nothing new; the number of runs that did. More than the limit allows is an error."""
+    for runs in range(sagas.MAX_RETRIES + 3):
+        job = start_retry_loop(spark, topic, topics, checkpoints, effects)
+        job.awaitTermination()
+        if not sum(p.numInputRows for p in job.recentProgress):
+            return runs
+    raise RuntimeError(f"{topic} does not come to an end")
+
+
+def start_balances(spark: SparkSession, ledger: DataFrame, table: str, checkpoints: str, interval: str | None = None) -> StreamingQuery:
+    """The balance of each user as a kept table. A batch adds the balances it changed; the newest one of a user counts."""
+    def writer(batch: DataFrame, batch_id: int) -> None:
+        tables.keep(table, newest_balance)(batch.withColumn("version", F.lit(batch_id).cast("bigint")), batch_id)
+
+    return sinks.start(credits.balances(ledger), writer, f"{checkpoints.rstrip('/')}/balances", interval, mode="update")
+
+
+def newest_balance(rows: DataFrame) -> DataFrame:
+    return olap.replace_by_key(rows, ["user_id"], "version")
+
+
+def start_history(spark: SparkSession, log: DataFrame, table: str, checkpoints: str, n: int = 20,
+                  interval: str | None = None) -> StreamingQuery:
+    """The newest n rows of each viewer, and the newest n broadcasts once for all, as a kept table."""
+    newest = partial(serving.newest_per_viewer, n=n)
+    return sinks.start(serving.audience(log).select("viewer", *serving.SHOWN), tables.keep(table, newest),
+                       f"{checkpoints.rstrip('/')}/history", interval)
+
+
+def newest_event(rows: DataFrame) -> DataFrame:
+    return olap.replace_by_key(rows, olap.EVENT_KEY, F.struct("version", "ingest_order"))
+
+
+def start_olap_deltas(spark: SparkSession, source: str, table: str, checkpoints: str, interval: str | None = None,
+                      compact_after: int = tables.COMPACT_AFTER) -> StreamingQuery:
+    """The unified topic into a kept table, a folder for each day in every delta: a batch writes its own rows, whatever the days
+    hold already. The row ingested last wins, when the table is read. Rows whose time cannot be read go to `<table>__rejected`."""
+    def writer(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            typed, rejected = olap.typed_events(batch)
+            rows = typed.withColumns({"version": F.lit(batch_id).cast("bigint"), "event_date": F.to_date("event_time")})
+            tables.keep(table, newest_event, ["event_date"], compact_after)(rows, batch_id)
+            sinks.append_sink(f"{table.rstrip('/')}__rejected", "olap")(rejected.drop("ingest_order"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return sinks.start(read_topic(spark, UNIFIED, source, with_order=True), writer, f"{checkpoints.rstrip('/')}/olap-deltas", interval)
+
+
 def start_echo(spark: SparkSession, source: str, target: str, checkpoints: str,
                interval: str | None = None) -> StreamingQuery:
     logins = read_topic(spark, "public.identity.login.events", source)

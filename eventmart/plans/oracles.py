@@ -635,7 +635,9 @@ oracle("access_patterns", """
 
 for _stream, _batch in [("stream_ttl_expired", "ttl_expired"), ("stream_move_saga", "move_saga"),
                         ("stream_credit_check", "credit_check"), ("stream_dedup", "unified_events"),
-                        ("partition_rewrite", "login_aggregates_backfill")]:
+                        ("partition_rewrite", "login_aggregates_backfill"), ("stream_credit_balances", "credit_balances"),
+                        ("stream_history_top20", "history_top20"), ("olap_delta_job", "olap_job"),
+                        ("stream_metric_rollup_10s", "metric_rollup_10s"), ("stream_saga_funnel", "saga_funnel")]:
     oracle(_stream, ORACLES[_batch])
 oracle("stream_ledger", f"{ORACLES['ledger_signup_bonus']} UNION ALL {ORACLES['ledger_refund']}")
 
@@ -651,6 +653,24 @@ oracle("stream_delete_outcomes", """
   UNION ALL SELECT 'retry', user_id, path, request_id, f_name, f_type, NULL, time
   FROM media_judged WHERE outcome = 'deleted' AND event_id % 3 <> 0""")
 
+# Chains of retries, attempt by attempt: `walk` is a chain's row in the loop's topic before each attempt.
+oracle("stream_delete_retry_loop", """
+  WITH walk AS (
+    SELECT request_id, path AS file_path, event_id, k // 20 AS c FROM errors
+    UNION ALL SELECT request_id, file_path, event_id, c + 1 FROM walk WHERE (event_id + c) % 4 <> 0 AND c < 3)
+  SELECT 'internal.media.delete.retry' AS topic, request_id, file_path, CAST(c AS VARCHAR) AS retry_count FROM walk
+  UNION SELECT 'internal.media.delete.dead-letter', request_id, file_path, CAST(c AS VARCHAR) FROM walk
+  WHERE (event_id + c) % 4 <> 0 AND c >= 3""")
+oracle("stream_upload_retry_loop", """
+  WITH walk AS (
+    SELECT user_id, path AS permanent_path, time AS upload_time, file_size, k // 20 AS c FROM clicks
+    UNION ALL SELECT user_id, permanent_path, upload_time, file_size, c + 1 FROM walk WHERE (file_size + c) % 3 <> 0 AND c < 3)
+  SELECT 'internal.media.upload.retry' AS topic, user_id, permanent_path, upload_time, CAST(c AS VARCHAR) AS retry_count FROM walk
+  UNION SELECT 'internal.media.upload.received', user_id, permanent_path, upload_time, CAST(c + 1 AS VARCHAR) FROM walk
+  WHERE (file_size + c) % 3 = 0
+  UNION SELECT 'internal.media.upload.dead-letter', user_id, permanent_path, upload_time, CAST(c AS VARCHAR) FROM walk
+  WHERE (file_size + c) % 3 <> 0 AND c >= 3""")
+
 
 def oracle_statements() -> dict[str, str]:
     return {name: statement(name) for name in ORACLES}

@@ -15,7 +15,7 @@ from eventmart.schemas import TABLES, TOPICS, conform
 from eventmart.session import BASE_CONF, shared_dir
 from eventmart.sources.event_views import MOVE_SPEED, NOW, EventViews
 from eventmart.sources.topics import read_topic
-from eventmart.streaming import processors, sinks
+from eventmart.streaming import processors, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -651,6 +651,105 @@ def stream_delete_outcomes(v: EventViews) -> DataFrame:
             .unionByName(_outcome(topics["internal.media.delete.retry"], "retry", "failed_at", columns)))
 
 
+def _loop(v: EventViews, topic: str, retries: DataFrame, effects, targets: list[str], columns: list[str]) -> DataFrame:
+    """What a retry loop leaves in its topics, after all retries and a replay of them. `n` is the number of a chain's rows there."""
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    root, rows = shared_dir(v.spark), conform(retries, topic)
+    for number in range(2):
+        sinks.append_sink(f"{root}/{topic}", "first")(rows, number)
+    jobs.run_retry_loop(v.spark, topic, root, f"{root}/checkpoints", effects)
+    out = None
+    for target in targets:
+        path = f"{root}/{target}"
+        part = v.spark.read.schema(TOPICS[target]).parquet(path).withColumn("topic", F.lit(target))
+        part = part.select("topic", *columns, F.col("retry_count").cast("string").alias("retry_count"))
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
+@query
+def stream_delete_retry_loop(v: EventViews) -> DataFrame:
+    """Removals tried again until one works or the count is at its limit; three in four attempts fail."""
+    def effects(rows: DataFrame) -> DataFrame:
+        number = F.substring_index("request_id", "-", -1).cast("bigint")
+        return rows.withColumns({"removed_ok": (number + F.col("retry_count")) % 4 == 0, "error": F.lit("remove failed")})
+    retries = v.delete_retries().withColumn("retry_count", F.col("retry_count").cast("int"))
+    return _loop(v, jobs.DELETE_RETRY, retries, effects, [jobs.DELETE_RETRY, "internal.media.delete.dead-letter"], ["request_id", "file_path"])
+
+
+@query
+def stream_upload_retry_loop(v: EventViews) -> DataFrame:
+    """Moves tried again until one works, which sends the upload back to the saga, or the count is at its limit."""
+    def effects(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("moved_ok", (F.col("file_size") + F.col("retry_count")) % 3 == 0)
+    targets = [jobs.RETRY, "internal.media.upload.received", "internal.media.upload.dead-letter"]
+    return _loop(v, jobs.RETRY, v.upload_retries(), effects, targets, ["user_id", "permanent_path", "upload_time"])
+
+
+def _in_parts(rows: DataFrame, root: str, order: str, parts: int = 3) -> DataFrame:
+    """The rows as a stream of several files, one to a micro-batch, in the order of a column's hash."""
+    for part in range(parts):
+        rows.where(F.pmod(F.xxhash64(order), F.lit(parts)) == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+
+
+@query
+def stream_credit_balances(v: EventViews) -> DataFrame:
+    """The ledger in several batches through the job that keeps the balances."""
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    root = shared_dir(v.spark)
+    ledger = _in_parts(_ledger(v), root, "event_time")
+    jobs.start_balances(v.spark, ledger, f"{root}/table", f"{root}/checkpoints").awaitTermination()
+    schema = credits.balances(_ledger(v)).withColumn("version", F.lit(0).cast("bigint")).schema
+    return tables.read(v.spark, f"{root}/table", schema, jobs.newest_balance).drop("version")
+
+
+@query
+def stream_history_top20(v: EventViews) -> DataFrame:
+    """The notification log in several batches through the job that keeps the newest rows of each viewer."""
+    root = shared_dir(v.spark)
+    log = _in_parts(_log(v), root, "event_time")
+    jobs.start_history(v.spark, log, f"{root}/table", f"{root}/checkpoints").awaitTermination()
+    schema = serving.audience(_log(v)).select("viewer", *serving.SHOWN).schema
+    kept = tables.read(v.spark, f"{root}/table", schema, serving.newest_per_viewer)
+    return serving.history_from_kept(kept, v.users().select(F.col("id").alias("viewer")))
+
+
+@query
+def olap_delta_job(v: EventViews) -> DataFrame:
+    """As `olap_job`, into a kept table of deltas."""
+    root = _land(v, **{jobs.UNIFIED: _unified(v)})
+    jobs.start_olap_deltas(v.spark, root, f"{root}/table", f"{root}/checkpoints").awaitTermination()
+    conform(_unified(v).withColumn("email", F.upper("email")), jobs.UNIFIED).write.mode("append").parquet(f"{root}/{jobs.UNIFIED}")
+    jobs.start_olap_deltas(v.spark, root, f"{root}/table", f"{root}/checkpoints").awaitTermination()
+    typed, _ = olap.typed_events(read_topic(v.spark, jobs.UNIFIED, root, streaming=False, with_order=True))
+    schema = typed.withColumns({"version": F.lit(0).cast("bigint"), "event_date": F.to_date("event_time")}).schema
+    table = tables.read(v.spark, f"{root}/table", schema, jobs.newest_event)
+    return _text(table.select(*TOPICS[jobs.UNIFIED].names), "event_time")
+
+
+def _with_last(rows: DataFrame) -> DataFrame:
+    """The rows and one far behind them, which lets the watermark pass everything else."""
+    last = rows.agg(*[F.max_by(c, "ts").alias(c) if c != "ts" else (F.max("ts") + F.expr("interval 30 days")).alias("ts") for c in rows.columns])
+    return rows.unionByName(last)
+
+
+@query
+def stream_metric_rollup_10s(v: EventViews) -> DataFrame:
+    root, samples = shared_dir(v.spark), v.event_gauge()
+    _with_last(samples).write.parquet(f"{root}/in")
+    stream = v.spark.readStream.schema(samples.schema).parquet(f"{root}/in")
+    return _text(_caught_up(metrics.rollup_stream(stream), root), "bucket").withColumn("total", _rounded("total"))
+
+
+@query
+def stream_saga_funnel(v: EventViews) -> DataFrame:
+    root, events = shared_dir(v.spark), v.staged_events()
+    _with_last(events).write.parquet(f"{root}/in")
+    stream = v.spark.readStream.schema(events.schema).parquet(f"{root}/in")
+    return _text(_caught_up(metrics.saga_funnel_stream(stream), root), "bucket")
+
+
 @query
 def stream_dedup(v: EventViews) -> DataFrame:
     """The unified topic with every row twice, through the watermarked dedup."""

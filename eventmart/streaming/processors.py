@@ -229,3 +229,49 @@ def media_outcomes_stream(confirmed: DataFrame, intents: DataFrame, delay: str =
                "file_size long, download_url string, reason string, retry_count int, outcome_time string", delay)
     owner = F.from_json("key", "user_id string, file_path string")
     return out.withColumn("_owner", owner).select("outcome", *[F.col(f"_owner.{c}").alias(c) for c in OWNER], *media.OUTCOME[3:])
+
+
+class FirstAttempts(StatefulProcessor):
+    """Lets a row of a key through if its count is above all counts that came before."""
+
+    def __init__(self, names: list[str], count: str, ttl_ms: int):
+        self.names, self.count, self.ttl_ms = names, count, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("count", T.IntegerType()), T.StructField("until", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seen, until = self.seen.get() if self.seen.exists() else (None, 0)
+        out = []
+        for row in sorted(rows, key=lambda r: r[self.count]):
+            if seen is None or row[self.count] > seen:
+                seen, until = row[self.count], max(until, row["_us"] // 1000 + self.ttl_ms)
+                out.append(Row(**{n: row[n] for n in self.names}))
+        if out:
+            self.seen.update((seen, until))
+            self.handle.registerTimer(until)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.seen.exists() and self.seen.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def first_attempts(rows: DataFrame, keys: list[str], time: str, count: str = "retry_count", ttl_s: int = 7 * 86_400) -> DataFrame:
+    """The rows without replays: of a chain of retries (its `keys`), each count once, and never one that is not above the last.
+
+    Since counts only rise and end at a limit, a loop that feeds its own rows back through this ends. A chain is forgotten when
+    the watermark is `ttl_s` past the `time` of its last row; without a readable time, that is at once. Rows without a count
+    have count 0.
+    """
+    rows = rows.withColumn(count, F.coalesce(F.col(count), F.lit(0)))
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+    timed = rows.withColumns({"_chain": F.to_json(F.struct(*keys)), "_us": F.coalesce(micros(time), F.lit(0).cast("bigint"))})
+    timed = timed.withColumn("_ts", F.timestamp_micros("_us")).withWatermark("_ts", DELAY).drop("_ts")
+    return timed.groupBy("_chain").transformWithState(
+        FirstAttempts(rows.columns, count, ttl_s * 1000), out, outputMode="append", timeMode="eventtime")

@@ -57,9 +57,9 @@ def fan_out(targets: Mapping[str, tuple[Column | None, list | Callable[[DataFram
     return write
 
 
-def start(stream: DataFrame, writer: BatchWriter, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def start(stream: DataFrame, writer: BatchWriter, checkpoint: str, interval: str | None = None, mode: str = "append") -> StreamingQuery:
     """Run a batch writer over a stream: until caught up, or at an interval if one is given."""
-    job = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
+    job = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).outputMode(mode)
     return (job.trigger(processingTime=interval) if interval else job.trigger(availableNow=True)).start()
 
 
