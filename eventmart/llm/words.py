@@ -102,6 +102,15 @@ def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def runs_at(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """`runs` at some words only; n words have to follow there."""
+    out = np.full(len(at), n, np.uint64)
+    for k in range(n):
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out += hashes[at + k]
+    return mix(out)
+
+
 def inside(text: np.ndarray, n: int) -> np.ndarray:
     """Where a run of n words stays in its text."""
     size = max(0, len(text) - n + 1)

@@ -281,6 +281,56 @@ def test_edited_copies_are_found_beside_exact_ones(spark):
     assert got == {k: v for k, v in best.items() if v >= 0.6}
 
 
+def test_pieces_are_the_rarest():
+    from itertools import combinations
+    rng = random.Random(8)
+    for _ in range(40):
+        length = rng.randint(1, 9)
+        places = [np.array([rng.randrange(9) for _ in range(max(0, length - n + 1))]) for n in range(1, 5)]
+        every = [(at, n) for n in range(1, 5) for at in range(length - n + 1)]
+        count = rng.randint(1, min(length, 4))
+        apart = lambda some: all(x[0] + x[1] <= y[0] for x, y in zip(some, some[1:]))
+        cost = lambda some: sum(places[n - 1][at] for at, n in some)
+        got = decontaminate.rarest_pieces(places, count)
+        assert len(got) == count and apart(got)
+        assert cost(got) == min(cost(some) for some in combinations(sorted(every), count) if apart(some))
+
+
+def test_long_items_have_enough_pieces():
+    rng = np.random.default_rng(3)
+    for length in (1, 3, 512, 513, 1700):
+        places = [rng.integers(0, 50, max(0, length - n + 1)) for n in range(1, 5)]
+        seeds = sorted(decontaminate.seeds_of(places, 0.6))
+        assert len(seeds) >= decontaminate.most_edits(length, 0.6) + 1
+        assert all(at + n <= length for at, n in seeds)
+
+
+def test_frequent_runs_seed_nothing_where_rare_ones_can(spark):
+    rng = random.Random(12)
+    text = lambda n: [f"u{rng.randrange(3000)}" for _ in range(n)]
+    common = ["it", "is", "the", "case", "that"]
+    items = [text(8) + common + text(7) for _ in range(6)]
+    docs = [text(20) + common + text(20) if k % 2 else text(40) for k in range(200)]
+    for x in items:
+        docs.append(text(20) + [w if k % 5 != 4 else "changed" for k, w in enumerate(x)] + text(20))
+    documents = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents, benchmark).collect()}
+    assert got == {(200 + i, i) for i in range(6)}
+    places = [np.array([sum(" ".join(items[0][a:a + n]) in " ".join(d) for d in docs) for a in range(20 - n + 1)]) for n in range(1, 5)]
+    assert max(places[n - 1][at] for at, n in decontaminate.seeds_of(places, 0.6)) < 100
+
+
+def test_signs_and_scripts_without_blanks(spark):
+    items = ["“Hello there,” said the old man… and left—quickly", "今天的天气非常好，我们一起去公园散步吧", "これは長い日本語の文章です、読んでください"]
+    docs = ["x hello there said the old man and left quickly y", "前言。今天的天气非常好！我们一起去公园散步吧。后记", "はじめに「これは長い日本語の文章です、読んでください」おわり",
+            "x “hello\u00a0there”, sa\u00adid ‘the’ old man, and left quickly", "一个完全不同的句子"]
+    documents = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.first_word) for r in decontaminate.contaminated(documents, benchmark).collect()}
+    assert got == {(0, 0): (1.0, 1), (3, 0): (1.0, 1), (1, 1): (1.0, 2), (2, 2): (1.0, 4)}
+
+
 @pytest.mark.parametrize("n", [1, 3])
 def test_run_hashes_agree_with_the_words(n):
     import pyarrow as pa
@@ -290,7 +340,9 @@ def test_run_hashes_agree_with_the_words(n):
     seen = {}
     for part in words.slices(pa.array(texts)):
         h = words.runs(part.hashes(), n)
-        for k in np.flatnonzero(words.inside(part.text, n)):
+        at = np.flatnonzero(words.inside(part.text, n))
+        assert (words.runs_at(part.hashes(), at, n) == h[at]).all()
+        for k in at:
             key = tuple(part.word(k + j) for j in range(n))
             assert seen.setdefault(key, h[k]) == h[k]
     assert len(set(seen.values())) == len(seen)
