@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ MIN_SCORE = 0.6
 LONGEST = 4  # words of a seed
 _BLOCK = 512  # words of an item over which pieces are placed at once
 _ASIDE = np.uint64(0x9FB21C651E98DF25)
+_SIGN = r"[^\x00-\x7F\pL\pM\pN]"  # outside ASCII
+_SINGLE = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"  # scripts without blanks
 
 
 def most_edits(length: int, min_score: float) -> int:
@@ -89,6 +92,18 @@ def seeds_of(places: list[np.ndarray], min_score: float) -> list[tuple[int, int]
     return pieces
 
 
+def plain_words(texts: pa.Array) -> pa.Array:
+    """Texts with blanks for the signs and blanks of all scripts, and around each character of a script that puts no blanks
+    between words. Marks without a width (soft hyphens, joiners) go."""
+    changed = pc.fill_null(pc.match_substring_regex(texts, f"{_SIGN}|{_SINGLE}"), False)
+    if not pc.any(changed).as_py():
+        return texts
+    new = texts.filter(changed)
+    for pattern, by in ((r"\p{Cf}+", ""), (f"{_SIGN}+", " "), (f"({_SINGLE})", r" \1 ")):
+        new = pc.replace_substring_regex(new, pattern, by)
+    return pc.replace_with_mask(texts, changed, new)
+
+
 def _mark(runs: np.ndarray, level: int) -> np.ndarray:
     """A hash of a run and of the reach of its item, a power of two."""
     return words.mix(runs ^ (_ASIDE * np.uint64(2 * level + 1)))
@@ -97,7 +112,7 @@ def _mark(runs: np.ndarray, level: int) -> np.ndarray:
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, out = batch.column(0), []
-        for part in words.slices(batch.column(1)):
+        for part in words.slices(plain_words(batch.column(1))):
             hashes, offsets = part.hashes(), part.word_offsets()
             for t in range(part.n_texts):
                 a, b = offsets[t], offsets[t + 1]
@@ -117,7 +132,7 @@ def _counted(bits):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch.column(0)):
+            for part in words.slices(plain_words(batch.column(0))):
                 hashes, at, found = part.hashes(), np.arange(len(part.text)), []
                 for n in range(1, LONGEST + 1):
                     at = at[at + n <= len(hashes)]
@@ -163,7 +178,7 @@ def _passages(bits, lengths: list[int], levels: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            for part in words.slices(batch.column(1)):
+            for part in words.slices(plain_words(batch.column(1))):
                 hashes, offsets = part.hashes(), part.word_offsets()
                 found = []
                 for n in lengths:
@@ -250,14 +265,6 @@ def caseless(text: str) -> Column:
     return F.upper(plain).alias(text)
 
 
-def plain_words(text: str) -> Column:
-    """`caseless`, with blanks for the signs and blanks of all scripts, and around each character of a script that puts no
-    blanks between words. Marks without a width (soft hyphens, joiners) go. A text of ASCII stays as it is."""
-    signs = F.regexp_replace(F.regexp_replace(caseless(text), r"[\p{Cf}]", ""), r"[\p{P}\p{S}\p{Z}]+", " ")
-    single = F.regexp_replace(signs, r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])", " $1 ")
-    return F.when(F.octet_length(text) > F.char_length(text), single).otherwise(caseless(text)).alias(text)
-
-
 def contaminated(documents: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Pairs of document and test item of which the document holds a copy, exact or edited.
 
@@ -267,10 +274,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, min_score: float =
     of its own; null and empty texts and items without words match nothing; an empty table on either side gives no rows.
     Among copies with the best score the first counts.
     """
-    docs = documents.select("doc_id", plain_words("text"))
+    docs = documents.select("doc_id", caseless("text"))
     spark = docs.sparkSession
     doc_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    items = settle(benchmark.select("item_id", plain_words("text")).mapInArrow(
+    items = settle(benchmark.select("item_id", caseless("text")).mapInArrow(
         _item_rows, f"item_id {item_type}, item_words string, n_words int, runs array<bigint>")
         .dropDuplicates(["item_id", "item_words"]).withColumn("item_key", F.xxhash64("item_id", "item_words")))
     own = items.select("item_key", F.posexplode("runs").alias("pos", "run"))
