@@ -157,6 +157,45 @@ def match_outcomes(requests: DataFrame, notifications: DataFrame, timeout_s: int
     )
 
 
+def match_outcomes_stream(requests: DataFrame, notifications: DataFrame, timeout_s: int = 30, delay: str = "10 minutes") -> DataFrame:
+    """`match_outcomes` as a stream, in the same rows, for any arrival order within the watermark's delay.
+
+    A request waits under each of its keys and accepted types in an outer join over the timeout's time range, then its best
+    answer is taken once the watermark has passed its time and the timeout. State is bounded by the delay and the timeout; what a
+    key joins is bounded by its rows within one timeout. The same request sent twice, with one time, has one row. Rows later than the
+    watermark are dropped. A request without a readable time has no place on the time line: it is a timeout as it arrives.
+    """
+    ids = F.from_json("payload", "request_id string, file_path string")
+    times = {"_us": micros("request_time"), "asked": F.timestamp_micros(micros("request_time"))}
+    typed = requests.select("request_id", "request_time", "file_path", "types").withColumns(times)
+
+    def entries(request_id: str, file_path: str) -> Column:
+        keys = [F.struct(F.lit(by).alias("by"), F.when(F.col(c) != "", F.col(c)).alias("key")) for by, c in enumerate([request_id, file_path])]
+        return F.inline(F.array(*keys))
+
+    waiting = (typed.where("_us is not null").withWatermark("asked", delay)
+               .select("request_id", "request_time", "_us", "asked", "file_path", F.explode_outer("types").alias("event_type"))
+               .select("request_id", "request_time", "_us", "asked", "event_type", entries("request_id", "file_path")))
+    answers = (notifications.select("event_type", "payload", "event_time", micros("event_time").alias("answer_us"), ids.alias("_ids"))
+               .where("answer_us is not null").withColumn("answered", F.timestamp_micros("answer_us")).withWatermark("answered", delay)
+               .select("event_type", "payload", "event_time", "answer_us", "answered", entries("_ids.request_id", "_ids.file_path"))
+               .where("key is not null"))
+    q, n = waiting.alias("q"), answers.alias("n")
+    same = [F.col(f"q.{c}") == F.col(f"n.{c}") for c in ("by", "key", "event_type")]
+    in_time = F.col("n.answered").between(F.col("q.asked"), F.col("q.asked") + F.expr(f"interval {timeout_s} seconds"))
+    met = q.join(n, same[0] & same[1] & same[2] & in_time, "left").select(
+        "q.request_id", "q.request_time", "q._us", "q.asked",
+        F.when(F.col("n.answer_us").isNotNull(), F.struct("q.by", "n.answer_us", "n.event_type", "n.payload", "n.event_time")).alias("hit"))
+    best = met.groupBy("request_id", "request_time", "_us", "asked").agg(F.min("hit").alias("best"))
+    unplaced = (typed.where("_us is null")
+                .select("request_id", "request_time", "_us", F.lit(None).cast(met.schema["hit"].dataType).alias("best")))
+    every = best.select("request_id", "request_time", "_us", "best").unionByName(unplaced)
+    return every.select(
+        "request_id", "request_time", F.coalesce("best.event_type", F.lit("timeout")).alias("outcome"), F.col("best.event_time").alias("outcome_time"),
+        F.when(F.col("best.by") == 0, F.lit("request_id")).when(F.col("best.by") == 1, F.lit("file_path")).alias("matched_by"),
+        ((F.col("best.answer_us") - F.col("_us")) / scans.SECOND).alias("latency_s"))
+
+
 def access_patterns(notifications: DataFrame) -> dict[str, DataFrame]:
     """The log as three tables, one per way of reading it: by owner, by recipient, and for everyone."""
     message = F.col("event_type") == MESSAGE

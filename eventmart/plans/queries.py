@@ -316,9 +316,7 @@ def latest_notification(v: EventViews) -> DataFrame:
     return serving.latest_per(log, ["user_id", "event_type"], [S.micros("event_time"), "event_time", "payload"])
 
 
-@query
-def request_outcomes(v: EventViews) -> DataFrame:
-    """Delete requests (clicks) wait an hour of table time for an answer: some carry the id, others only the path."""
+def _requests_and_answers(v: EventViews) -> tuple[DataFrame, DataFrame]:
     requests = v.file_intents().select(
         "request_id", "file_path", "request_time",
         F.array(F.lit("media.file_deleted"), F.lit("media.delete_rejected")).alias("types"))
@@ -332,8 +330,13 @@ def request_outcomes(v: EventViews) -> DataFrame:
         F.when(F.col("value") < 20, F.lit("media.file_deleted")).otherwise(F.lit("other")).alias("event_type"),
         S.json_object(request_id=F.col("request_id"), file_path=F.col("path")).alias("payload"),
         S.iso_micros(F.col("us") + F.col("k").cast("bigint") * 120_000_000).alias("event_time"))
-    answers = by_id.unionByName(by_path).unionByName(echoed)
-    return serving.match_outcomes(requests, answers, timeout_s=3600)
+    return requests, by_id.unionByName(by_path).unionByName(echoed)
+
+
+@query
+def request_outcomes(v: EventViews) -> DataFrame:
+    """Delete requests (clicks) wait an hour of table time for an answer: some carry the id, others only the path."""
+    return serving.match_outcomes(*_requests_and_answers(v), timeout_s=3600)
 
 
 # ingest -----------------------------------------------------------------------------------------
@@ -750,6 +753,19 @@ def stream_saga_funnel(v: EventViews) -> DataFrame:
     return _text(_caught_up(metrics.saga_funnel_stream(stream), root), "bucket")
 
 
+@query
+def stream_request_outcomes(v: EventViews) -> DataFrame:
+    """As `request_outcomes`; the requests are landed twice, and a last row of each side lets the watermark pass all others."""
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    requests, answers = _requests_and_answers(v)
+    root, sides = shared_dir(v.spark), []
+    for name, rows, time in [("requests", requests.unionByName(requests), "request_time"), ("answers", answers, "event_time")]:
+        last = v.spark.range(1).select(*[F.lit(NOW if f.name == time else None).cast(f.dataType).alias(f.name) for f in rows.schema])
+        rows.unionByName(last).write.parquet(f"{root}/{name}")
+        sides.append(v.spark.readStream.schema(rows.schema).parquet(f"{root}/{name}"))
+    return _caught_up(serving.match_outcomes_stream(*sides, timeout_s=3600), root)
+
+
 @query
 def stream_dedup(v: EventViews) -> DataFrame:
     """The unified topic with every row twice, through the watermarked dedup."""

@@ -98,3 +98,33 @@ def test_late_samples_are_counted(spark, tmp_path):
     assert once() == 1
     got = sorted((r.bucket.strftime("%H:%M:%S"), r.n) for r in spark.read.parquet(f"{root}/out").collect())
     assert got == [("00:00:00", 2), ("01:00:00", 1)]
+
+
+def test_outcomes_as_a_stream_equal_the_batch_form_in_any_order(spark, tmp_path):
+    import random
+    rng, second = random.Random(5), lambda t: f"2024-01-01T00:{t // 60:02d}:{t % 60:02d}.000000Z"
+    asked = "request_id string, file_path string, types array<string>, request_time string"
+    told = "event_type string, payload string, event_time string"
+    types = ["done", "refused"]
+    requests = [(f"r{k}", f"/p{rng.randrange(6)}", types[: 1 + k % 2], second(rng.randrange(500))) for k in range(60)]
+    requests += [("no-path", None, types, second(5)), ("", "/p1", types, second(7)), (None, "/p2", types, second(9)), ("none", "", types, second(9)),
+                 ("no-types", "/p1", [], second(5)), ("bad-time", "/p1", types, "yesterday")]
+    answers = []
+    for k in range(200):
+        fields = [f'"request_id":"r{rng.randrange(60)}"' if rng.random() < 0.4 else '"request_id":""', f'"file_path":"/p{rng.randrange(6)}"']
+        answers.append((rng.choice(types + ["other"]), "{" + ",".join(fields[: rng.choice([1, 2])]) + "}", second(rng.randrange(540))))
+    answers += [("done", None, second(5)), ("done", "not json", second(5)), ("done", '{"file_path":"/p1"}', "never"), (None, '{"file_path":"/p1"}', second(8))]
+    batch_form = serving.match_outcomes(spark.createDataFrame(requests, asked), spark.createDataFrame(answers, told))
+    sides = []
+    for name, rows, schema, last in [("q", requests + requests[:9], asked, ("end", None, [], "2024-02-01T00:00:00.000000Z")),
+                                     ("n", answers, told, ("end", "{}", "2024-02-01T00:00:00.000000Z"))]:
+        rng.shuffle(rows)
+        for part in range(3):  # a file to a micro-batch
+            spark.createDataFrame(rows[part::3], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        spark.createDataFrame([last], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        sides.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}"))
+    stream = serving.match_outcomes_stream(*sides)
+    sinks.start(stream, sinks.append_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint").awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").select(*batch_form.columns).collect()
+    assert sorted(map(str, got)) == sorted(map(str, batch_form.collect()))
+    assert {r.matched_by for r in got} == {"request_id", "file_path", None}
