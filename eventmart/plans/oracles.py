@@ -623,6 +623,15 @@ oracle("masked_logins", """
 oracle("contract_violations", """
   SELECT 'email is null' AS rule, count(*) AS n FROM unified WHERE email IS NULL HAVING count(*) > 0
   UNION ALL SELECT 'type is known', count(*) FROM unified WHERE event_type = 'SIGNOUT' HAVING count(*) > 0""")
+oracle("resolved_payloads", """
+  WITH judged AS (
+    SELECT *, CAST(k AS BIGINT) % 4 + 1 AS version,
+           CASE CAST(k AS BIGINT) % 4 + 1 WHEN 3 THEN 'size: string is no bigint' WHEN 4 THEN 'unknown version'
+                WHEN 2 THEN CASE WHEN value < 80 THEN NULL ELSE 'user_id is null' END END AS why FROM ev)
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(version AS VARCHAR) AS version,
+         CASE WHEN why IS NULL THEN user_id END AS user_id, CASE WHEN why IS NULL THEN CAST(CAST(k AS BIGINT) AS VARCHAR) END AS size,
+         CASE WHEN why IS NULL THEN CASE version WHEN 1 THEN '' ELSE time END END AS time, CAST(NULL AS VARCHAR) AS device,
+         why AS reason FROM judged""")
 oracle("access_patterns", """
   SELECT event_type, count(*) AS n, 'by_owner' AS target FROM log GROUP BY ALL
   UNION ALL SELECT event_type, count(*), 'by_recipient' FROM log

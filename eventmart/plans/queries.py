@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.functions import scalars as S
 from eventmart.operators import (credits, governance, identity, ingest, media, metrics, notifications, olap, sagas,
@@ -546,6 +547,21 @@ def contract_violations(v: EventViews) -> DataFrame:
         _unified(v), "internal.platform.unified.events", rules))
 
 
+@query
+def resolved_payloads(v: EventViews) -> DataFrame:
+    """A payload per event, written with three schemas and one nobody knows, read with one."""
+    number = F.col("k").cast("bigint")
+    body = F.when(number % 4 == 0, S.json_object(user_id=F.col("user_id"), size=number)).otherwise(
+        S.json_object(user_id=F.when(F.col("value") < 80, F.col("user_id")), size=number, time=F.col("time"), note=F.lit("n")))
+    rows = v.events().select("event_id", (number % 4 + 1).alias("version"), body.alias("body"))
+    schemas = {1: "user_id string, size int", 2: "user_id string, size bigint, time string, note string", 3: "user_id string, size string"}
+    reading = T.StructType.fromDDL("user_id string not null, size bigint not null, time string not null, device string")
+    resolved, rejected = governance.resolve_payloads(rows, "body", "version", {n: T.StructType.fromDDL(x) for n, x in schemas.items()},
+                                                     reading, {"time": F.lit("")})
+    both = resolved.unionByName(rejected.drop("body"), allowMissingColumns=True)
+    return both.select(*[F.col(c).cast("string").alias(c) for c in ("event_id", "version", *reading.names, "reason")])
+
+
 @query
 def access_patterns(v: EventViews) -> DataFrame:
     out = None

@@ -5,6 +5,7 @@ import json
 import oracle
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.functions import scalars as S
 from eventmart.operators import credits, governance, identity, ingest, media, metrics, notifications, olap, sagas, serving
@@ -471,3 +472,30 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     text = oracle.plan(QUERIES["daily_login_aggregates"](spark, folder))
     assert "EqualTo(event_type,view)" in text and "GreaterThanOrEqual(ts," in text and "LessThan(ts," in text
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
+
+
+def test_schema_changes_and_the_rows_read_with_another_schema(spark):
+    from eventmart.operators.governance import resolve_payloads, schema_changes
+    ddl = T.StructType.fromDDL
+    old = ddl("a int, b string, c double, gone string, n struct<x: int>")
+    new = ddl("b binary, a bigint not null, c int, d string, e string not null, f string not null, n struct<x: bigint>")
+    changes = schema_changes(old, new, {"f": F.lit("?")}, tags={"d": "none", "e": "pii"})
+    assert {(f, c) for f, c, breaks in changes if breaks} == {
+        ("c", "double is no int"), ("e", "new: missing"), ("f", "new: no tag"), ("n", "struct<x:int> is no struct<x:bigint>")}
+    assert {(f, c) for f, c, breaks in changes if not breaks} == {
+        ("b", "string as binary"), ("a", "int as bigint"), ("a", "nulls are rejected"), ("d", "new: null"), ("f", "new: default"), ("gone", "dropped")}
+    assert schema_changes(old, old) == []
+    rows = spark.createDataFrame([
+        (1, 1, '{"a":5,"b":"x"}'), (2, 2, '{"b":7,"a":9000000000,"z":"y"}'), (3, 1, '{"b":"x"}'), (4, 3, '{"a":1}'), (5, None, '{"a":1}'),
+        (6, 1, None), (7, 1, "not json"), (8, 1, ""), (9, 2, "[1]"), (10, 4, '{"a":"1"}'), (1, 1, '{"a":5,"b":"x"}'), (11, 1, '{"a":"words"}')],
+        "id int, version int, body string")
+    schemas = {1: ddl("a int, b string"), 2: ddl("a bigint, b string, z string"), 4: ddl("a string")}
+    reading = ddl("a bigint not null, b string, z string")
+    resolved, rejected = resolve_payloads(rows, "body", "version", schemas, reading, {"z": F.lit("none")})
+    assert sorted(map(tuple, resolved.collect())) == [(1, 1, 5, "x", "none"), (1, 1, 5, "x", "none"), (2, 2, 9000000000, "7", "y")]
+    assert {r.id: r.reason for r in rejected.collect()} == {
+        3: "a is null", 4: "unknown version", 5: "unknown version", 6: "not an object", 7: "not an object", 8: "not an object", 9: "not an object",
+        10: "a: string is no bigint", 11: "a is null"}
+    with pytest.raises(ValueError):
+        resolve_payloads(rows.withColumn("z", F.lit(1)), "body", "version", schemas, reading)
+    assert resolve_payloads(rows.limit(0), "body", "version", schemas, reading)[0].count() == 0
