@@ -643,7 +643,7 @@ oracle("access_patterns", """
 # streams ----------------------------------------------------------------------------------------
 
 for _stream, _batch in [("stream_ttl_expired", "ttl_expired"), ("stream_move_saga", "move_saga"),
-                        ("stream_credit_check", "credit_check"), ("stream_dedup", "unified_events"),
+                        ("stream_credit_check", "credit_check"), ("stream_dedup", "unified_events"), ("stream_dedup_replays", "unified_events"),
                         ("partition_rewrite", "login_aggregates_backfill"), ("stream_credit_balances", "credit_balances"),
                         ("stream_history_top20", "history_top20"), ("olap_delta_job", "olap_job"),
                         ("stream_metric_rollup_10s", "metric_rollup_10s"), ("stream_saga_funnel", "saga_funnel"),

@@ -16,7 +16,7 @@ from eventmart.schemas import TABLES, TOPICS, conform
 from eventmart.session import BASE_CONF, shared_dir
 from eventmart.sources.event_views import MOVE_SPEED, NOW, EventViews
 from eventmart.sources.topics import read_topic
-from eventmart.streaming import processors, sinks, tables
+from eventmart.streaming import dedup, processors, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -790,6 +790,18 @@ def stream_dedup(v: EventViews) -> DataFrame:
     return _caught_up(olap.dedup_stream(stream, olap.EVENT_KEY, "ts", "60 days").drop("ts"), root)
 
 
+@query
+def stream_dedup_replays(v: EventViews) -> DataFrame:
+    """The unified topic in several batches, and the whole topic again as a later batch, into the table of first rows."""
+    root = shared_dir(v.spark)
+    stream = _in_parts(_unified(v), root, "event_id")
+    write = dedup.first_rows(f"{root}/table", olap.EVENT_KEY, S.typed_time("event_time"))
+    sinks.start(stream, write, f"{root}/checkpoint").awaitTermination()
+    _unified(v).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    sinks.start(stream, write, f"{root}/checkpoint").awaitTermination()
+    return dedup.table(v.spark, f"{root}/table", stream.schema).drop("batch", "day")
+
+
 @query
 def stream_ledger(v: EventViews) -> DataFrame:
     """Signups and expiries through the projection jobs; the ledger they leave."""

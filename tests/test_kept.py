@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from eventmart.operators import metrics, olap, sagas, serving
 from eventmart.plans import jobs
 from eventmart.schemas import TOPICS
-from eventmart.streaming import sinks, tables
+from eventmart.streaming import dedup, sinks, tables
 
 SCHEMA = "key string, value long, version long"
 
@@ -128,3 +128,26 @@ def test_outcomes_as_a_stream_equal_the_batch_form_in_any_order(spark, tmp_path)
     got = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").select(*batch_form.columns).collect()
     assert sorted(map(str, got)) == sorted(map(str, batch_form.collect()))
     assert {r.matched_by for r in got} == {"request_id", "file_path", None}
+
+
+@pytest.mark.parametrize("bits", [8, dedup.BITS])
+def test_replays_of_any_age_are_left_out(spark, tmp_path, bits):
+    schema, target = "key string, number int, time string", str(tmp_path / "t")
+    first = [("a", 1, "2024-01-01T10:00:00Z"), ("a", 1, "2024-01-01T10:00:00Z"), ("b", 2, "2024-01-02T10:00:00Z"),
+             (None, 3, "2024-01-02T11:00:00Z"), ("c", 4, None), ("d", 5, "never")]
+    later = [("a", 1, "2024-01-01T10:00:00Z"), (None, 3, "2024-01-02T11:00:00Z"), ("c", 4, None), ("d", 5, "never"), ("e", 6, "2024-01-01T12:00:00Z")]
+    later += [(f"k{k}", k, "2024-01-02T10:00:00Z") for k in range(300)]
+    write = dedup.first_rows(target, ["key", "time"], "time", bits)
+    content = lambda: sorted(map(str, dedup.table(spark, target, spark.createDataFrame([], schema).schema).drop("day").collect()))
+    write(spark.createDataFrame(first, schema), 0)
+    write(spark.createDataFrame(later, schema), 1)
+    once = content()
+    expected = {(k, n, t, 0) for k, n, t in first} | {(k, n, t, 1) for k, n, t in later if (k, n, t) not in first}
+    assert len(once) == len(expected)
+    got = {tuple(r) for r in dedup.table(spark, target, spark.createDataFrame([], schema).schema).drop("day").collect()}
+    assert got == expected
+    write(spark.createDataFrame(later, schema), 1)  # the batch repeated
+    assert content() == once
+    write(spark.createDataFrame([], schema), 2)
+    write(spark.createDataFrame(first + later, schema), 3)
+    assert content() == once
