@@ -174,6 +174,27 @@ def absent(samples: DataFrame, metric: str, spine: DataFrame, lookback_s: int =
             .select("ts", F.lit(1.0).alias("value")))
 
 
+def absent_stream(samples: DataFrame, metric: str, heartbeat: DataFrame, lookback_s: int = 300, step_s: int = 60,
+                  matchers: Mapping[str, str] | None = None, delay: str = "1 minute") -> DataFrame:
+    """`absent` as a stream: `heartbeat` is a stream of the times (column `ts`, on multiples of `step_s`) at which to look.
+
+    Heartbeats and the steps that samples cover meet in one aggregation by step under one watermark, so the heartbeat alone moves the
+    time on and missing data shows without any sample. A heartbeat sent twice counts once. `lookback_s` is a multiple of
+    `step_s`. Samples later than the delay change nothing any more.
+    """
+    if lookback_s % step_s:
+        raise ValueError("the lookback must be a multiple of the step")
+    first = F.ceil(F.unix_micros("ts") / F.lit(step_s * scans.SECOND)) * step_s
+    covered = (match(samples, matchers, metric)
+               .select(F.explode(F.sequence(first, first + lookback_s - step_s, F.lit(step_s).cast("bigint"))).alias("at"))
+               .select(F.timestamp_seconds("at").alias("at"), F.lit(False).alias("asked"), F.lit(True).alias("covered")))
+    beats = heartbeat.select(F.col("ts").alias("at"), F.lit(True).alias("asked"), F.lit(False).alias("covered"))
+    # a sample covers steps up to the lookback ahead of it
+    steps = (covered.unionByName(beats).withWatermark("at", f"{delay} {lookback_s} seconds")
+             .groupBy(F.window("at", f"{step_s} seconds").alias("step")).agg(F.max("asked").alias("asked"), F.max("covered").alias("covered")))
+    return steps.where("asked and not covered").select(F.col("step.start").alias("ts"), F.lit(1.0).alias("value"))
+
+
 def spine(start: str, end: str, samples: DataFrame, step_s: int = 60) -> DataFrame:
     """Regular times between two wire times, made by the session the samples belong to."""
     spark = samples.sparkSession

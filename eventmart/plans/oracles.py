@@ -647,7 +647,8 @@ for _stream, _batch in [("stream_ttl_expired", "ttl_expired"), ("stream_move_sag
                         ("partition_rewrite", "login_aggregates_backfill"), ("stream_credit_balances", "credit_balances"),
                         ("stream_history_top20", "history_top20"), ("olap_delta_job", "olap_job"),
                         ("stream_metric_rollup_10s", "metric_rollup_10s"), ("stream_saga_funnel", "saga_funnel"),
-                        ("stream_request_outcomes", "request_outcomes")]:
+                        ("stream_request_outcomes", "request_outcomes"), ("stream_alert_for", "alert_for"),
+                        ("stream_metric_absent", "metric_absent")]:
     oracle(_stream, ORACLES[_batch])
 oracle("stream_ledger", f"{ORACLES['ledger_signup_bonus']} UNION ALL {ORACLES['ledger_refund']}")
 

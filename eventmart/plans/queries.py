@@ -769,6 +769,34 @@ def stream_saga_funnel(v: EventViews) -> DataFrame:
     return _text(_caught_up(metrics.saga_funnel_stream(stream), root), "bucket")
 
 
+@query
+def stream_alert_for(v: EventViews) -> DataFrame:
+    """As `alert_for`, from a stream of the rates."""
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    root, busy = shared_dir(v.spark), metrics.rate_by(v.request_counts(), COUNT, ["otel_scope_name"])
+    busy.write.parquet(f"{root}/in")
+    rates = v.spark.read.parquet(f"{root}/in")
+    rates.agg(F.lit("end").alias("otel_scope_name"), (F.max("ts") + F.expr("interval 30 days")).alias("ts"),
+              F.lit(0.0).alias("rate")).write.mode("append").parquet(f"{root}/in")
+    stream = v.spark.readStream.schema(rates.schema).parquet(f"{root}/in")
+    lasting = _caught_up(processors.sustained_stream(stream, F.col("rate") > 0, 300, ["otel_scope_name"]), root)
+    return _text(lasting, "ts", "since").select("otel_scope_name", "ts", "since", "firing")
+
+
+@query
+def stream_metric_absent(v: EventViews) -> DataFrame:
+    """As `metric_absent`, from a stream of samples and one of heartbeats."""
+    v.spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    root, samples = shared_dir(v.spark), v.request_counts()
+    beats = metrics.spine(*SPINE, samples)
+    sides = []
+    for name, rows in [("samples", samples), ("beats", beats)]:
+        _with_last(rows).write.parquet(f"{root}/{name}")
+        sides.append(v.spark.readStream.schema(rows.schema).parquet(f"{root}/{name}"))
+    gone = metrics.absent_stream(sides[0], COUNT, sides[1], matchers={"otel_scope_name": "error"})
+    return _text(_caught_up(gone, root), "ts")
+
+
 @query
 def stream_request_outcomes(v: EventViews) -> DataFrame:
     """As `request_outcomes`; the requests are landed twice, and a last row of each side lets the watermark pass all others."""

@@ -11,7 +11,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,7 +22,7 @@ from eventmart.operators.credits import BEFORE_ALL_US, INTERNAL_ERROR
 from eventmart.operators.media import METADATA, OWNER
 from eventmart.operators.sagas import RECEIVED
 from eventmart.streaming import rules
-from eventmart.streaming.rules import CreditCheck, FileStore, MoveSaga, UploadTtl
+from eventmart.streaming.rules import CreditCheck, FileStore, Lasting, MoveSaga, UploadTtl
 
 DELAY = "10 minutes"
 
@@ -231,6 +231,18 @@ def media_outcomes_stream(confirmed: DataFrame, intents: DataFrame, delay: str =
     return out.withColumn("_owner", owner).select("outcome", *[F.col(f"_owner.{c}").alias(c) for c in OWNER], *media.OUTCOME[3:])
 
 
+def sustained_stream(series: DataFrame, predicate: Column, for_s: int, keys: list[str], max_gap_s: int = 300, delay: str = DELAY) -> DataFrame:
+    """`metrics.sustained` as a stream: the keys, `ts`, `since` and `firing` of each point. Points without a time give nothing.
+
+    A series keeps the start and the end of its run, and nothing once its points stop holding or coming.
+    """
+    rows = series.select(F.to_json(F.struct(*keys)).alias("key"), F.unix_micros("ts").alias("us"), F.coalesce(predicate, F.lit(False)).alias("holds"))
+    out = _run(rows, Lasting(for_s, max_gap_s), "key string, us long, since long, firing boolean", delay)
+    of = F.from_json("key", series.select(*keys).schema)
+    return (out.withColumn("_of", of).select(*[F.col("_of")[k].alias(k) for k in keys], F.timestamp_micros("us").alias("ts"),
+                                             F.timestamp_micros("since").alias("since"), "firing"))
+
+
 class FirstAttempts(StatefulProcessor):
     """Lets a row of a key through if its count is above all counts that came before."""
 

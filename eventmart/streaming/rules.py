@@ -166,3 +166,34 @@ class FileStore:
     def _outcome(self, outcome: str, row: dict, file: dict | None = None, **more) -> dict:
         return {"outcome": outcome, "request_id": row["request_id"], "outcome_time": row["request_time"], "download_url": None,
                 "reason": None, "retry_count": None, **{m: (file or {}).get(m) for m in self.metadata}, **more}
+
+
+class Lasting:
+    """Points of one series, each with the start of the unbroken run of holding points it belongs to."""
+
+    state = "since long, last long"
+
+    def __init__(self, for_s: int, max_gap_s: int = 300):
+        self.lasts, self.max_gap = for_s * SECOND, max_gap_s * SECOND
+
+    def order(self, row: dict):
+        return row["us"], row["holds"]
+
+    def wake_at(self, state: dict) -> int | None:
+        return state["last"] + self.max_gap
+
+    def settle(self, state: dict, us: int) -> list[dict]:
+        """A run ends when no point came for the longest gap."""
+        if state and us > self.wake_at(state):
+            state.clear()
+        return []
+
+    def step(self, state: dict, row: dict) -> list[dict]:
+        us = row["us"]
+        self.settle(state, us)
+        if row["holds"]:
+            state.update(since=state.get("since", us), last=us)
+        else:
+            state.clear()
+        since = state.get("since")
+        return [{"us": us, "since": since, "firing": since is not None and us - since >= self.lasts}]

@@ -151,3 +151,48 @@ def test_replays_of_any_age_are_left_out(spark, tmp_path, bits):
     write(spark.createDataFrame([], schema), 2)
     write(spark.createDataFrame(first + later, schema), 3)
     assert content() == once
+
+
+def test_lasting_points_and_missing_data_as_streams_equal_the_batch_forms(spark, tmp_path):
+    import random
+    from datetime import datetime, timedelta
+
+    from eventmart.streaming import processors
+    rng, begin = random.Random(9), datetime(2024, 1, 1)
+    at = lambda s: begin + timedelta(seconds=s)
+    schema = "series string, ts timestamp, value double"
+    points = [(f"s{k % 4}", at(t), rng.choice([0.0, 1.0, 1.0, 1.0, None])) for k, t in enumerate(rng.sample(range(7200), 900)) if not 2000 < t < 2600]
+    points += [(None, at(t), 1.0) for t in range(0, 600, 50)]
+    series = spark.createDataFrame(points, schema)
+    expected = metrics.sustained(series, F.col("value") > 0, 120, ["series"], 90).select("series", "ts", "since", "firing")
+
+    def stream(name, rows, end, parts=4):
+        shuffled = list(rows)
+        rng.shuffle(shuffled)
+        shuffled.sort(key=lambda r: next(x for x in r if isinstance(x, datetime)))
+        for part in range(parts):  # files in order of time, their rows in any
+            whole = spark.createDataFrame(shuffled[part * len(rows) // parts:(part + 1) * len(rows) // parts], end[1])
+            whole.orderBy(F.rand(3)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        spark.createDataFrame([end[0]], end[1]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        return spark.readStream.schema(end[1]).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+
+    def caught_up(rows, name):
+        sinks.start(rows, sinks.append_sink(f"{tmp_path}/{name}"), f"{tmp_path}/{name}-checkpoint").awaitTermination()
+        return spark.read.schema(rows.schema).parquet(f"{tmp_path}/{name}").select(*rows.columns)
+
+    lasting = processors.sustained_stream(stream("points", points, (("end", at(90_000), 0.0), schema)), F.col("value") > 0, 120, ["series"], 90, "2 hours")
+    assert sorted(map(str, caught_up(lasting, "lasting").collect())) == sorted(map(str, expected.collect()))
+
+    labelled = "metric string, ts timestamp, labels map<string,string>, value double"
+    samples = [("up", at(t), {"job": "a"}, 1.0) for t in [0, 1, 61, 600, 1233, 1800, 1800, 3599]] + [("up", at(900), {"job": "b"}, 1.0), ("other", at(910), {"job": "a"}, 1.0)]
+    beats = [(at(60 * k),) for k in range(80)]
+    gone = metrics.absent(spark.createDataFrame(samples, labelled), "up", spark.createDataFrame(beats, "ts timestamp"), matchers={"job": "a"})
+    looked = stream("beats", beats + beats[:4], ((at(90_000),), "ts timestamp"), 2)
+    seen = stream("samples", samples, (("other", at(3600), {"job": "a"}, 1.0), labelled), 2)
+    found = metrics.absent_stream(seen, "up", looked, matchers={"job": "a"}, delay="2 hours")
+    assert sorted(map(str, caught_up(found, "gone").collect())) == sorted(map(str, gone.collect()))
+    assert 40 < gone.count() < 80
+    never = caught_up(metrics.absent_stream(seen, "down", looked, delay="2 hours"), "never")  # no sample at all
+    assert sorted(r.ts for r in never.collect()) == [t for t, in beats]
+    with pytest.raises(ValueError):
+        metrics.absent_stream(series, "up", series, lookback_s=90)
