@@ -210,7 +210,11 @@ def near_duplicates(documents: DataFrame, n: int = 3, percent: int = 85) -> Data
 
 
 def without_copies(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of near-duplicates, with all columns. Of rows that repeat a doc_id, one stays."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id, with all columns.
+
+    Documents without words or with a null text are near nothing and stay, as do rows with a null doc_id. Of rows that repeat a
+    doc_id, one stays. An empty table gives an empty one.
+    """
     gone = near_duplicates(documents, n, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     left = documents.join(gone, documents["doc_id"].cast("long") == gone["_gone"], "left_anti")
     repeated = left.where("doc_id is not null").dropDuplicates(["doc_id"])

@@ -246,6 +246,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, limit: float = 0.3) -> DataFrame:
-    """The documents that are not rejected, with all columns. Of rows that share a doc_id, all go if any is rejected."""
+    """The documents that are not rejected (score at least `limit`), with all columns, whatever their names.
+
+    Null and empty texts are scored like any other. Of rows that share a doc_id, also a null one, all go if any is rejected;
+    repeated rows stay or go together. A score equal to the limit stays. An empty table gives an empty one.
+    """
     bad = quality_scores(documents, labels, max_rows, limit).where("predicted = 0").select(F.col("doc_id").alias("_bad")).distinct()
     return documents.join(bad, documents["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")

@@ -91,3 +91,18 @@ def test_quotation_is_told_from_abuse():
         at, _, quoted = toxicity.find(part, machine)
         found |= {int(part.text[k]): bool(q) for k, q in zip(at, quoted)}
     assert found == {0: False, 1: True, 2: True, 3: True, 4: False, 5: False}
+
+
+def test_rejected_documents_go_and_all_others_stay_as_they_are(spark):
+    docs, labels = (spark.read.parquet(f"{TABLES}/{t}.parquet") for t in ("documents", "labels"))
+    odd = spark.createDataFrame([(None, "no id"), (-1, None), (-2, ""), (-3, "a"), (-3, "a")], "doc_id long, text string")
+    wide = docs.select("doc_id", "text").unionByName(odd).selectExpr("*", "'x' AS _bad", "2 AS score", "'p' AS predicted")
+    judged = {}
+    for r in quality.quality_scores(wide, labels).collect():
+        judged[r.doc_id] = judged.get(r.doc_id, True) and r.predicted == 1
+    kept = quality.keep_good(wide, labels)
+    assert kept.columns == wide.columns
+    rows = lambda df: sorted((str(r.doc_id), str(r.text)) for r in df.collect())
+    assert rows(kept) == [x for x in rows(wide) if judged[None if x[0] == "None" else int(x[0])]]
+    assert 0 < kept.count() < wide.count()
+    assert quality.keep_good(wide.limit(0), labels).count() == 0
