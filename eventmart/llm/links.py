@@ -1,8 +1,8 @@
-"""Links between members of the same buckets, and the components they make. Built-in functions only.
+"""Links between members of the same buckets, and the components they make.
 
 A bucket may hold any number of members, so no list of all its pairs is ever made:
 
-* `star_pairs` pairs every member with the smallest of its bucket.
+* `star_pairs` pairs every member with the smallest of its bucket, and in large ones with a few others.
 * Once those pairs are confirmed and joined into components, most buckets lie inside one component and need nothing more.
 * Small buckets, if asked for, give all their pairs at first: a bounded number each.
 * The members of the others are joined by `prefix_pairs`, which finds every pair of similar sets in different components by
@@ -21,15 +21,17 @@ from eventmart.llm.tables import ROWS_PER_TASK, settle
 
 
 def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], elements: Callable[[DataFrame], DataFrame],
-           percent: int, rows: int, known: DataFrame | None = None, met: bool = False, small: int = 0) -> DataFrame:
+           percent: int, rows: int, known: DataFrame | None = None, met: bool = False, small: int = 0,
+           centres: int = 1) -> DataFrame:
     """node, component (the smallest node reachable) of the nodes that have links.
 
     members: bucket long, node long. confirm gets pairs a < b and returns those that are links. elements gets nodes and
     returns the elements of their sets: node, element. rows: about how many nodes there are. known: further links a, b.
     met: members holds buckets of several nodes only. small: buckets of so many members give their pairs.
+    centres: so many members of a larger bucket are paired with all others at once.
     """
     members = members if met else settle(meeting(members), rows)
-    pairs = star_pairs(members)
+    pairs = star_pairs(members, centres, small)
     edges = confirm(pairs.union(small_pairs(members, small)).distinct() if small else pairs)
     component = components(edges if known is None else edges.union(known), rows)
     open_nodes = settle(undecided(members, component, max(2, small)), rows)
@@ -47,11 +49,22 @@ def meeting(members: DataFrame) -> DataFrame:
     return members.join(buckets, "bucket").select("bucket", "node")
 
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of the smallest node of a bucket and each other one."""
-    buckets = members.groupBy("bucket").agg(F.min("node").alias("a"))
-    return (members.join(buckets, "bucket").where("node > a")
-            .select("a", F.col("node").alias("b")).distinct())
+def star_pairs(members: DataFrame, centres: int = 1, small: int = 0) -> DataFrame:
+    """Distinct pairs a < b of the smallest node of a bucket and each other one.
+
+    Of a bucket with more than `small` members, so many centres are paired with the others, in an order of nodes for each.
+    """
+    if centres == 1:
+        buckets = members.groupBy("bucket").agg(F.min("node").alias("a"))
+        return (members.join(buckets, "bucket").where("node > a")
+                .select("a", F.col("node").alias("b")).distinct())
+    order = random.Random(20240116)
+    masks = [0] + [order.getrandbits(62) for _ in range(centres - 1)]
+    chosen = [F.min(F.col("node").bitwiseXOR(F.lit(m).cast("long"))).bitwiseXOR(F.lit(m).cast("long")) for m in masks]
+    of_all = F.when(F.count(F.lit(1)) > small, F.array(*chosen)).otherwise(F.array(chosen[0]))
+    buckets = members.groupBy("bucket").agg(of_all.alias("centres"))
+    return (members.join(buckets, "bucket").select("node", F.explode("centres").alias("centre")).where("node <> centre")
+            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
 
 
 def small_pairs(members: DataFrame, small: int) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from eventmart.llm import decontaminate, lines, links, neardup
+from eventmart.llm import shingles as character
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
@@ -149,6 +150,32 @@ def test_line_classes_equal_brute_force(spark):
     assert all(len(k) == 1 for k in kept.values())
 
 
+@pytest.mark.parametrize("size", [None, 40])
+def test_shingles_equal_brute_force(monkeypatch, size):
+    if size:
+        monkeypatch.setattr(character, "SLICE_BYTES", size)
+        monkeypatch.setattr(character, "PAIR_BYTES", 3 * size)
+    rng = random.Random(1)
+    texts = ["abc", "abcdefgh", "a" * 9, "漢字" * 5, "é漢a", "漢" * 8, "ab漢字cdefghé"]
+    texts += ["".join(rng.choice("ab漢é ") for _ in range(rng.randint(1, 40))) for _ in range(200)]
+    found = {}
+    for first, _, text, hashes in character.of_texts(pa.array(["", None, *texts]), lines.SHINGLE):
+        for t, h in zip(*character.distinct(text, hashes), strict=True):
+            found.setdefault(first + t, set()).add(int(h))
+    assert [len(found[i + 2]) for i in range(len(texts))] == [len(line_sets(x)) for x in texts] and len(found) == len(texts)
+    a, b = ([rng.choice(texts) for _ in range(5000)] for _ in range(2))
+    want = [100 * len(line_sets(x) & line_sets(y)) >= 30 * len(line_sets(x) | line_sets(y)) for x, y in zip(a, b, strict=True)]
+    assert character.similar(pa.array(a), pa.array(b), lines.SHINGLE, 30).tolist() == want
+    assert not len(character.similar(pa.array([], pa.string()), pa.array([], pa.string()), lines.SHINGLE, 30))
+
+
+def test_a_large_bucket_is_paired_with_a_few_centres(spark):
+    members = spark.createDataFrame([(1, n) for n in range(100)] + [(2, n) for n in (3, 7, 9)], "bucket long, node long")
+    pairs = {(r.a, r.b) for r in links.star_pairs(members, 4, 8).collect()}
+    assert {(0, n) for n in range(1, 100)} | {(3, 7), (3, 9)} <= pairs and len(pairs) <= 2 + 4 * 99
+    assert len({a for a, b in pairs} | {b for a, b in pairs}) == 100
+
+
 def test_similar_lines_of_all_lengths_share_a_band(spark):
     rng = random.Random(12)
     text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n - 1)) + "e"
