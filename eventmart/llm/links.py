@@ -20,15 +20,16 @@ from pyspark.sql import functions as F
 from eventmart.llm.tables import ROWS_PER_TASK, settle
 
 
-def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], elements: Callable[[DataFrame], DataFrame],
+def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], elements: Callable[[DataFrame], DataFrame] | None,
            percent: int, rows: int, known: DataFrame | None = None, met: bool = False, small: int = 0,
-           centres: int = 1) -> DataFrame:
+           centres: int = 1, prefixes: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """node, component (the smallest node reachable) of the nodes that have links.
 
     members: bucket long, node long. confirm gets pairs a < b and returns those that are links. elements gets nodes and
     returns the elements of their sets: node, element. rows: about how many nodes there are. known: further links a, b.
     met: members holds buckets of several nodes only. small: buckets of so many members give their pairs.
-    centres: so many members of a larger bucket are paired with all others at once.
+    centres: so many members of a larger bucket are paired with all others at once. prefixes: instead of elements, gets nodes and
+    returns the first elements of their sets: node, element, pos, size (see `prefix_pairs`).
     """
     members = members if met else settle(meeting(members), rows)
     pairs = star_pairs(members, centres, small)
@@ -36,7 +37,9 @@ def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], elemen
     component = components(edges if known is None else edges.union(known), rows)
     open_nodes = settle(undecided(members, component, max(2, small)), rows)
     if not open_nodes.isEmpty():
-        new = confirm(prefix_pairs(open_nodes, elements(open_nodes.select("node")), percent, rows))
+        asked = open_nodes.select("node")
+        new = confirm(prefix_pairs(open_nodes, elements(asked), percent, rows) if prefixes is None
+                      else pairs_by_prefix(settle(prefixes(asked).join(open_nodes, "node"), 8 * rows), percent))
         if not new.isEmpty():
             component = components(component.select(F.col("component").alias("a"), F.col("node").alias("b")).union(new), rows)
     return component
@@ -105,7 +108,14 @@ def prefix_pairs(nodes: DataFrame, elements: DataFrame, percent: int, n_nodes: i
               .withColumn("size", F.count(F.lit(1)).over(whole))
               .where((F.col("pos") * 100 <= F.col("size") * (100 - percent)) & (F.col("n_nodes") > 1))
               .select("element", "node", "component", "pos", "size"))
-    placed = settle(placed, n_nodes and 8 * n_nodes)
+    return pairs_by_prefix(settle(placed, n_nodes and 8 * n_nodes), percent)
+
+
+def pairs_by_prefix(placed: DataFrame, percent: int) -> DataFrame:
+    """`prefix_pairs` of the first elements of each set: element, node, component, pos (from 0), size.
+
+    Elements may be in any order that is the same for all sets; the rarer the first ones are, the fewer pairs there are.
+    """
     left = placed.select("element", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("pos").alias("pa"), F.col("size").alias("na"))
     right = placed.select("element", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("pos").alias("pb"), F.col("size").alias("nb"))
     still = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventmart.llm import decontaminate, lines, links, neardup
@@ -169,6 +170,27 @@ def test_shingles_equal_brute_force(monkeypatch, size):
     assert not len(character.similar(pa.array([], pa.string()), pa.array([], pa.string()), lines.SHINGLE, 30))
 
 
+def test_links_in_large_buckets_equal_brute_force(spark):
+    """Few centres see all of a large group whose members differ: what they leave apart is found by rare shingles."""
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefghijklmnop ") for _ in range(200)).strip()
+    texts = set()
+    while len(texts) < 60:
+        x = list(base)
+        for at in rng.sample(range(len(x)), rng.choice([1, 2, 2])):
+            x[at] = rng.choice("XYZ")
+        texts.add("".join(x).strip())
+    texts = sorted(texts)
+    sets = {x: line_sets(x) for x in texts}
+    want = reach(texts, [(a, b) for a in texts for b in texts if a < b and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {texts[r.doc_id]: r.component for r in lines.line_classes(docs, 90).collect()}
+    groups = {}
+    for x in texts:
+        groups.setdefault(got[x], set()).add(want[x])
+    assert len(set(want.values())) == len(groups) and all(len(g) == 1 for g in groups.values())
+
+
 def test_a_large_bucket_is_paired_with_a_few_centres(spark):
     members = spark.createDataFrame([(1, n) for n in range(100)] + [(2, n) for n in (3, 7, 9)], "bucket long, node long")
     pairs = {(r.a, r.b) for r in links.star_pairs(members, 4, 8).collect()}
@@ -360,7 +382,6 @@ def test_signs_and_scripts_without_blanks(spark):
 
 @pytest.mark.parametrize("n", [1, 3])
 def test_run_hashes_agree_with_the_words(n):
-    import pyarrow as pa
 
     from eventmart.llm import words
     texts = ["a b c a b c", None, "", "a b c", "x" * 5000 + " a b c"]
