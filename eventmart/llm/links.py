@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.tables import ROWS_PER_TASK, settle
 
+BROADCAST_ROWS = 50_000  # edges of a round up to which Spark may broadcast its joins; several rounds' ones are held at once
+
 
 def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], elements: Callable[[DataFrame], DataFrame] | None,
            percent: int, rows: int, known: DataFrame | None = None, met: bool = False, small: int = 0,
@@ -145,13 +147,17 @@ def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
         parent = settle(ends.groupBy("x").agg(F.min(rank("y")).alias("low"))
                         .select("x", F.least(F.col("low"), rank("x")).bitwiseXOR(F.lit(mask).cast("long")).alias("p"))
                         .where("x <> p"), n_left)
-        joined.append(parent)
+        if n_left > BROADCAST_ROWS:
+            parent = parent.hint("merge")
+        joined.append((parent, n_left))
         left = settle(_follow(_follow(left, "a", parent), "b", parent)
                       .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), n_left)
         n_left = left.count()
     found = nodes.withColumn("root", F.col("node"))
-    for parent in joined:
+    for parent, n_edges in joined:
         found = _follow(found, "root", parent)
+        if n_edges > BROADCAST_ROWS:
+            found = settle(found, 2 * n)
     found = settle(found, 2 * n)
     smallest = found.groupBy("root").agg(F.min("node").alias("component"))
     return settle(found.join(smallest, "root").select("node", "component"), 2 * n)

@@ -95,7 +95,9 @@ def test_estimate_is_near_the_similarity():
         assert abs(neardup.estimate(neardup.registers(a), neardup.registers(b), size, size) - true) < 0.2
 
 
-def test_components_of_a_long_chain_and_a_star(spark):
+@pytest.mark.parametrize("broadcast_rows", [links.BROADCAST_ROWS, 20])
+def test_components_of_a_long_chain_and_a_star(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(links, "BROADCAST_ROWS", broadcast_rows)
     edges = [(k, k + 1) for k in range(100, 180)] + [(5, k) for k in range(6, 30)] + [(-4, 2), (2, 2)]
     got = {r.node: r.component for r in links.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = reach({x for e in edges for x in e}, edges)
