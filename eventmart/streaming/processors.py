@@ -1,17 +1,18 @@
 """The stateful rules as streams. Rows wait in state until the watermark has passed them, then run in time order.
 
 Rows of one key may arrive in any order inside the watermark's delay and from different micro-batches; results depend
-on their times only, so a stream gives what the closed batch forms give on the same rows. Every key with state has a
-timer, for the next waiting row, deadline or orphan, so no state stays for good.
+on their times only, so a stream gives what the closed batch forms give on the same rows. Every bucket of keys with
+something waiting has a timer, for the next row, deadline or orphan, so no state of theirs stays for good.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, GroupedData, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -32,6 +33,9 @@ for _module in (rules, sys.modules[__name__]):
 
 
 MINUTE_US = 60_000_000
+BUCKETS = 4096  # groups of keys; fixed for the life of a checkpoint
+SHORTER, PART = 16, 4096  # how much shorter nearer entries of what waits are, and the most items of one part
+ROW, WAKE, FORGET = range(3)  # what an item asks for: a row to run, a deadline to look at, a request to forget
 
 
 def _of(name: str, kind: T.DataType) -> T.StructType:
@@ -39,111 +43,164 @@ def _of(name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind)])
 
 
+class Waiting:
+    """What a bucket of keys has to do later: items, each a tuple that starts with its time, in entries of a state map.
+
+    The nearer the time an entry spans is to the present, the shorter it is: one unit up to 16 units ahead, 16 units up to 256
+    ahead, and so on. When the first item of an entry is due, the entry is read, and its other items go to shorter ones, so an
+    item moves a few times at most and a wake-up does not touch what waits for much later. An entry has parts of a bounded size.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        place = T.StructType([T.StructField("start", T.LongType()), T.StructField("width", T.LongType()), T.StructField("part", T.LongType())])
+        self.handle = handle
+        self.entries = handle.getMapState("waiting", place, _of("items", T.BinaryType()))
+        self.places = handle.getValueState("places", _of("places", T.BinaryType()))
+
+    def open(self) -> None:
+        """Reads, for the key at hand, where its items are: the first time, the parts and the size of the last part of each entry."""
+        saved = self.places.get()
+        self.of, self.wake = ({}, None) if saved is None else pickle.loads(bytes(saved[0]))
+
+    def add(self, items: list[tuple], now: int) -> None:
+        dealt: dict[tuple, list] = {}
+        for item in items:
+            width, ahead = 1, item[0] - now
+            while ahead >= width * SHORTER:
+                width *= SHORTER
+            dealt.setdefault((item[0] // width * width, width), []).append(item)
+        for place, rows in dealt.items():
+            first, parts, last = self.of.get(place, (rows[0][0], 0, 0))
+            first = min(first, *(r[0] for r in rows)) if len(rows) > 1 else min(first, rows[0][0])
+            if 0 < last < PART:
+                parts -= 1
+                rows = self._read(place, parts) + rows
+            for i in range(0, len(rows), PART):
+                self.entries.updateValue((*place, parts), (pickle.dumps(rows[i:i + PART]),))
+                parts, last = parts + 1, len(rows[i:i + PART])
+            self.of[place] = first, parts, last
+
+    def _read(self, place: tuple, part: int) -> list[tuple]:
+        return pickle.loads(bytes(self.entries.getValue((*place, part))[0]))
+
+    def take(self, now: int) -> list[tuple]:
+        """The items before `now`, which go."""
+        due, later = [], []
+        for place in [p for p, (first, *_) in self.of.items() if first < now]:
+            for part in range(self.of.pop(place)[1]):
+                for item in self._read(place, part):
+                    (due if item[0] < now else later).append(item)
+                self.entries.removeKey((*place, part))
+        self.add(later, now)
+        return due
+
+    def close(self, wake_ms: Callable[[int], int], fired_ms: int | None = None) -> None:
+        """Writes where the items are, and sets a timer for the first of them. `wake_ms`: when a time is due."""
+        if self.wake is not None and self.wake == fired_ms:
+            self.wake = None
+        first = min((f for f, *_ in self.of.values()), default=None)
+        if first is None:
+            self.places.clear()
+            return
+        wake = wake_ms(first)
+        if self.wake is None or wake < self.wake:
+            self.handle.registerTimer(wake)
+            self.wake = wake
+        self.places.update((pickle.dumps((self.of, self.wake)),))
+
+
 class OrderedProcessor(StatefulProcessor):
-    """Runs a rule over one key's rows in time order, once the watermark makes the order final.
+    """Runs a rule over each key's rows in time order, once the watermark makes the order final.
 
-    Waiting rows are kept by minute, each minute's in an entry of its own. A minute runs as a whole when the watermark has
-    passed it, so a timer reads what is due and leaves what waits, however much that is. Deadlines are looked at up to
-    the last minute that has ended, since rows of a minute that has not may still come before them.
+    A bucket of keys is one group, so that what a group costs is paid once for many keys. A minute runs as a whole when the
+    watermark has passed it, and a timer reads what is due and leaves what waits for later (`Waiting`). Each key has its
+    own state, of which only those of keys with something due are read. Deadlines are looked at up to the last minute that
+    has ended, since rows of a minute that has not may still come before them.
 
     A rule with `once` (columns that name a request) handles each request once: what it has answered is remembered for
-    `remember_us` of event time, by minute too, and a replay within that time gives nothing.
+    `remember_us` of event time, and a replay within that time gives nothing.
     """
 
     def __init__(self, rule, row_schema: T.StructType, output: list[str]):
-        self.rule, self.row_schema, self.output = rule, row_schema, output
+        self.rule, self.output = rule, output
+        self.names = [n for n in row_schema.names if n != "key"]
         self.state_schema = T.StructType.fromDDL(rule.state)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        minute = _of("minute", T.LongType())
-        self.waiting = handle.getMapState("waiting", minute, _of("rows", T.ArrayType(self.row_schema)))
-        self.minutes = handle.getValueState("minutes", _of("minutes", T.ArrayType(T.LongType())))
-        self.state = handle.getValueState("state", self.state_schema)
+        self.waiting = Waiting(handle)
+        self.states = handle.getMapState("states", _of("key", T.StringType()), self.state_schema)
         self.once = getattr(self.rule, "once", ())
         if self.once:
-            self.answered = handle.getMapState("answered", _of("request", T.StringType()), _of("us", T.LongType()))
-            self.forget = handle.getMapState("forget", minute, _of("requests", T.ArrayType(T.StringType())))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        names = self.row_schema.names
-        us = names.index("us")
-        new: dict[int, list[tuple]] = {}
-        for row in rows:
-            values = tuple(row[n] for n in names)
-            new.setdefault(values[us] // MINUTE_US, []).append(values)
-        minutes = set(self._minutes())
-        for minute, values in new.items():
-            held = self._held(minute) if minute in minutes else []
-            self.waiting.updateValue((minute,), (held + values,))
-            if minute not in minutes:
-                self._wake_after(minute)
-        self._keep_minutes(minutes | set(new))
-        return iter(())
-
-    def _minutes(self) -> list[int]:
-        return list(self.minutes.get()[0]) if self.minutes.exists() else []
+            request = T.StructType([T.StructField("key", T.StringType()), T.StructField("request", T.StringType())])
+            self.answered = handle.getMapState("answered", request, _of("us", T.LongType()))
 
-    def _keep_minutes(self, minutes) -> None:
-        if minutes:
-            self.minutes.update((sorted(minutes),))
-        else:
-            self.minutes.clear()
+    @staticmethod
+    def _ended(timerValues) -> int:
+        """The first minute that has not."""
+        return timerValues.getCurrentWatermarkInMs() * 1000 // MINUTE_US
 
-    def _held(self, minute: int) -> list[tuple]:
-        return [tuple(r) for r in self.waiting.getValue((minute,))[0]]
+    @staticmethod
+    def _after(minute: int) -> int:
+        return (minute + 1) * MINUTE_US // 1000
 
-    def _wake_after(self, minute: int) -> None:
-        self.handle.registerTimer((minute + 1) * MINUTE_US // 1000)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        items = [(row["us"] // MINUTE_US, ROW, row["key"], tuple(row[n] for n in self.names)) for row in rows]
+        self.waiting.open()
+        self.waiting.add(items, self._ended(timerValues))
+        self.waiting.close(self._after)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        names, rule = self.row_schema.names, self.rule
-        ended = timerValues.getCurrentWatermarkInMs() * 1000 // MINUTE_US  # the first minute that has not
-        minutes = self._minutes()
-        due = [m for m in minutes if m < ended]
-        saved = self.state.get() if self.state.exists() else None
-        fields = self.state_schema.names
+        ended = self._ended(timerValues)
+        self.waiting.open()
+        rows: dict[str, list] = {}
+        forgotten, later, out = [], [], []
+        for _, kind, of, what in self.waiting.take(ended):
+            if kind == FORGET:
+                forgotten.append((of, what))
+            else:
+                rows.setdefault(of, []).extend([what] if kind == ROW else [])
+        for of, values in rows.items():
+            for r in self._run(of, values, ended, later):
+                out.append(Row(**{n: (of if n == "key" else r[n]) for n in self.output}))
+        for request in forgotten:
+            self.answered.removeKey(request)
+        self.waiting.add(later, ended)
+        self.waiting.close(self._after, expiredTimerInfo.getExpiryTimeInMs())
+        return iter(out)
+
+    def _run(self, key: str, values: list[tuple], ended: int, later: list[tuple]) -> list[dict]:
+        """One key's rows that are due, and its deadlines."""
+        rule, fields = self.rule, self.state_schema.names
+        saved = self.states.getValue((key,))
         state = {} if saved is None else {n: saved[i] for i, n in enumerate(fields) if saved[i] is not None}
-        out = []
-        for minute in due:
-            for row in sorted((dict(zip(names, r)) for r in self._held(minute)), key=rule.order):
-                if not self.once or self._first_time(row, ended):
-                    out += rule.step(state, row)
-            self.waiting.removeKey((minute,))
-        if due:
-            self._keep_minutes(minutes[len(due):])
+        out, requests = [], set()
+        for row in sorted((dict(zip(self.names, v)) for v in values), key=rule.order):
+            if not self.once or self._first_time(key, row, ended, requests, later):
+                out += rule.step(state, row)
         out += rule.settle(state, ended * MINUTE_US)
         if state:
-            self.state.update(tuple(state.get(n) for n in fields))
+            self.states.updateValue((key,), tuple(state.get(n) for n in fields))
             wake = rule.wake_at(state)
             if wake is not None:
-                self._wake_after(wake // MINUTE_US)
-        else:
-            self.state.clear()
-        if self.once:
-            self._forget_until(expiredTimerInfo.getExpiryTimeInMs() * 1000 // MINUTE_US - 1)
-        return iter([Row(**{n: (key[0] if n == "key" else r[n]) for n in self.output}) for r in out])
+                later.append((wake // MINUTE_US, WAKE, key, None))
+        elif saved is not None:
+            self.states.removeKey((key,))
+        return out
 
-    def _first_time(self, row: dict, ended: int) -> bool:
+    def _first_time(self, key: str, row: dict, ended: int, requests: set[str], later: list[tuple]) -> bool:
         if any(row[c] is None for c in self.once):
             return True
         request = "/".join(str(row[c]) for c in self.once)
-        if self.answered.containsKey((request,)):
+        if request in requests:
+            return False
+        requests.add(request)
+        if self.answered.containsKey((key, request)):
             return False
-        self.answered.updateValue((request,), (row["us"],))
-        minute = ended + self.rule.remember_us // MINUTE_US
-        known = list(self.forget.getValue((minute,))[0]) if self.forget.containsKey((minute,)) else []
-        self.forget.updateValue((minute,), (known + [request],))
-        if not known:
-            self._wake_after(minute)
+        self.answered.updateValue((key, request), (row["us"],))
+        later.append((ended + self.rule.remember_us // MINUTE_US, FORGET, key, request))
         return True
 
-    def _forget_until(self, minute: int) -> None:
-        if self.forget.containsKey((minute,)):
-            for request in self.forget.getValue((minute,))[0]:
-                self.answered.removeKey((request,))
-            self.forget.removeKey((minute,))
-
     def close(self) -> None:
         pass
 
@@ -158,9 +215,12 @@ def _run(rows: DataFrame, rule, output: str, delay: str) -> DataFrame:
     rows = rows.filter("us is not null and key is not null")
     timed = rows.withColumn("ts", F.timestamp_micros("us")).withWatermark("ts", delay).drop("ts")
     out = T.StructType.fromDDL(output)
-    row_schema = T.StructType([f for f in rows.schema if f.name != "key"])
-    return timed.groupBy("key").transformWithState(
-        OrderedProcessor(rule, row_schema, out.names), out, outputMode="append", timeMode="eventtime")
+    return _bucketed(timed, "key").transformWithState(
+        OrderedProcessor(rule, rows.schema, out.names), out, outputMode="append", timeMode="eventtime")
+
+
+def _bucketed(rows: DataFrame, key: str) -> GroupedData:
+    return rows.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")).groupBy("_bucket")
 
 
 def expired_uploads_stream(signed: DataFrame, received: DataFrame, delay: str = DELAY, **limits) -> DataFrame:
