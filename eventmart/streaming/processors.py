@@ -304,30 +304,45 @@ def sustained_stream(series: DataFrame, predicate: Column, for_s: int, keys: lis
 
 
 class FirstAttempts(StatefulProcessor):
-    """Lets a row of a key through if its count is above all counts that came before."""
+    """Lets a row of a chain through if its count is above all counts that came before. A bucket of chains is one group."""
 
     def __init__(self, names: list[str], count: str, ttl_ms: int):
         self.names, self.count, self.ttl_ms = names, count, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("count", T.IntegerType()), T.StructField("until", T.LongType())]))
+        self.waiting = Waiting(handle)
+        seen = T.StructType([T.StructField("count", T.IntegerType()), T.StructField("until", T.LongType())])
+        self.seen = handle.getMapState("seen", _of("chain", T.StringType()), seen)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen, until = self.seen.get() if self.seen.exists() else (None, 0)
-        out = []
-        for row in sorted(rows, key=lambda r: r[self.count]):
-            if seen is None or row[self.count] > seen:
-                seen, until = row[self.count], max(until, row["_us"] // 1000 + self.ttl_ms)
-                out.append(Row(**{n: row[n] for n in self.names}))
-        if out:
-            self.seen.update((seen, until))
-            self.handle.registerTimer(until)
+        chains: dict[str, list[Row]] = {}
+        for row in rows:
+            chains.setdefault(row["_chain"], []).append(row)
+        out, later = [], []
+        for chain, attempts in chains.items():
+            seen, until = self.seen.getValue((chain,)) or (None, 0)
+            before = seen
+            for row in sorted(attempts, key=lambda r: r[self.count]):
+                if seen is None or row[self.count] > seen:
+                    seen, until = row[self.count], max(until, row["_us"] // 1000 + self.ttl_ms)
+                    out.append(Row(**{n: row[n] for n in self.names}))
+            if seen != before:
+                self.seen.updateValue((chain,), (seen, until))
+                later.append((until, chain))
+        if later:
+            self.waiting.open()
+            self.waiting.add(later, timerValues.getCurrentWatermarkInMs() + 1)
+            self.waiting.close(lambda until: until)
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.seen.exists() and self.seen.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
-            self.seen.clear()
+        now = timerValues.getCurrentWatermarkInMs() + 1
+        self.waiting.open()
+        for chain in {chain for _, chain in self.waiting.take(now)}:
+            seen = self.seen.getValue((chain,))
+            if seen is not None and seen[1] < now:
+                self.seen.removeKey((chain,))
+        self.waiting.close(lambda until: until, expiredTimerInfo.getExpiryTimeInMs())
         return iter(())
 
     def close(self) -> None:
@@ -345,5 +360,5 @@ def first_attempts(rows: DataFrame, keys: list[str], time: str, count: str = "re
     out = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
     timed = rows.withColumns({"_chain": F.to_json(F.struct(*keys)), "_us": F.coalesce(micros(time), F.lit(0).cast("bigint"))})
     timed = timed.withColumn("_ts", F.timestamp_micros("_us")).withWatermark("_ts", DELAY).drop("_ts")
-    return timed.groupBy("_chain").transformWithState(
+    return _bucketed(timed, "_chain").transformWithState(
         FirstAttempts(rows.columns, count, ttl_s * 1000), out, outputMode="append", timeMode="eventtime")

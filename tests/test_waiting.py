@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import types as T
 
 from eventmart.streaming import processors
-from eventmart.streaming.processors import OrderedProcessor, Waiting
+from eventmart.streaming.processors import FirstAttempts, OrderedProcessor, Waiting
 from eventmart.streaming.rules import CreditCheck, FileStore
 
 MINUTE = processors.MINUTE_US
@@ -90,6 +90,21 @@ def test_calls_to_state_follow_the_keys_and_not_the_minutes(spark):
     assert handle.calls < 200 and not handle.timers and not handle.maps["waiting"]
 
 
+def test_a_chain_costs_a_few_calls_and_is_forgotten():
+    handle, processor = Handle(), FirstAttempts(["id", "n"], "n", 1000)
+    processor.init(handle)
+    rows = [Row(id=i, n=n, _chain=f"c{i}", _us=i * 1000) for n in (2, 0, 1, 1) for i in range(500)]
+    out = list(processor.handleInputRows((1,), iter(rows), at(0)))
+    assert sorted((r.id, r.n) for r in out) == [(i, n) for i in range(500) for n in (0, 1, 2)]
+    assert handle.calls < 2 * 500 + 10
+    fire(processor, handle, (1,), 1249)
+    assert len(handle.maps["seen"]) == 250
+    out = list(processor.handleInputRows((1,), iter(rows), at(1249)))
+    assert {r.id for r in out} == set(range(250))
+    fire(processor, handle, (1,), 5000)
+    assert not handle.maps["seen"] and not handle.timers and not handle.maps["waiting"]
+
+
 def test_items_come_when_they_are_due_and_move_a_few_times(monkeypatch):
     monkeypatch.setattr(processors, "PART", 50)
     draw, handle, now = random.Random(3), Handle(), -5
