@@ -196,3 +196,13 @@ def test_lasting_points_and_missing_data_as_streams_equal_the_batch_forms(spark,
     assert sorted(r.ts for r in never.collect()) == [t for t, in beats]
     with pytest.raises(ValueError):
         metrics.absent_stream(series, "up", series, lookback_s=90)
+
+
+@pytest.mark.parametrize("name, batches", [("stream_dedup_replays", 4), ("stream_history_top20", 3), ("stream_credit_balances", 3)])
+def test_parts_are_landed_by_several_tasks(spark, folder, tmp_path, monkeypatch, name, batches):
+    """Each part is a batch, and no task writes or reads all of it."""
+    from eventmart.plans import queries
+    monkeypatch.setattr(queries, "shared_dir", lambda spark: str(tmp_path))
+    assert queries.QUERIES[name](spark, folder).count() > 0
+    assert len(list(tmp_path.glob("in/*.parquet"))) >= 2 * batches
+    assert len(list(tmp_path.glob("checkpoint*/**/commits/[0-9]*"))) == batches
