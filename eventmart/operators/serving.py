@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,10 +164,12 @@ def match_outcomes_stream(requests: DataFrame, notifications: DataFrame, timeout
     """`match_outcomes` as a stream, in the same rows, for any arrival order within the watermark's delay.
 
     A request waits under each of its keys and accepted types in an outer join over the timeout's time range, then its best
-    answer is taken once the watermark has passed its time and the timeout. State is bounded by the delay and the timeout; what a
-    key joins is bounded by its rows within one timeout. The same request sent twice, with one time, has one row. Rows later than the
+    answer is taken once the watermark has passed its time and the timeout. State is bounded by the delay and the timeout. As in
+    the batch form keys are cut by time chunk, and an answer is copied into the chunk before its own when it is within the
+    timeout of it: a request is held against the answers of its key in one chunk, whatever a batch or the state holds of it. The same request sent twice, with one time, has one row. Rows later than the
     watermark are dropped. A request without a readable time has no place on the time line: it is a timeout as it arrives.
     """
+    grain_s = max(600, 4 * timeout_s)
     ids = F.from_json("payload", "request_id string, file_path string")
     times = {"_us": micros("request_time"), "asked": F.timestamp_micros(micros("request_time"))}
     typed = requests.select("request_id", "request_time", "file_path", "types").withColumns(times)
@@ -180,10 +185,12 @@ def match_outcomes_stream(requests: DataFrame, notifications: DataFrame, timeout
                .where("answer_us is not null").withColumn("answered", F.timestamp_micros("answer_us")).withWatermark("answered", delay)
                .select("event_type", "payload", "event_time", "answer_us", "answered", entries("_ids.request_id", "_ids.file_path"))
                .where("key is not null"))
+    waiting = scans.chunked(waiting, "_us", grain_s)
+    answers = scans.halo(answers, "answer_us", ahead_s=timeout_s, grain_s=grain_s).drop(scans.OWN)
     q, n = waiting.alias("q"), answers.alias("n")
-    same = [F.col(f"q.{c}") == F.col(f"n.{c}") for c in ("by", "key", "event_type")]
+    same = [F.col(f"q.{c}") == F.col(f"n.{c}") for c in ("by", "key", "event_type", scans.CHUNK)]
     in_time = F.col("n.answered").between(F.col("q.asked"), F.col("q.asked") + F.expr(f"interval {timeout_s} seconds"))
-    met = q.join(n, same[0] & same[1] & same[2] & in_time, "left").select(
+    met = q.join(n, reduce(and_, same) & in_time, "left").select(
         "q.request_id", "q.request_time", "q._us", "q.asked",
         F.when(F.col("n.answer_us").isNotNull(), F.struct("q.by", "n.answer_us", "n.event_type", "n.payload", "n.event_time")).alias("hit"))
     best = met.groupBy("request_id", "request_time", "_us", "asked").agg(F.min("hit").alias("best"))

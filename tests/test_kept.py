@@ -130,6 +130,27 @@ def test_outcomes_as_a_stream_equal_the_batch_form_in_any_order(spark, tmp_path)
     assert {r.matched_by for r in got} == {"request_id", "file_path", None}
 
 
+def test_a_request_of_a_hot_key_is_held_against_one_time_chunk(spark, tmp_path):
+    """Three hundred days of one path, with an answer each: the join's keys name the chunk, so that state of one key is cut by time."""
+    day = lambda k, s: f"2023-{1 + k // 28:02d}-{1 + k % 28:02d}T23:59:{s:02d}.000000Z"
+    asked, told = "request_id string, file_path string, types array<string>, request_time string", "event_type string, payload string, event_time string"
+    requests = [(f"r{k}", "/hot", ["done"], day(k, 50)) for k in range(300)]
+    answers = [("done", '{"file_path":"/hot"}', day(k, 55)) for k in range(300)]
+    answers = [(t, p, e if k % 2 else e.replace("T23:59:55", "T23:59:40")) for k, (t, p, e) in enumerate(answers)]  # even days: too early
+    sides = []
+    for name, rows, schema, last in [("q", requests, asked, ("end", None, [], "2024-02-01T00:00:00.000000Z")),
+                                     ("n", answers, told, ("end", "{}", "2024-02-01T00:00:00.000000Z"))]:
+        spark.createDataFrame([*rows, last], schema).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        sides.append(spark.readStream.schema(schema).parquet(f"{tmp_path}/{name}"))
+    stream = serving.match_outcomes_stream(*sides)
+    job = sinks.start(stream, sinks.append_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint")
+    job.awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").where("request_id <> 'end'").collect()
+    assert {r.request_id: r.outcome for r in got} == {f"r{k}": "done" if k % 2 else "timeout" for k in range(300)} and len(got) == 300
+    joins = [line for line in job._jsq.explainInternal(False).split("\n") if "StreamingSymmetricHashJoin" in line]
+    assert joins and all(line.split("],")[0].count("_chunk") == 1 and line.count("_chunk") >= 2 for line in joins)
+
+
 @pytest.mark.parametrize("bits", [8, dedup.BITS])
 def test_replays_of_any_age_are_left_out(spark, tmp_path, bits):
     schema, target = "key string, number int, time string", str(tmp_path / "t")
