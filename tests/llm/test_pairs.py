@@ -104,6 +104,13 @@ def test_components_of_a_long_chain_and_a_star(spark, monkeypatch, broadcast_row
     assert got == want
 
 
+def test_guessed_sizes_do_not_grow_with_the_rounds(spark):
+    edges = spark.range(400).selectExpr("id a", "id + 1 b")
+    component = links.components(edges)
+    size = str(component._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    assert component.count() == 401 and len(size) < 7
+
+
 def test_prefix_pairs_lose_no_link(spark):
     rng = random.Random(5)
     sets = {}
