@@ -179,6 +179,58 @@ def test_shingles_equal_brute_force(monkeypatch, size):
     assert not len(character.similar(pa.array([], pa.string()), pa.array([], pa.string()), lines.SHINGLE, 30))
 
 
+@pytest.mark.parametrize("size", [None, 40])
+def test_sketches_lose_no_similar_pair(monkeypatch, size):
+    if size:
+        monkeypatch.setattr(character, "SLICE_BYTES", size)
+        monkeypatch.setattr(character, "PAIR_BYTES", 3 * size)
+        monkeypatch.setattr(character, "SKETCH_BITS", 128)
+    rng = random.Random(31)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop 漢é") for _ in range(n))
+    a = [text(rng.choice([1, 7, 8, 60, 64, 75, 130, 260, 700, 2000])) for _ in range(400)]
+    b = [x[:max(1, int(len(x) * rng.uniform(0.3, 1)))] + text(rng.choice([0, 0, 1, 9])) for x in a]
+    a, b = a + a + ["x" * 9000, "xy" * 40], b + b[1:] + b[:1] + ["x" * 10, "yx" * 40]
+    (size_a, of_a), (size_b, of_b) = (character.sketches(pa.array(["", *x])[1:], lines.SHINGLE) for x in (a, b))
+    assert size_a.tolist() == [len(line_sets(x)) for x in a]
+    left = 0
+    for percent in (30, 80, 100):
+        near = character.may_be_similar(of_a, of_b, size_a, size_b, percent)
+        similar = character.similar(pa.array(a), pa.array(b), lines.SHINGLE, percent)
+        assert similar.any() and not (similar & ~near).any()
+        left += int(near.sum() - similar.sum())
+    assert size or left < 0.1 * 3 * len(a)
+    empty = character.sketches(pa.array([], pa.string()), lines.SHINGLE)
+    assert not len(empty[0]) and not len(character.may_be_similar(empty[1], empty[1], empty[0], empty[0], 80))
+
+
+def test_only_lines_that_may_be_similar_are_compared(spark, monkeypatch):
+    """Lines made of the same few phrases meet in bands and by rare shingles, and few of those pairs are similar."""
+    rng = random.Random(17)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    phrases = [text(60) for _ in range(8)]
+    texts = ["#".join([*rng.sample(phrases, 6), text(40), "."]) for _ in range(120)]
+    texts += [x[:-2] + "!." for x in texts[:20]]
+    compared, plain = spark.sparkContext.accumulator(0), lines._linked
+
+    def counted(percent):
+        compare = plain(percent)
+
+        def run(batches):
+            for batch in batches:
+                compared.add(batch.num_rows)
+                yield from compare(iter([batch]))
+        return run
+
+    monkeypatch.setattr(lines, "_linked", counted)
+    sets = [line_sets(x) for x in texts]
+    links_ = [(a, b) for a in range(140) for b in range(a + 1, 140) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = reach(range(140), links_)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in lines.line_classes(docs).collect()}
+    assert all((got[a] == got[b]) == (want[a] == want[b]) for a in range(140) for b in range(140))
+    assert len(links_) <= compared.value <= 3 * len(links_)
+
+
 def test_links_in_large_buckets_equal_brute_force(spark):
     """Few centres see all of a large group whose members differ: what they leave apart is found by rare shingles."""
     rng = random.Random(5)
